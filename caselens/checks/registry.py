@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from caselens.checks import quality_cases, target_cases
+from caselens.checks import (
+    feature_cases,
+    flow_cases,
+    metric_cases,
+    model_cases,
+    quality_cases,
+    serving_cases,
+    target_cases,
+)
 from caselens.checks.common import Case
 
 CASES: dict[str, Case] = {}
-for _module in (quality_cases, target_cases):
+for _module in (quality_cases, target_cases, flow_cases, feature_cases, metric_cases, serving_cases, model_cases):
     CASES.update(_module.CASES)
