@@ -33,7 +33,7 @@ def tree_nodes(spark: SparkSession, model: GBTClassificationModel, path: str | N
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
     )
     return nodes.join(weights, "tree")
 
