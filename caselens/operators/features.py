@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens import fixed
-from caselens.functions.columns import number_or_zero
-from caselens.operators.flow import SECOND, flow_totals, with_second
+from caselens.functions.columns import number_or_zero, seconds
+from caselens.operators.flow import SECOND, activity, at_starts, coarser, with_second
 from caselens.operators.history import DAY_COLUMN, MEDIAN, RATE, daily_outcomes, history_for_starts
 from caselens.operators.joins import null_safe_join
 from caselens.operators.prefix import DAY, Total
@@ -86,17 +86,17 @@ def calendar(df: DataFrame, spec: LifecycleSpec, seasonal: bool = False) -> Data
     )
 
 
-def start_features(labeled: DataFrame, cfg: FeatureConfig) -> DataFrame:
+def start_features(labeled: DataFrame, cfg: FeatureConfig, population: DataFrame | None = None) -> DataFrame:
     """Backlogs, flows and history per distinct (group, subgroup, start second).
 
     Everything that is known per start second is joined here, on the small
     side, so that the rows themselves are shuffled once.
     """
     spec = cfg.spec
-    own = flow_totals(labeled, spec, spec.pair, {"complaint_open_backlog": Total("net")})
-    group = flow_totals(
-        labeled,
-        spec,
+    seconds_of_pairs = activity(labeled if population is None else population, spec, spec.pair)
+    own = at_starts(seconds_of_pairs, spec.pair, {"complaint_open_backlog": Total("net")})
+    group = at_starts(
+        coarser(seconds_of_pairs, [spec.group]),
         [spec.group],
         {
             "agency_open_backlog": Total("net"),
@@ -106,9 +106,9 @@ def start_features(labeled: DataFrame, cfg: FeatureConfig) -> DataFrame:
     )
     history = history_for_starts(labeled, daily_outcomes(labeled, spec), spec, cfg.history_days)
     counts = ["agency_open_backlog", "complaint_open_backlog", "agency_arrivals_24h", "agency_closures_24h"]
-    known = F.col(spec.group).isNotNull() & F.col(spec.subgroup).isNotNull()
     spine = (
-        own.withColumn("complaint_open_backlog", F.when(known, F.col("complaint_open_backlog")))
+        labeled.select(*spec.pair, seconds(spec.start).alias(SECOND)).distinct()
+        .join(own, [*spec.pair, SECOND], "left")
         .join(group, [spec.group, SECOND], "left")
         .fillna(0, subset=counts)
         .withColumn(DAY_COLUMN, F.floor(F.col(SECOND) / DAY))
@@ -117,15 +117,25 @@ def start_features(labeled: DataFrame, cfg: FeatureConfig) -> DataFrame:
     return joined.select(*spec.pair, SECOND, *counts, MEDIAN, RATE)
 
 
-def feature_table(valid: DataFrame, cfg: FeatureConfig, targets: DataFrame | None = None, exact: bool = True) -> DataFrame:
-    """One row per record: identifiers, label, reveal columns and the 12 features."""
+def feature_table(
+    valid: DataFrame,
+    cfg: FeatureConfig,
+    targets: DataFrame | None = None,
+    exact: bool = True,
+    population: DataFrame | None = None,
+) -> DataFrame:
+    """One row per record: identifiers, label, reveal columns and the 12 features.
+
+    Backlog and flow count ``population`` when it is given, for instance valid
+    rows together with those refused only for lasting too long.
+    """
     spec = cfg.spec
     split = temporal_split(valid, spec, cfg.splits)
     if targets is None:
         targets = frozen_targets(split, cfg, exact)
     labeled = settle(label_censored(split, targets, spec, cfg.observed_at), "labeled")
     common = common_types(labeled.where(F.col("split") == "train"), spec, cfg.rare_min_n)
-    rows = null_safe_join(with_second(labeled, spec), start_features(labeled, cfg), [*spec.pair, SECOND], "left")
+    rows = null_safe_join(with_second(labeled, spec), start_features(labeled, cfg, population), [*spec.pair, SECOND], "left")
     rows = calendar(fill_category(group_rare(rows, common, spec), spec.region), spec)
     return rows.select(
         spec.key, "split", "breach", "label_state", spec.is_open, "age_at_observation_hours",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from caselens.functions.columns import day_number, seconds
 from caselens.operators.prefix import DAY, Total, totals_before
 from caselens.spec import LifecycleSpec
+from caselens.storage import settle
 
 SECOND = "_start_second"
 
@@ -19,23 +20,36 @@ def with_second(df: DataFrame, spec: LifecycleSpec) -> DataFrame:
     return df.withColumn(SECOND, seconds(spec.start))
 
 
-def lifecycle_events(df: DataFrame, spec: LifecycleSpec, keys: Sequence[str]) -> DataFrame:
-    """One row per start and one per end: arrivals, closures and the net change in open rows."""
+def activity(df: DataFrame, spec: LifecycleSpec, keys: Sequence[str]) -> DataFrame:
+    """Starts, ends and net change of open rows per (keys, second), written.
+
+    One scan emits both ends of a row; the combine before the shuffle leaves at
+    most one row per second of a group, so everything below is independent of
+    how many rows a group holds.
+    """
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    starts = df.select(
-        *keys, seconds(spec.start).alias(SECOND), one.alias("arrivals"), zero.alias("closures"), one.alias("net")
+    started = F.struct(seconds(spec.start).alias("at"), one.alias("arrivals"), zero.alias("closures"))
+    ended = F.struct(seconds(spec.end).alias("at"), zero.alias("arrivals"), one.alias("closures"))
+    events = df.select(*keys, F.explode(F.array(started, ended)).alias("_e")).where(F.col("_e.at").isNotNull())
+    counted = events.groupBy(*keys, F.col("_e.at").alias(SECOND)).agg(
+        F.sum("_e.arrivals").alias("arrivals"), F.sum("_e.closures").alias("closures")
     )
-    ends = df.where(F.col(spec.end).isNotNull()).select(
-        *keys, seconds(spec.end).alias(SECOND), zero.alias("arrivals"), one.alias("closures"), (-one).alias("net")
-    )
-    return starts.unionByName(ends)
+    return settle(counted.withColumn("net", F.col("arrivals") - F.col("closures")), "activity")
 
 
-def flow_totals(
-    df: DataFrame, spec: LifecycleSpec, keys: Sequence[str], totals: Mapping[str, Total]
-) -> DataFrame:
-    """Totals strictly before each distinct start second of a group."""
-    return totals_before(lifecycle_events(df, spec, keys), with_second(df, spec), keys, SECOND, totals)
+def coarser(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Activity of fewer keys, from the activity of more."""
+    sums = [F.sum(c).alias(c) for c in ("arrivals", "closures", "net")]
+    return settle(points.groupBy(*keys, SECOND).agg(*sums), "activity")
+
+
+def at_starts(points: DataFrame, keys: Sequence[str], totals: Mapping[str, Total]) -> DataFrame:
+    """Totals strictly before each second in which a row of the group starts."""
+    starts = points.where(F.col("arrivals") > 0).select(*keys, SECOND)
+    if any(t.width for t in totals.values()):
+        return totals_before(points, starts, keys, SECOND, totals)
+    every = totals_before(points, None, keys, SECOND, {**totals, "_starts": Total("arrivals", inclusive=True), "_earlier": Total("arrivals")})
+    return every.where(F.col("_starts") > F.col("_earlier")).drop("_starts", "_earlier")
 
 
 def _attach(df: DataFrame, points: DataFrame, spec: LifecycleSpec, keys: Sequence[str], outputs: Sequence[str]) -> DataFrame:
@@ -46,7 +60,7 @@ def _attach(df: DataFrame, points: DataFrame, spec: LifecycleSpec, keys: Sequenc
 
 def backlog(df: DataFrame, spec: LifecycleSpec, keys: Sequence[str], out: str) -> DataFrame:
     """Rows of the same group open just before each row's start second."""
-    points = flow_totals(df, spec, keys, {out: Total("net")})
+    points = at_starts(activity(df, spec, keys), keys, {out: Total("net")})
     return _attach(df, points, spec, keys, [out])
 
 
@@ -59,8 +73,8 @@ def flow_counts(
     closures: str = "agency_closures_24h",
 ) -> DataFrame:
     """Starts and ends of the group in [t - width, t) for each row starting at t."""
-    points = flow_totals(df, spec, keys, {arrivals: Total("arrivals", width), closures: Total("closures", width)})
-    return _attach(df, points, spec, keys, [arrivals, closures])
+    totals = {arrivals: Total("arrivals", width), closures: Total("closures", width)}
+    return _attach(df, at_starts(activity(df, spec, keys), keys, totals), spec, keys, [arrivals, closures])
 
 
 def recent_unresolved_proxy(df: DataFrame, spec: LifecycleSpec, days: int = 7, out: str = "backlog_7d_at_creation") -> DataFrame:
@@ -70,15 +84,18 @@ def recent_unresolved_proxy(df: DataFrame, spec: LifecycleSpec, days: int = 7, o
     count; ``backlog`` is the count of rows open at the instant.
     """
     unresolved = F.col(spec.end).isNull() | (F.col(spec.end) > F.col(spec.start))
-    events = with_second(df, spec).withColumn("unresolved", F.coalesce(unresolved, F.lit(False)).cast("long"))
-    points = totals_before(events, events, [spec.group], SECOND, {out: Total("unresolved", days * DAY)})
+    counted = with_second(df, spec).groupBy(spec.group, SECOND).agg(F.count_if(unresolved).alias("unresolved"))
+    totals = {out: Total("unresolved", days * DAY)}
+    points = totals_before(settle(counted, "activity"), None, [spec.group], SECOND, totals)
     return _attach(df, points, spec, [spec.group], [out])
 
 
 def opened_so_far(df: DataFrame, spec: LifecycleSpec, out: str = "opened_so_far", strict: bool = False) -> DataFrame:
     """Group's starts up to the row's start second; ``strict`` leaves that second out."""
-    points = flow_totals(df, spec, [spec.group], {out: Total("arrivals", inclusive=not strict)})
-    return _attach(df, points, spec, [spec.group], [out])
+    keys = [spec.group]
+    counted = with_second(df, spec).groupBy(*keys, SECOND).agg(F.count("*").alias("arrivals"))
+    totals = {out: Total("arrivals", inclusive=not strict)}
+    return _attach(df, totals_before(settle(counted, "activity"), None, keys, SECOND, totals), spec, keys, [out])
 
 
 def is_open_at(spec: LifecycleSpec, at: str | Column) -> Column:

@@ -43,8 +43,11 @@ def trailing_history(
     """
     spine = at.select(*keys, DAY_COLUMN).distinct()
     known = daily.dropna(subset=list(keys))
+    per_day = settle(
+        known.groupBy(*keys, DAY_COLUMN).agg(F.sum("n").alias("n"), F.sum("breaches").alias("breaches")), "outcomes"
+    )
     sums = totals_before(
-        known, spine, keys, DAY_COLUMN,
+        per_day, spine, keys, DAY_COLUMN,
         {"_n": Total("n", days), "_breaches": Total("breaches", days)}, grain=256,
     ).select(*keys, DAY_COLUMN, F.try_divide("_breaches", "_n").alias(rate))
     middle = trailing_quantile(known, spine, keys, DAY_COLUMN, "hours", "n", days, {median: 0.5}).drop("n")

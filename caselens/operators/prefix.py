@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselens.operators.joins import null_safe_join
 from caselens.storage import settle
 
 DAY = 86_400
@@ -35,9 +34,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``before_<measure>``: the total over points with a smaller axis value.
 
-    ``points`` must be unique on keys + axis.
+    ``points`` must be unique on keys + axis and cheap to scan twice (a written
+    table).  Points with a NULL key are left out.
     """
-    tiled = points.withColumn("_tile", F.floor(F.col(axis) / F.lit(grain)).cast("long"))
+    tiled = points.dropna(subset=[*keys, axis]).withColumn(
+        "_tile", F.floor(F.col(axis) / F.lit(grain)).cast("long")
+    )
     across = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
     carried = tiled.groupBy(*keys, "_tile").agg(*[F.sum(m).alias(m) for m in measures]).select(
         *keys, "_tile", *[F.coalesce(F.sum(m).over(across), F.lit(0)).alias(f"_carry_{m}") for m in measures]
@@ -46,48 +48,54 @@ def running_totals(
     local = tiled.select(
         "*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"before_{m}") for m in measures]
     )
-    return null_safe_join(local, carried, [*keys, "_tile"]).select(
+    return local.join(carried, [*keys, "_tile"]).select(
         *points.columns, *[(F.col(f"before_{m}") + F.col(f"_carry_{m}")).alias(f"before_{m}") for m in measures]
     )
 
 
 def totals_before(
-    events: DataFrame,
-    at: DataFrame,
+    points: DataFrame,
+    at: DataFrame | None,
     keys: Sequence[str],
     axis: str,
     totals: Mapping[str, Total],
     grain: float = DAY,
 ) -> DataFrame:
-    """Totals over events strictly before each distinct point of ``at``.
+    """Totals over points strictly before each wanted point.
 
-    A trailing total over [t - width, t) is the difference of two running
-    totals, so every look-back point joins the same stream as a zero-weight
-    probe.  Returns one row per distinct keys + axis of ``at``.
+    ``points`` is a written table, unique on keys + axis.  ``at`` lists the
+    wanted keys + axis; without it every point of ``points`` is wanted.  A
+    trailing total over [t - width, t) is the difference of two running
+    totals, so each look-back point joins the same stream as a zero-weight
+    probe.
     """
     measures = sorted({t.measure for t in totals.values()})
     widths = [0, *sorted({t.width for t in totals.values() if t.width})]
     marks = [f"_mark_{i}" for i in range(len(widths))]
 
-    facts = events.select(*keys, axis, *measures, *[F.lit(0).cast("long").alias(m) for m in marks])
+    def here(total: Total):
+        own = F.col(total.measure) if total.inclusive else F.lit(0)
+        return F.col(f"before_{total.measure}") + own
+
+    if at is None and len(widths) == 1:
+        run = running_totals(points, keys, axis, measures, grain)
+        return run.select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])
+
+    wanted = points if at is None else at
+    facts = points.select(*keys, axis, *measures, *[F.lit(0).cast("long").alias(m) for m in marks])
     shift = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(widths)]))
-    probes = at.select(*keys, axis).withColumn("_s", shift).select(
+    probes = wanted.select(*keys, axis, shift.alias("_s")).select(
         *keys,
         (F.col(axis) - F.col("_s.w")).alias(axis),
         *[F.lit(0).cast("long").alias(m) for m in measures],
         *[(F.col("_s.i") == i).cast("long").alias(m) for i, m in enumerate(marks)],
     )
-    points = facts.unionByName(probes).groupBy(*keys, axis).agg(*[F.sum(c).alias(c) for c in [*measures, *marks]])
-    run = running_totals(points, keys, axis, measures, grain)
-
-    def here(total: Total):
-        own = F.col(total.measure) if total.inclusive else F.lit(0)
-        return F.col(f"before_{total.measure}") + own
-
+    merged = facts.unionByName(probes).groupBy(*keys, axis).agg(*[F.sum(c).alias(c) for c in [*measures, *marks]])
+    run = running_totals(settle(merged, "points"), keys, axis, measures, grain)
     if len(widths) == 1:
         return run.where(F.col(marks[0]) > 0).select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])
 
-    wanted = F.filter(
+    found = F.filter(
         F.array(
             *[
                 F.struct(F.lit(i).alias("i"), F.lit(w).alias("w"), F.col(m).alias("n"))
@@ -96,7 +104,7 @@ def totals_before(
         ),
         lambda s: s["n"] > 0,
     )
-    folded = run.withColumn("_s", F.explode(wanted)).withColumn(axis, F.col(axis) + F.col("_s.w"))
+    folded = run.withColumn("_s", F.explode(found)).withColumn(axis, F.col(axis) + F.col("_s.w"))
 
     def part(total: Total):
         column = F.when(F.col("_s.i") == 0, here(total))

@@ -83,23 +83,29 @@ def group_quantiles(
     width: float = 1.0,
     interpolate: bool = False,
     exact: bool = True,
+    count: str | None = None,
 ) -> DataFrame:
     """One row per group: ``n`` non-NULL values and one column per entry of ``probs``.
 
-    ``width`` is the bin width in units of ``value``.  With ``exact=False`` a
-    mergeable sketch answers in one pass.
+    ``df`` is scanned twice, so it should be a table.  ``width`` is the bin
+    width in units of ``value``.  ``count`` names a column that says how often
+    a value occurs.  With ``exact=False`` a mergeable sketch answers in one
+    pass; it does not take counted values.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
+    times = F.lit(1) if count is None else F.col(count)
+    rows = df.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("_value"), times.cast("long").alias("_n")
+    )
     if not exact:
         return rows.groupBy(*keys).agg(
             F.count("*").alias("n"), *[F.percentile_approx("_value", q).alias(name) for name, q in probs.items()]
         )
     rows = rows.withColumn("_bin", F.floor(F.col("_value") / F.lit(width)))
-    hist = rows.groupBy(*keys, "_bin").agg(F.count("*").alias("_n"))
+    hist = rows.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
     bins = settle(_bins(hist, keys, probs, interpolate), "bins")
     selected = null_safe_join(rows, bins, [*keys, "_bin"])
     counted = selected.groupBy(*keys, "_bin", "_value").agg(
-        F.count("*").alias("_n"),
+        F.sum("_n").alias("_n"),
         F.max("_base").alias("_base"),
         F.max("n").alias("n"),
         F.any_value("_hits").alias("_hits"),

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caselens.operators.joins import null_safe_join
 from caselens.operators.quality import with_duration_hours, with_is_open
 from caselens.spec import FeatureConfig, LifecycleSpec
 
@@ -36,7 +35,8 @@ def with_next(
     """The next time of the same key, NULL for the last row.
 
     Each (key, time tile) is sorted on its own; the last row of a tile takes
-    the first time of the key's next tile, so no task sorts a whole key.
+    the first time of the key's next tile, so no task sorts a whole key.  Keys
+    must not be NULL.
     """
     tile = F.floor(F.unix_micros(time) / F.lit(tile_seconds * 1_000_000))
     tiled = df.withColumn("_tile", tile)
@@ -45,9 +45,9 @@ def with_next(
     following = F.lead("_head").over(Window.partitionBy(*keys).orderBy("_tile"))
     local = tiled.withColumn(out, F.lead(time).over(inside))
     return (
-        null_safe_join(local, heads.select(*keys, "_tile", following.alias("_next_head")), [*keys, "_tile"], "left")
+        local.join(heads.select(*keys, "_tile", following.alias("_next_head")), [*keys, "_tile"], "left")
         .withColumn(out, F.coalesce(out, "_next_head"))
-        .drop("_tile", "_next_head")
+        .select(*df.columns, out)
     )
 
 
