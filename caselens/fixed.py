@@ -55,5 +55,7 @@ TOP_FRACTION = 0.10
 CALIBRATION_TRIGGER = 0.03
 SEARCH_TRIALS = 15
 SEARCH_SEED = 42
+MAX_ROUNDS = 600
+EARLY_STOP_ROUNDS = 30
 UNKNOWN = "UNKNOWN"
 OTHER_PREFIX = "OTHER_"

@@ -80,7 +80,7 @@ def group_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    width: float = 1.0,
+    width: float | Column = 1.0,
     interpolate: bool = False,
     exact: bool = True,
     count: str | None = None,
@@ -88,7 +88,7 @@ def group_quantiles(
     """One row per group: ``n`` non-NULL values and one column per entry of ``probs``.
 
     ``df`` is scanned twice, so it should be a table.  ``width`` is the bin
-    width in units of ``value``.  ``count`` names a column that says how often
+    width in units of ``value``; it may depend on the key columns.  ``count`` names a column that says how often
     a value occurs.  With ``exact=False`` a mergeable sketch answers in one
     pass; it does not take counted values.
     """
@@ -100,7 +100,7 @@ def group_quantiles(
         return rows.groupBy(*keys).agg(
             F.count("*").alias("n"), *[F.percentile_approx("_value", q).alias(name) for name, q in probs.items()]
         )
-    rows = rows.withColumn("_bin", F.floor(F.col("_value") / F.lit(width)))
+    rows = rows.withColumn("_bin", F.floor(F.col("_value") / F.lit(width)).cast("long"))
     hist = rows.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
     bins = settle(_bins(hist, keys, probs, interpolate), "bins")
     selected = null_safe_join(rows, bins, [*keys, "_bin"])

@@ -105,17 +105,50 @@ def apply_calibrator(scored: DataFrame, calibrator: IsotonicRegressionModel | No
     return calibrator.transform(scored)
 
 
+def best_round(losses: Sequence[float], patience: int = fixed.EARLY_STOP_ROUNDS) -> int:
+    """Rounds to keep: the lowest loss seen before ``patience`` rounds pass without a lower one."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            break
+    return best + 1
+
+
+def fit_rounds(
+    train: DataFrame, validation: DataFrame, params: dict[str, float], max_rounds: int, seed: int
+) -> GBTClassificationModel:
+    """Boosted trees cut at the best validation round.
+
+    All rounds are judged in one pass over the validation rows.  Each round's
+    sampling depends only on the seed, so a fit with fewer rounds gives the
+    same first trees.
+    """
+    settings = {k: v for k, v in params.items() if k != "featureShare"}
+    booster = GBTClassifier(
+        labelCol="breach",
+        maxIter=max_rounds,
+        featureSubsetStrategy=f"{params['featureShare']:.4f}",
+        seed=seed,
+        **settings,
+    )
+    fitted = booster.fit(train)
+    keep = best_round(fitted.evaluateEachIteration(validation))
+    return fitted if keep == fitted.getNumTrees else booster.setMaxIter(keep).fit(train)
+
+
 def fit_risk_model(
     table: DataFrame,
     trials: int = fixed.SEARCH_TRIALS,
     seed: int = fixed.SEARCH_SEED,
-    max_rounds: int = 600,
+    max_rounds: int = fixed.MAX_ROUNDS,
     trigger: float = fixed.CALIBRATION_TRIGGER,
 ) -> RiskModel:
     """Boosted trees over seeded draws; the draw with the best validation PR-AUC is kept.
 
     ``table`` is a feature table.  Encoders and medians come from labelled
-    training rows, early stopping, calibration and the high-risk cut from
+    training rows; the number of rounds, calibration and the high-risk cut from
     validation rows.
     """
     spark = table.sparkSession
@@ -128,19 +161,10 @@ def fit_risk_model(
         "unique_key", F.col("breach").cast("double").alias("breach"), (F.col("split") == "val").alias("_is_val"), "features"
     )
     data = settle(encoded, "training")
-    validation = data.where("_is_val")
+    learning, validation = data.where(~F.col("_is_val")), data.where("_is_val")
     best: tuple[float, GBTClassificationModel, dict[str, float]] | None = None
     for params in search_space(trials, seed):
-        share = params["featureShare"]
-        settings = {k: v for k, v in params.items() if k != "featureShare"}
-        fitted = GBTClassifier(
-            labelCol="breach",
-            validationIndicatorCol="_is_val",
-            maxIter=max_rounds,
-            featureSubsetStrategy=f"{share:.4f}",
-            seed=seed,
-            **settings,
-        ).fit(data)
+        fitted = fit_rounds(learning, validation, params, max_rounds, seed)
         found = metrics.ranking_metrics(raw_scores(fitted, validation), "raw_score").first()["pr_auc"]
         if best is None or (found or -1.0) > best[0]:
             best = (found or -1.0, fitted, params)

@@ -96,10 +96,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def save_table(df: DataFrame, name: str, replace_schema: bool = False) -> DataFrame:
+def save_table(
+    df: DataFrame, name: str, replace_schema: bool = False, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Overwrite a managed table and return a scan of it.
 
     Without ``replace_schema`` an existing table must keep its columns.
+    ``partition_by`` lays the table out by columns that later filters name.
     """
     spark = df.sparkSession
     if not replace_schema and spark.catalog.tableExists(name):
@@ -107,7 +110,7 @@ def save_table(df: DataFrame, name: str, replace_schema: bool = False) -> DataFr
         offered = [(f.name, f.dataType) for f in df.schema]
         if present != offered:
             raise ValueError(f"columns of {name} differ; pass replace_schema=True to replace them")
-    df.write.mode("overwrite").saveAsTable(name)
+    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
     return spark.table(name)
 
 
