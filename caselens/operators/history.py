@@ -38,8 +38,8 @@ def trailing_history(
 ) -> DataFrame:
     """Median duration and breach rate of outcomes ended in the prior ``days`` days.
 
-    ``at`` lists (keys, ``_day``); one row comes back per distinct entry with
-    NULLs where nothing ended in the look-back.  NULL keys have no history.
+    ``at`` lists (keys, ``_day``); one row comes back per distinct entry without
+    NULL keys, with NULLs where nothing ended in the look-back.
     """
     spine = at.select(*keys, DAY_COLUMN).distinct()
     known = daily.dropna(subset=list(keys))
@@ -60,7 +60,8 @@ def history_for_starts(labeled: DataFrame, daily: DataFrame, spec: LifecycleSpec
     own = trailing_history(daily, spine, spec.pair, days)
     group = trailing_history(daily, spine, [spec.group], days, "_group_median", "_group_rate")
     return (
-        own.join(group, [spec.group, DAY_COLUMN], "left")
+        spine.join(own, [*spec.pair, DAY_COLUMN], "left")
+        .join(group, [spec.group, DAY_COLUMN], "left")
         .withColumn(MEDIAN, F.coalesce(MEDIAN, "_group_median", F.lit(0.0)))
         .withColumn(RATE, F.coalesce(RATE, "_group_rate", F.lit(0.0)))
         .drop("_group_median", "_group_rate")

@@ -186,7 +186,7 @@ def fit_risk_model(
         calibrator=calibrator,
         context=features.context_medians(train, CONTEXT_KEYS, CONTEXT_VALUES),
         overall=overall,
-        split_sizes={r["split"]: r["n"] for r in quality.labeled(table).groupBy("split").agg(F.count("*").alias("n")).collect()},
+        split_sizes={r["split"]: r["n"] for r in features.split_rates(quality.labeled(table)).collect() if r["split"]},
     )
 
 
@@ -291,7 +291,7 @@ def save_context(risk: RiskModel, path: str) -> None:
                 ("calibrated", float(risk.calibrator is not None)),
                 ("has_lookups", float(risk.common is not None and risk.targets is not None))]
     settings += [(f"param.{k}", float(v)) for k, v in risk.params.items()]
-    settings += [(f"rows.{k}", float(v)) for k, v in risk.split_sizes.items() if k is not None]
+    settings += [(f"rows.{k}", float(v)) for k, v in risk.split_sizes.items()]
     spark.createDataFrame(settings, "name string, value double").write.mode("overwrite").parquet(f"{path}/settings")
 
 

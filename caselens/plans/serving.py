@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens import fixed
@@ -13,6 +13,7 @@ from caselens.operators import profile
 from caselens.operators.flow import check_range, open_as_of, open_as_of_many
 from caselens.operators.targets import TARGET, breach_rates
 from caselens.spec import LifecycleSpec
+from caselens.storage import settle
 
 # Zone of naive timestamps and the queue's limits.
 ZONE = "America/New_York"
@@ -41,13 +42,11 @@ def _check_limit(limit: int) -> None:
         raise ValueError(f"limit must be within [1, {MAX_LIMIT}]")
 
 
-def _aged(df: DataFrame, spec: LifecycleSpec, at) -> DataFrame:
-    """Age at ``at`` (not rounded) and whether it has passed the target."""
+def _items(
+    df: DataFrame, spec: LifecycleSpec, at: Column, zone: str, reveal: bool, risk: str, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Queue rows as seen at ``at``."""
     age = (F.unix_micros(at) - F.unix_micros(spec.start)) / F.lit(3_600_000_000.0)
-    return df.withColumn("age_hours", age).withColumn("already_breached", F.col("age_hours") > F.col(TARGET))
-
-
-def _items(df: DataFrame, spec: LifecycleSpec, zone: str, reveal: bool, risk: str, extra: Sequence[str] = ()) -> DataFrame:
     outcome = (
         [
             F.struct(
@@ -66,11 +65,11 @@ def _items(df: DataFrame, spec: LifecycleSpec, zone: str, reveal: bool, risk: st
         spec.subgroup,
         spec.region,
         local_iso(spec.start, zone).alias("created_at"),
-        F.round("age_hours", 2).alias("age_hours"),
+        F.round(age, 2).alias("age_hours"),
         risk,
         "risk_band",
         F.col(TARGET).alias("sla_threshold_hrs"),
-        "already_breached",
+        (age > F.col(TARGET)).alias("already_breached"),
         *outcome,
     )
 
@@ -84,6 +83,15 @@ def queue_total(
     return waiting.agg(F.count("*").alias("total"))
 
 
+def riskiest(waiting: DataFrame, spec: LifecycleSpec, limit: int, risk: str = "risk") -> DataFrame:
+    """The first ``limit`` rows, riskiest first, as a per-task top-k.
+
+    Write the result before projecting it: a projection can move below the
+    limit and turn the top-k into a sort of all rows.
+    """
+    return waiting.orderBy(F.desc(risk), F.asc(spec.key)).limit(limit)
+
+
 def replay_queue(
     scored: DataFrame,
     spec: LifecycleSpec,
@@ -101,8 +109,8 @@ def replay_queue(
     check_range(as_of, *replay)
     _check_limit(limit)
     waiting = queue_filters(open_as_of(scored, spec, as_of), spec, group, region, min_risk, risk)
-    best = waiting.orderBy(F.desc(risk), F.asc(spec.key)).limit(limit)
-    return _items(_aged(best, spec, F.lit(as_of).cast("timestamp")), spec, zone, reveal, risk)
+    best = settle(riskiest(waiting, spec, limit, risk), "queue")
+    return _items(best, spec, F.lit(as_of).cast("timestamp"), zone, reveal, risk)
 
 
 def replay_queue_many(
@@ -129,8 +137,8 @@ def replay_queue_many(
     place = F.row_number().over(Window.partitionBy("as_of").orderBy(F.desc(risk), F.asc(spec.key)))
     best = waiting.withColumn("place", place).where(F.col("place") <= limit)
     totals = waiting.groupBy("as_of").agg(F.count("*").alias("total"))
-    aged = _aged(best.join(totals, "as_of"), spec, F.col("as_of"))
-    return _items(aged, spec, zone, reveal, risk, ["as_of", "place", "total"])
+    placed = best.join(totals, "as_of")
+    return _items(placed, spec, F.col("as_of"), zone, reveal, risk, ["as_of", "place", "total"])
 
 
 def ticket_detail(
