@@ -45,11 +45,7 @@ def coarser(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def at_starts(points: DataFrame, keys: Sequence[str], totals: Mapping[str, Total]) -> DataFrame:
     """Totals strictly before each second in which a row of the group starts."""
-    starts = points.where(F.col("arrivals") > 0).select(*keys, SECOND)
-    if any(t.width for t in totals.values()):
-        return totals_before(points, starts, keys, SECOND, totals)
-    every = totals_before(points, None, keys, SECOND, {**totals, "_starts": Total("arrivals", inclusive=True), "_earlier": Total("arrivals")})
-    return every.where(F.col("_starts") > F.col("_earlier")).drop("_starts", "_earlier")
+    return totals_before(points, None, keys, SECOND, totals, where=F.col("arrivals") > 0)
 
 
 def _attach(df: DataFrame, points: DataFrame, spec: LifecycleSpec, keys: Sequence[str], outputs: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens.storage import settle
@@ -60,11 +60,13 @@ def totals_before(
     axis: str,
     totals: Mapping[str, Total],
     grain: float = DAY,
+    where: Column | None = None,
 ) -> DataFrame:
     """Totals over points strictly before each wanted point.
 
     ``points`` is a written table, unique on keys + axis.  ``at`` lists the
-    wanted keys + axis; without it every point of ``points`` is wanted.  A
+    wanted keys + axis; without it the points of ``points`` that meet ``where``
+    are wanted.  A
     trailing total over [t - width, t) is the difference of two running
     totals, so each look-back point joins the same stream as a zero-weight
     probe.
@@ -79,9 +81,9 @@ def totals_before(
 
     if at is None and len(widths) == 1:
         run = running_totals(points, keys, axis, measures, grain)
-        return run.select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])
+        return (run if where is None else run.where(where)).select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])
 
-    wanted = points if at is None else at
+    wanted = at if at is not None else points if where is None else points.where(where)
     facts = points.select(*keys, axis, *measures, *[F.lit(0).cast("long").alias(m) for m in marks])
     shift = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(widths)]))
     probes = wanted.select(*keys, axis, shift.alias("_s")).select(
