@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import number_or_zero, seconds
-from caselens.operators.flow import SECOND, activity, at_starts, coarser, with_second
+from caselens.operators.flow import SECOND, activity, at_starts, with_second
 from caselens.operators.history import DAY_COLUMN, MEDIAN, RATE, daily_outcomes, history_for_starts
 from caselens.operators.joins import null_safe_join
 from caselens.operators.prefix import DAY, Total
@@ -96,7 +96,7 @@ def start_features(labeled: DataFrame, cfg: FeatureConfig, population: DataFrame
     seconds_of_pairs = activity(labeled if population is None else population, spec, spec.pair)
     own = at_starts(seconds_of_pairs, spec.pair, {"complaint_open_backlog": Total("net")})
     group = at_starts(
-        coarser(seconds_of_pairs, [spec.group]),
+        seconds_of_pairs,
         [spec.group],
         {
             "agency_open_backlog": Total("net"),

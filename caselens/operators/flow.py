@@ -37,12 +37,6 @@ def activity(df: DataFrame, spec: LifecycleSpec, keys: Sequence[str]) -> DataFra
     return settle(counted.withColumn("net", F.col("arrivals") - F.col("closures")), "activity")
 
 
-def coarser(points: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Activity of fewer keys, from the activity of more."""
-    sums = [F.sum(c).alias(c) for c in ("arrivals", "closures", "net")]
-    return settle(points.groupBy(*keys, SECOND).agg(*sums), "activity")
-
-
 def at_starts(points: DataFrame, keys: Sequence[str], totals: Mapping[str, Total]) -> DataFrame:
     """Totals strictly before each second in which a row of the group starts."""
     return totals_before(points, None, keys, SECOND, totals, where=F.col("arrivals") > 0)

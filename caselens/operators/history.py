@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caselens.functions.columns import day_number
-from caselens.operators.prefix import Total, totals_before
 from caselens.operators.quality import closed
 from caselens.operators.quantiles import trailing_quantile
 from caselens.spec import LifecycleSpec
@@ -41,24 +40,25 @@ def trailing_history(
     ``at`` lists (keys, ``_day``); one row comes back per distinct entry without
     NULL keys, with NULLs where nothing ended in the look-back.
     """
-    spine = at.select(*keys, DAY_COLUMN).distinct()
-    known = daily.dropna(subset=list(keys))
-    per_day = settle(
-        known.groupBy(*keys, DAY_COLUMN).agg(F.sum("n").alias("n"), F.sum("breaches").alias("breaches")), "outcomes"
+    spine = at.select(*keys, DAY_COLUMN).dropna().distinct()
+    found = trailing_quantile(daily, spine, keys, DAY_COLUMN, "hours", "n", days, {median: 0.5}, sums=["breaches"])
+    return spine.join(found, [*keys, DAY_COLUMN], "left").select(
+        *keys, DAY_COLUMN, median, (F.col("breaches") / F.col("n")).alias(rate)
     )
-    sums = totals_before(
-        per_day, spine, keys, DAY_COLUMN,
-        {"_n": Total("n", days), "_breaches": Total("breaches", days)}, grain=256,
-    ).select(*keys, DAY_COLUMN, F.try_divide("_breaches", "_n").alias(rate))
-    middle = trailing_quantile(known, spine, keys, DAY_COLUMN, "hours", "n", days, {median: 0.5}).drop("n")
-    return sums.join(middle, [*keys, DAY_COLUMN], "left")
 
 
 def history_for_starts(labeled: DataFrame, daily: DataFrame, spec: LifecycleSpec, days: int) -> DataFrame:
-    """History per (group, subgroup, start day): own, else the group's, else 0."""
+    """History per (group, subgroup, start day): own, else the group's, else 0.
+
+    Own and group history are two levels of one computation.
+    """
     spine = labeled.select(*spec.pair, day_number(spec.start).alias(DAY_COLUMN)).distinct()
-    own = trailing_history(daily, spine, spec.pair, days)
-    group = trailing_history(daily, spine, [spec.group], days, "_group_median", "_group_rate")
+    keys = [*spec.pair, "_level"]
+    found = settle(trailing_history(_levels(daily, spec), _levels(spine, spec), keys, days), "history")
+    own = found.where(F.col("_level") == 0).drop("_level")
+    group = found.where(F.col("_level") == 1).select(
+        spec.group, DAY_COLUMN, F.col(MEDIAN).alias("_group_median"), F.col(RATE).alias("_group_rate")
+    )
     return (
         spine.join(own, [*spec.pair, DAY_COLUMN], "left")
         .join(group, [spec.group, DAY_COLUMN], "left")
@@ -66,3 +66,13 @@ def history_for_starts(labeled: DataFrame, daily: DataFrame, spec: LifecycleSpec
         .withColumn(RATE, F.coalesce(RATE, "_group_rate", F.lit(0.0)))
         .drop("_group_median", "_group_rate")
     )
+
+
+def _levels(df: DataFrame, spec: LifecycleSpec) -> DataFrame:
+    """Each row for its pair (level 0) and for its group with an empty subgroup (level 1)."""
+    both = F.array(
+        F.struct(F.lit(0).alias("level"), F.col(spec.subgroup).alias("name")),
+        F.struct(F.lit(1).alias("level"), F.lit("").alias("name")),
+    )
+    exploded = df.withColumn("_l", F.explode(both))
+    return exploded.withColumn(spec.subgroup, F.col("_l.name")).withColumn("_level", F.col("_l.level")).drop("_l")

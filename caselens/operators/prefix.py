@@ -64,9 +64,9 @@ def totals_before(
 ) -> DataFrame:
     """Totals over points strictly before each wanted point.
 
-    ``points`` is a written table, unique on keys + axis.  ``at`` lists the
-    wanted keys + axis; without it the points of ``points`` that meet ``where``
-    are wanted.  A
+    ``points`` is a written table.  ``at`` lists the wanted keys + axis; without
+    it the points of ``points`` that meet ``where`` are wanted.  Points must be
+    unique on keys + axis unless ``at`` or a width is given.  A
     trailing total over [t - width, t) is the difference of two running
     totals, so each look-back point joins the same stream as a zero-weight
     probe.
@@ -83,16 +83,26 @@ def totals_before(
         run = running_totals(points, keys, axis, measures, grain)
         return (run if where is None else run.where(where)).select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])
 
-    wanted = at if at is not None else points if where is None else points.where(where)
-    facts = points.select(*keys, axis, *measures, *[F.lit(0).cast("long").alias(m) for m in marks])
-    shift = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate(widths)]))
-    probes = wanted.select(*keys, axis, shift.alias("_s")).select(
-        *keys,
-        (F.col(axis) - F.col("_s.w")).alias(axis),
-        *[F.lit(0).cast("long").alias(m) for m in measures],
-        *[(F.col("_s.i") == i).cast("long").alias(m) for i, m in enumerate(marks)],
+    def entry(shift: int, values: Mapping[str, Column]):
+        zero = F.lit(0).cast("long")
+        return F.struct(
+            (F.col(axis) - F.lit(shift)).alias(axis), *[values.get(c, zero).alias(c) for c in [*measures, *marks]]
+        )
+
+    one = F.lit(1).cast("long")
+    looked_at = [entry(w, {m: one}) for w, m in zip(widths, marks)]
+    facts = {m: F.col(m).cast("long") for m in measures}
+    if at is None:
+        wanted = F.lit(True) if where is None else where
+        entries = F.array(entry(0, {**facts, marks[0]: wanted.cast("long")}), *[F.when(wanted, e) for e in looked_at[1:]])
+        stream = points.select(*keys, F.explode(F.array_compact(entries)).alias("_e"))
+    else:
+        stream = points.select(*keys, entry(0, facts).alias("_e")).unionByName(
+            at.select(*keys, F.explode(F.array(*looked_at)).alias("_e"))
+        )
+    merged = stream.groupBy(*keys, F.col(f"_e.{axis}").alias(axis)).agg(
+        *[F.sum(f"_e.{c}").alias(c) for c in [*measures, *marks]]
     )
-    merged = facts.unionByName(probes).groupBy(*keys, axis).agg(*[F.sum(c).alias(c) for c in [*measures, *marks]])
     run = running_totals(settle(merged, "points"), keys, axis, measures, grain)
     if len(widths) == 1:
         return run.where(F.col(marks[0]) > 0).select(*keys, axis, *[here(t).alias(n) for n, t in totals.items()])

@@ -39,24 +39,26 @@ def _ranks(probs: Mapping[str, float], interpolate: bool, total: Column) -> Colu
 
 
 def _bins(
-    hist: DataFrame, keys: Sequence[str], probs: Mapping[str, float], interpolate: bool
+    hist: DataFrame, keys: Sequence[str], probs: Mapping[str, float], interpolate: bool, sums: Sequence[str] = ()
 ) -> DataFrame:
-    """Bins that hold a wanted rank, with the count before them."""
+    """Bins that hold a wanted rank, with the count before them and whole-group sums."""
     whole = Window.partitionBy(*keys)
     climbed = hist.withColumn(
         "_upto", F.sum("_n").over(whole.orderBy("_bin").rowsBetween(*_UP_TO_HERE))
-    ).withColumn("_total", F.sum("_n").over(whole))
+    ).withColumns({"_total": F.sum("_n").over(whole), **{c: F.sum(c).over(whole) for c in sums}})
     base = F.col("_upto") - F.col("_n")
     hits = F.filter(
         _ranks(probs, interpolate, F.col("_total")), lambda w: (w["rank"] > base) & (w["rank"] <= F.col("_upto"))
     )
     return (
-        climbed.select(*keys, "_bin", base.alias("_base"), F.col("_total").alias("n"), hits.alias("_hits"))
+        climbed.select(*keys, "_bin", base.alias("_base"), F.col("_total").alias("n"), *sums, hits.alias("_hits"))
         .where(F.size("_hits") > 0)
     )
 
 
-def _pick(counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+def _pick(
+    counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float], sums: Sequence[str] = ()
+) -> DataFrame:
     """Walk the counted values of the selected bins to the wanted ranks."""
     inside = Window.partitionBy(*keys, "_bin").orderBy("_value").rowsBetween(*_UP_TO_HERE)
     walked = counted.withColumn("_upto", F.col("_base") + F.sum("_n").over(inside))
@@ -65,9 +67,9 @@ def _pick(counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -
             "_hits", lambda w: (w["rank"] > F.col("_upto") - F.col("_n")) & (w["rank"] <= F.col("_upto"))
         )
     )
-    picked = walked.select(*keys, "n", "_value", hit.alias("_hit"))
+    picked = walked.select(*keys, "n", *sums, "_value", hit.alias("_hit"))
     return picked.groupBy(*keys).agg(
-        F.max("n").alias("n"),
+        *[F.max(c).alias(c) for c in ("n", *sums)],
         *[
             F.sum(F.when(F.col("_hit.name") == name, F.col("_value") * F.col("_hit.weight"))).alias(name)
             for name in probs
@@ -123,30 +125,37 @@ def trailing_quantile(
     days: int,
     probs: Mapping[str, float],
     width: float = 1.0,
+    sums: Sequence[str] = (),
 ) -> DataFrame:
     """Quantiles over days [t - days, t) for each distinct (keys, day) of ``at``.
 
     ``daily`` holds counted values per (keys, day).  The histogram, not the
     values, is spread over the look-back; values are fetched only for the bin
-    that holds the wanted rank.
+    that holds the wanted rank.  ``n`` and the columns in ``sums`` are totals
+    over the look-back.  Days without values in it are left out.
     """
     counts = daily.select(
-        *keys, F.col(day).alias("_day"), F.col(value).alias("_value"), F.col(count).alias("_n"),
+        *keys, F.col(day).alias("_day"), F.col(value).alias("_value"), F.col(count).alias("_n"), *sums,
         F.floor(F.col(value) / F.lit(width)).alias("_bin"),
     )
     spine = at.select(*keys, F.col(day).alias("_at")).distinct()
     spread = F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + days))
+    added = [F.sum(c).alias(c) for c in ("_n", *sums)]
     hist = (
-        counts.groupBy(*keys, "_day", "_bin").agg(F.sum("_n").alias("_n"))
+        counts.groupBy(*keys, "_day", "_bin").agg(*added)
         .withColumn("_at", spread)
         .join(spine, [*keys, "_at"], "left_semi")
-        .groupBy(*keys, "_at", "_bin").agg(F.sum("_n").alias("_n"))
+        .groupBy(*keys, "_at", "_bin").agg(*added)
     )
-    bins = settle(_bins(hist, [*keys, "_at"], probs, False), "bins")
+    bins = settle(_bins(hist, [*keys, "_at"], probs, False, sums), "bins")
     back = bins.withColumn("_day", F.explode(F.sequence(F.col("_at") - days, F.col("_at") - 1)))
     counted = (
-        counts.join(back, [*keys, "_day", "_bin"])
+        counts.drop(*sums).join(back, [*keys, "_day", "_bin"])
         .groupBy(*keys, "_at", "_bin", "_value")
-        .agg(F.sum("_n").alias("_n"), F.max("_base").alias("_base"), F.max("n").alias("n"), F.any_value("_hits").alias("_hits"))
+        .agg(
+            F.sum("_n").alias("_n"),
+            *[F.max(c).alias(c) for c in ("_base", "n", *sums)],
+            F.any_value("_hits").alias("_hits"),
+        )
     )
-    return _pick(counted, [*keys, "_at"], probs).withColumnRenamed("_at", day)
+    return _pick(counted, [*keys, "_at"], probs, sums).withColumnRenamed("_at", day)
