@@ -10,7 +10,7 @@ from caselens.checks.sql import FROZEN, GOLD, SCORED, TICKETS, sec, with_
 from caselens.functions import columns
 from caselens.operators import features, metrics, profile, quality
 from caselens.operators.flow import open_during
-from caselens.plans import serving
+from caselens.plans import medallion, serving
 from caselens.sources import tables
 from caselens.storage import settle, shared_path
 
@@ -115,6 +115,31 @@ def scored_roundtrip(spark, sf):
     return back.select(SPEC.key, columns.seconds(SPEC.start).alias("start_s"), columns.seconds(SPEC.end).alias("end_s"), "risk")
 
 
+def gold_features(spark, sf):
+    """Labelled rows with the seven-day proxy and the seasonal calendar."""
+    built = medallion.gold_features(settle(gold(spark, sf, full=True), "gold"), SPEC)
+    return rounded(
+        built.select(
+            SPEC.key, SPEC.group, SPEC.region, "sla_target_hours", "breach", "backlog_7d_at_creation",
+            "created_hour", "created_dow", "created_month", "is_weekend",
+        ),
+        "sla_target_hours",
+    )
+
+
+def one_row_per_key(spark, sf):
+    """Each group and subgroup with the ticket that started first."""
+    rows = tickets(spark, sf).select(SPEC.group, SPEC.subgroup, SPEC.key, SPEC.start)
+    return profile.one_row_per_key(rows, SPEC.pair, [SPEC.start, SPEC.key]).drop(SPEC.start)
+
+
+def filled_values(spark, sf):
+    """Missing regions and durations after the fills."""
+    rows = tickets(spark, sf, full=True).withColumn(SPEC.region, F.when(F.col(SPEC.region) != "ASIA", F.col(SPEC.region)))
+    filled = quality.zero_fill(quality.fill_category(rows, SPEC.region), [SPEC.hours])
+    return rounded(filled.select(SPEC.key, SPEC.region, SPEC.hours), SPEC.hours)
+
+
 def local_times(spark, sf):
     """Event times read as New York wall clock, and instants moved to it."""
     rows = tickets(spark, sf)
@@ -293,6 +318,36 @@ GROUP BY agency HAVING sum(pos) > 0 ORDER BY sum(CAST(pos AS DOUBLE) * tp / seen
     "scored_roundtrip": Case(
         scored_roundtrip, with_(RANKED, "SELECT unique_key, s0 AS start_s, s1 AS end_s, risk FROM ranked")
     ),
+    "gold_features": Case(
+        gold_features,
+        with_(
+            GOLD
+            + ["flagged AS (SELECT *, CAST(closed_date IS NULL OR closed_date > created_date AS INTEGER) AS u FROM gold)"],
+            """SELECT unique_key, agency, borough, round(sla_target_hours, 6) AS sla_target_hours, breach,
+  CAST(coalesce(sum(u) OVER (PARTITION BY agency ORDER BY s0 RANGE BETWEEN 604800 PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+    AS backlog_7d_at_creation,
+  CAST(hour(created_date) AS INTEGER) AS created_hour, CAST(dayofweek(created_date) + 1 AS INTEGER) AS created_dow,
+  CAST(month(created_date) AS INTEGER) AS created_month, CAST(dayofweek(created_date) IN (0, 6) AS INTEGER) AS is_weekend
+FROM flagged""",
+        ),
+    ),
+    "one_row_per_key": Case(
+        one_row_per_key,
+        with_(
+            TICKETS,
+            """SELECT agency, complaint_type, unique_key FROM (
+  SELECT *, row_number() OVER (PARTITION BY agency, complaint_type ORDER BY created_date, unique_key) AS r FROM tickets)
+WHERE r = 1""",
+        ),
+    ),
+    "filled_values": Case(
+        filled_values,
+        with_(
+            TICKETS,
+            "SELECT unique_key, CASE WHEN borough <> 'ASIA' THEN borough ELSE 'UNKNOWN' END AS borough, "
+            "round(coalesce(resolution_hours, 0), 6) AS resolution_hours FROM tickets",
+        ),
+    ),
     "local_times": Case(
         local_times,
         with_(TICKETS, f"SELECT unique_key, {_iso('created_date')} AS local_iso, s0 - 5 * 3600 AS wall_s FROM tickets"),

@@ -64,15 +64,20 @@ def extract_slice(
 
 
 def read_scored(spark: SparkSession, path: str, spec: LifecycleSpec | None = None) -> DataFrame:
+    """Scored rows with a text key and timestamps; columns that already fit are left as they
+    are, so filters on them reach the scan."""
     spec = spec or LifecycleSpec()
     scored = spark.read.parquet(path)
-    return scored.withColumns(
-        {
-            spec.key: F.col(spec.key).cast("string"),
-            spec.start: F.try_to_timestamp(F.col(spec.start).cast("string")),
-            spec.end: F.try_to_timestamp(F.col(spec.end).cast("string")),
-        }
-    )
+    kinds = dict(scored.dtypes)
+    fixes = {}
+    if kinds[spec.key] != "string":
+        fixes[spec.key] = F.col(spec.key).cast("string")
+    for column in (spec.start, spec.end):
+        if kinds[column] == "string":
+            fixes[column] = F.try_to_timestamp(F.col(column))
+        elif kinds[column] != "timestamp":
+            fixes[column] = F.col(column).cast("timestamp")
+    return scored.withColumns(fixes) if fixes else scored
 
 
 def export_scored(df: DataFrame, path: str) -> None:

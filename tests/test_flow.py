@@ -127,6 +127,21 @@ def test_quantiles_equal_builtin(table, interpolate):
         assert (a["a"], a["b"], a["c"]) == pytest.approx((b["a"], b["b"], b["c"]))
 
 
+def test_sketch_mode_agrees_on_small_groups(table):
+    rows = table.where("not is_open and agency is not null")
+    exact = {tuple(r[:2]): r for r in targets.group_targets(rows, SPEC, min_n=20).collect()}
+    quick = {tuple(r[:2]): r for r in targets.group_targets(rows, SPEC, min_n=20, exact=False).collect()}
+    assert exact == quick and {r["target_source"] for r in exact.values()} == {"group_p75", "agency_p75_fallback"}
+
+
+def test_targets_count_only_rows_ended_before_the_cutoff(spark):
+    base = int(ZERO.timestamp())
+    ended = [(f"k{h}", "A", "x", base, base + h * 3600, "Closed", "R", "P", None) for h in (1, 2, 3, 4, 30, 40)]
+    cut = targets.group_targets(frame(spark, ended), SPEC, min_n=1, closed_before="2024-01-02").first()
+    assert (cut["n_closed"], cut["sla_target_hours"]) == (4, 3.0)
+    assert targets.group_targets(frame(spark, ended), SPEC, min_n=1).first()["sla_target_hours"] == 30.0
+
+
 def test_global_rank(spark, table):
     got = global_rank(table.select("unique_key", "resolution_hours"), [F.col("resolution_hours").desc_nulls_last(), F.col("unique_key")])
     ranked = sorted(got.collect(), key=lambda r: r["rank"])
