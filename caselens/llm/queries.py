@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.checks.common import Case
-from caselens.llm import mixing, pieces, quality, secrets, sharding, token_counts
+from caselens.llm import mixing, pieces, quality, repeats, secrets, sharding, token_counts
 from caselens.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, larger)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("cuts")
+
+
 CASES: dict[str, Case] = {
     "op1_secrets": Case(op1_secrets),
     "op4_token_counts": Case(op4_token_counts),
@@ -51,4 +55,5 @@ CASES: dict[str, Case] = {
     "op7_quality": Case(op7_quality),
     "op8_mixing": Case(op8_mixing),
     "op9_sharding": Case(op9_sharding),
+    "op10_repeats": Case(op10_repeats),
 }
