@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens.checks.common import Case
-from caselens.llm import mixing, pieces, quality, repeats, secrets, sharding, token_counts
+from caselens.llm import jaccard, mixing, pieces, quality, repeats, secrets, sharding, token_counts
 from caselens.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CASES: dict[str, Case] = {
     "op1_secrets": Case(op1_secrets),
+    "op2_jaccard": Case(op2_jaccard),
     "op4_token_counts": Case(op4_token_counts),
     "op5_pieces": Case(op5_pieces),
     "op7_quality": Case(op7_quality),

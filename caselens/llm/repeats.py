@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caselens.llm.common import packed, pieces
+from caselens.llm.hashing import Hasher, row_key
 from caselens.storage import settle
 
 LENGTH, GRAM, BLOCK = 400, 64, 32
@@ -49,47 +49,6 @@ SLAB = 4 << 20
 #: Rows of one batch in a task, rows of a task on average, and rows of one core that are still compared in a task.
 BATCH, TASK_ROWS, HOT = 1 << 15, 1 << 17, 1 << 14
 
-_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-
-
-@cache
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    inverse = np.uint64(pow(int(_ODD[base]), -1, 1 << 64))
-    up, down = np.full(size, _ODD[base], np.uint64), np.full(size, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-class Hasher:
-    """Hashes of any stretch of one byte string, from sums over its prefixes."""
-
-    def __init__(self, raw: np.ndarray, base: int = 0):
-        size = 1 << max(16, int(len(raw) + 1).bit_length())
-        up, self.down = _powers(base, size)
-        self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(0x1F3)) * up[: len(raw)], out=self.sums[1:])
-
-    def __call__(self, start: np.ndarray, length: int) -> np.ndarray:
-        return _mixed((self.sums[start + length] - self.sums[start]) * self.down[start])
-
-    def grams(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return _mixed((self.sums[length:] - self.sums[:n]) * self.down[:n])
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
-
-
-def _key(*columns: np.ndarray) -> np.ndarray:
-    """One hash of several columns, to tell rows of one piece or task apart."""
-    out = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
-        out = _mixed((out ^ c.astype(np.uint64, copy=False)) * _ODD[1] + _ODD[0])
-    return out
-
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` neighbours: running minima of blocks from the left and from the right."""
@@ -152,7 +111,7 @@ def anchor_grams(texts: DataFrame) -> DataFrame:
                     rows.append(row[text])
                     grams.append(gram)
                 row, gram = np.concatenate(rows), np.concatenate(grams)
-                _, first, n = np.unique(_key(row, gram), return_index=True, return_counts=True)
+                _, first, n = np.unique(row_key(row, gram), return_index=True, return_counts=True)
                 take = pa.array(row[first])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram[first].view(np.int64)), piece.column("tid").take(take), piece.column("doc_id").take(take),
@@ -180,7 +139,7 @@ def block_rows(candidates: DataFrame) -> DataFrame:
             for piece in pieces(batch):
                 lists = piece.column("grams")
                 wanted_row = np.repeat(np.arange(piece.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-                wanted = _key(wanted_row, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+                wanted = row_key(wanted_row, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
                 for raw, bounds, row, offset in _slabs(piece):
                     made = _blocks(raw, bounds, row, wanted)
                     if made is None:
@@ -200,7 +159,7 @@ def block_rows(candidates: DataFrame) -> DataFrame:
 
 def _blocks(raw: np.ndarray, bounds: np.ndarray, row: np.ndarray, wanted: np.ndarray):
     text, anchor, first, last, gram = anchors(raw, bounds)
-    use = np.isin(_key(row[text], gram), wanted)
+    use = np.isin(row_key(row[text], gram), wanted)
     if not use.any():
         return None
     text, anchor, first, last = text[use], anchor[use], first[use], last[use]
@@ -214,10 +173,10 @@ def _blocks(raw: np.ndarray, bounds: np.ndarray, row: np.ndarray, wanted: np.nda
     reach = np.arange(SIDE)
     sides = np.concatenate([padded[core_at[:, None] + reach], padded[core_at[:, None] + SIDE + CORE + reach]], 1)
     h, h2 = Hasher(raw), Hasher(raw, 1)
-    core, core2 = h(core_at, CORE), h2(core_at, CORE)
+    core, core2 = h.between(core_at, core_at + CORE), h2.between(core_at, core_at + CORE)
     # Equal in every byte that any of their windows has: the extent from the highest window to the end of the lowest.
-    extent = (h2.sums[core_at + CORE + SIDE - low] - h2.sums[core_at - high]) * h2.down[core_at - high]
-    same = _key(core, core2, extent, low, high)
+    extent = h2.between(core_at - high, core_at + CORE + SIDE - low)
+    same = row_key(core, core2, extent, low, high)
     _, back, n = np.unique(same, return_inverse=True, return_counts=True)
     whole = n[back] > 1
     first_of = np.zeros(len(each), bool)
@@ -307,7 +266,7 @@ def _of_repeated_cores(rows: Rows) -> Rows:
 
 def _core_ids(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Numbers for the pairs of hashes of one task."""
-    _, back = np.unique(_key(a.view(np.uint64), b.view(np.uint64)), return_inverse=True)
+    _, back = np.unique(row_key(a.view(np.uint64), b.view(np.uint64)), return_inverse=True)
     return back.astype(np.int64)
 
 
