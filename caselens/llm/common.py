@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one step inside a task looks at together.
 PIECE_BYTES = 1 << 20
@@ -24,6 +25,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def sample_by_hash(df: DataFrame, hashed: str, rows: int, most: int) -> DataFrame:
+    """The ``most`` rows of the smallest ``hashed`` (a long), of a table of ``rows`` rows.
+
+    Hashes that are surely too large are left out first, so tasks hand on about ``most`` rows in all.
+    """
+    if rows > 2 * most:
+        df = df.where(F.col(hashed) < F.lit(int(-(1 << 63) + (1 << 64) * 1.5 * most / rows)))
+    return df.orderBy(hashed).limit(most)
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold ``limit`` bytes, or one longer text alone."""
     if not batch.num_rows:
@@ -48,6 +59,14 @@ def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def carried(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...], Callable[[DataFrame], DataFrame]]:
+    """The table with its columns renamed so that none clashes, their names, and the way back to the table's own."""
+    own = docs.columns
+    names = [c if c in ("doc_id", "text") else f"own_{i}" for i, c in enumerate(own)]
+    back = lambda df: df.select(*(F.col(n).alias(c) for n, c in zip(names, own)))
+    return docs.toDF(*names), tuple(names), back
+
+
 def map_texts(
     docs: DataFrame,
     schema: str,
@@ -71,4 +90,4 @@ def map_texts(
                     names=names,
                 )
 
-    return docs.select(*keep, "text").mapInArrow(run, spec)
+    return docs.select(*dict.fromkeys((*keep, "text"))).mapInArrow(run, spec)

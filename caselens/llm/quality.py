@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import map_texts
+from caselens.llm.common import carried, map_texts, sample_by_hash
 from caselens.storage import settle
 
 # Fixed values of the base rules.
@@ -74,7 +74,7 @@ def duplicate_lines(raw: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def counts(docs: DataFrame) -> DataFrame:
+def counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The rule counts of every text.  ``bytes.split`` and ``bytes.strip`` know exactly the six ASCII spaces."""
 
     def rows(piece: pa.RecordBatch) -> list:
@@ -88,7 +88,7 @@ def counts(docs: DataFrame) -> DataFrame:
                         len(raw) - len(raw.translate(None, _CAPITALS)), len(raw) - len(raw.translate(None, _MARKS))))
         return [pa.array(c, pa.int64()) for c in zip(*out)]
 
-    return map_texts(docs, COUNTS, rows)
+    return map_texts(docs, COUNTS, rows, keep)
 
 
 def base_failed() -> F.Column:
@@ -144,14 +144,9 @@ def grow(rows: np.ndarray, rng: np.random.Generator) -> Tree:
 
 def fit_forest(featured: DataFrame, trees: int = TREES, per_tree: int = PER_TREE, seed: int = 7) -> list[Tree]:
     """Random trees over a sample of ``trees * per_tree`` rows, those of the smallest hashes."""
-    sample = (
-        featured.select("doc_id", *FEATURES)
-        .withColumn("h", F.xxhash64(F.lit(seed), "doc_id", *FEATURES))
-        .orderBy("h", "doc_id")
-        .limit(trees * per_tree)
-        .toPandas()[list(FEATURES)]
-        .to_numpy(float)
-    )
+    hashed = featured.select(F.xxhash64(F.lit(seed), "doc_id", *FEATURES).alias("h"), *FEATURES)
+    few = sample_by_hash(hashed, "h", featured.count(), trees * per_tree)
+    sample = few.toPandas()[list(FEATURES)].to_numpy(float)
     if not len(sample):
         return []
     rng = np.random.default_rng(seed)
@@ -210,11 +205,27 @@ def calibrate(scored: DataFrame, labels: DataFrame, most_lost: float = MAX_CLEAN
     return fit[0] / BINS if len(fit) else float("inf")
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Counts, score and verdict of every document."""
-    stats = settle(features(counts(docs)), "quality-counts")
-    scored = score(stats, fit_forest(stats))
-    threshold = calibrate(scored, labels)
+def fitted(stats: DataFrame, labels: DataFrame) -> tuple[list[Tree], float]:
+    """The forest and the score from which it refuses."""
+    trees = fit_forest(stats)
+    return trees, calibrate(score(stats, trees), labels)
+
+
+def _verdict(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") < F.lit(threshold))
     )
+
+
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Counts, score and verdict of every document."""
+    stats = settle(features(counts(docs)), "quality-counts")
+    trees, threshold = fitted(stats, labels)
+    return _verdict(score(stats, trees), threshold)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged.  Texts are counted again rather than shuffled."""
+    trees, threshold = fitted(settle(features(counts(docs)), "quality-counts"), labels)
+    named, names, back = carried(docs)
+    return back(_verdict(score(features(counts(named, names)), trees), threshold).where("kept"))
