@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caselens.llm.common import map_texts, packed, pieces
+from caselens.llm.common import carried, map_texts, packed, pieces
 from caselens.llm.components import components
 from caselens.llm.hashing import ODD, Hasher, mixed, row_key
 from caselens.storage import settle
@@ -81,14 +81,14 @@ def shingles(raw: np.ndarray, bounds: np.ndarray, width: int = WIDTH) -> tuple[n
 
 
 def set_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, and ``sig``, a hash of the set (null for an empty one)."""
+    """doc_id, row, n_shingles, and ``sig``, a hash of the set (null for an empty one)."""
 
     def rows(piece: pa.RecordBatch) -> list:
         raw, bounds = packed(piece.column("text"))
         n, sig = _digests(*shingles(raw, bounds), piece.num_rows)
         return [pa.array(n, pa.int64()), pa.array(sig.view(np.int64), mask=n == 0)]
 
-    return map_texts(docs, "n_shingles long, sig long", rows)
+    return map_texts(docs, "n_shingles long, sig long", rows, ("doc_id", "row"))
 
 
 def _digests(owner: np.ndarray, tokens: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -420,10 +420,10 @@ def _rest(known: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     return both.select(*_ordered()).distinct()
 
 
-def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id."""
+def placed_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, row (a hash of id and text), n_shingles, sig, and label: the component (null for an empty set)."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text").withColumn("row", row_hash())
     sets = settle(set_digests(docs), "shingle-sets")
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     tasks = max(1, -(-total // (3 * PER_TASK)))
@@ -436,12 +436,23 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # A text for every set that is compared.
     members = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).unionByName(
         lists.select(F.col("a").alias("sig"))).distinct()
-    first = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("keeper"))
+    first = sets.where("sig is not null").groupBy("sig").agg(F.min("row").alias("row"))
     wanted = first.join(members, "sig")
-    texts = settle(_texts_of(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("keeper")))), "set-texts")
+    texts = settle(docs.join(wanted, "row").select("sig", "text").dropDuplicates(["sig"]), "set-texts")
     links = settle(_links(overlaps(pairs, texts), percent), "set-links")
     label = components(rounds_of_leaders(lists, texts, links, percent))
-    placed = sets.join(label, sets["sig"] == label["node"], "left").withColumn("label", F.coalesce("label", "sig"))
+    return sets.join(label, sets["sig"] == label["node"], "left").select(
+        "doc_id", "row", "n_shingles", "sig", F.coalesce("label", "sig").alias("label"))
+
+
+def row_hash() -> Column:
+    """Tells rows apart where ids repeat or are null."""
+    return F.xxhash64("doc_id", "text")
+
+
+def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id."""
+    placed = placed_sets(docs, percent)
     least = placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     least = least.withColumnRenamed("label", "l")
     return placed.join(least, F.col("label") == F.col("l"), "left").select(
@@ -449,13 +460,15 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _texts_of(found: DataFrame) -> DataFrame:
-    """One text per ``sig``; a row found by an id that other texts have too is left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                _, sig = _digests(*shingles(*packed(piece.column("text"))), piece.num_rows)
-                yield piece.filter(pa.array(sig.view(np.int64) == piece.column("sig").to_numpy()))
-
-    return found.select("sig", "text").mapInArrow(run, "sig long, text string").dropDuplicates(["sig"])
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, unchanged, that have the least id of their component (of equal ids, one); all without words."""
+    placed = placed_sets(docs, percent).where("label is not null")
+    keep = placed.groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("least")
+    ).select(F.col("least.row").alias("kept_row"))
+    keep = settle(keep, "kept-rows")
+    named, names, back = carried(docs)
+    named = named.withColumn("row", row_hash())
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = named.where(~wordless).join(keep, F.col("row") == F.col("kept_row")).dropDuplicates(["row"])
+    return back(one.select(*names).unionByName(named.where(wordless).select(*names)))

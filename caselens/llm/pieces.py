@@ -163,3 +163,16 @@ def digest(docs: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
     return map_texts(
         docs, "n_tokens long, ids_sha256 string, decoded_sha256 string, span_ends_sha256 string", rows
     )
+
+
+def token_ids(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), name: str = "piece_bpe_32k.model") -> DataFrame:
+    """``keep``, n_tokens, ids (with the end id) and the decoded text's SHA-256."""
+
+    def rows(piece: pa.RecordBatch) -> list:
+        model = pieces_of(name)
+        texts = [t or "" for t in piece.column("text").to_pylist()]
+        ids = [[*i, model.end] for i in model.model.encode(texts, num_threads=1)] if texts else []
+        decoded = [hashlib.sha256(t.encode()).hexdigest() for t in model.model.decode(ids, num_threads=1)] if ids else []
+        return [pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+
+    return map_texts(docs, "n_tokens long, ids array<int>, decoded_sha256 string", rows, keep)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from caselens.checks.common import Case
-from caselens.llm import jaccard, mixing, pieces, quality, repeats, secrets, sharding, token_counts
+from caselens.llm import jaccard, mixing, neighbours, pieces, quality, repeats, secrets, sharding, token_counts, tools
 from caselens.llm.common import table
 
 
@@ -21,6 +22,10 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,44 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tools.from_conversations(table(spark, sf_dir, "conversations"))
+    return tools.link(calls, results, tools.SCHEMAS)
+
+
+OP6_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, role, text, 'call_' || substr(md5(conv_id || ':' || turn), 1, 24) AS call_id FROM conversations
+), calls AS (
+  SELECT conv_id, turn, call_id, min(CASE role WHEN 'user' THEN 'reply' ELSE 'instruct' END) AS name,
+         min(text) AS text, count(*) AS n
+  FROM turns WHERE role IN ('user', 'system') GROUP BY ALL
+), results AS (
+  SELECT conv_id, turn - 1 AS turn, 'call_' || substr(md5(conv_id || ':' || (turn - 1)), 1, 24) AS call_id,
+         min(text) AS content, count(*) AS n
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL
+), ways AS (
+  SELECT conv_id, turn, 0::BIGINT AS level FROM calls
+  UNION
+  SELECT c.conv_id, c.turn, w.level + 1 FROM ways w JOIN calls c ON c.conv_id = w.conv_id AND c.turn IN (w.turn + 1, w.turn + 2)
+), levels AS (
+  SELECT conv_id, turn, max(level) AS level FROM ways GROUP BY ALL
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.name, l.level,
+       CASE WHEN c.n IS NULL THEN 'orphan' WHEN r.n IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+       coalesce(c.n, 1) + coalesce(r.n, 1) - 2 AS repeats,
+       CASE WHEN c.n IS NULL THEN 'no call' ELSE '' END AS errors,
+       '{"arguments":' || CASE WHEN c.n IS NULL THEN 'null'
+            ELSE '{"text":' || to_json(c.text) || ',"turn":' || c.turn || '}' END
+         || ',"content":' || coalesce(to_json(r.content)::VARCHAR, 'null')
+         || ',"errors":' || CASE WHEN c.n IS NULL THEN '["no call"]' ELSE '[]' END
+         || ',"id":"' || coalesce(c.call_id, r.call_id) || '","level":' || coalesce(l.level::VARCHAR, 'null')
+         || ',"name":' || CASE WHEN c.n IS NULL THEN 'null' ELSE '"' || c.name || '"' END || '}' AS json
+FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.turn = r.turn
+LEFT JOIN levels l ON l.conv_id = c.conv_id AND l.turn = c.turn
+"""
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -55,10 +98,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 CASES: dict[str, Case] = {
     "op1_secrets": Case(op1_secrets),
     "op2_jaccard": Case(op2_jaccard),
+    "op3_neighbours": Case(op3_neighbours),
     "op4_token_counts": Case(op4_token_counts),
     "op5_pieces": Case(op5_pieces),
+    "op6_tool_calls": Case(op6_tool_calls, OP6_SQL),
     "op7_quality": Case(op7_quality),
     "op8_mixing": Case(op8_mixing),
     "op9_sharding": Case(op9_sharding),
     "op10_repeats": Case(op10_repeats),
+    "pipeline": Case(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

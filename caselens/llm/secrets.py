@@ -21,8 +21,9 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from caselens.llm.common import map_texts
+from caselens.llm.common import carried, map_texts
 
 # The patterns and least lengths of the base kinds.
 ASSIGN = re.compile(
@@ -139,8 +140,9 @@ def redact(text: str, spans: list[tuple[int, str, int]], mask: str = "[secret]")
     return "".join([*out, text[at:]]) if spans else text
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Per document: the number of spans of each base kind, the base spans, all spans, and the redacted text."""
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Per document: the number of spans of each base kind, the base spans, all spans, and the text without them
+    (null where it has none)."""
 
     def rows(piece: pa.RecordBatch) -> list:
         counts: dict[str, list[int]] = {k: [] for k in ("assign", "access", "hex")}
@@ -158,5 +160,16 @@ def scan(docs: DataFrame) -> DataFrame:
                 pa.array(all_out, pa.string()), pa.array(clean, pa.string())]
 
     return map_texts(
-        docs, "n_assign long, n_access long, n_hex long, base_spans string, spans string, redacted string", rows
+        docs, "n_assign long, n_access long, n_hex long, base_spans string, spans string, redacted string", rows, keep
     )
+
+
+def masked(docs: DataFrame) -> DataFrame:
+    """The table with every secret in ``text`` replaced, and ``n_chars``, if there is one, counted again."""
+    named, names, back = carried(docs)
+    found = scan(named, names).withColumn("text", F.coalesce("redacted", "text"))
+    if "n_chars" in docs.columns:
+        own = names[docs.columns.index("n_chars")]
+        kind = docs.schema["n_chars"].dataType
+        found = found.withColumn(own, F.when(F.col("redacted").isNotNull(), F.length("text").cast(kind)).otherwise(F.col(own)))
+    return back(found)
