@@ -170,8 +170,10 @@ def frequent_shingles(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarr
         if room < 0:
             break
         least = step["n"]
-    top = often.where(F.col("n") >= least).toPandas().sort_values("value")
-    return top["value"].to_numpy(np.uint32), top["n"].to_numpy(np.int64)
+    top = often.where(F.col("n") >= least).select("value", "n").toArrow()
+    values, n = top.column("value").to_numpy().astype(np.uint32), top.column("n").to_numpy()
+    order = np.argsort(values)
+    return values[order], n[order].astype(np.int32)
 
 
 # Lists of prefix shingles.
@@ -373,7 +375,7 @@ def _ordered() -> list[Column]:
 
 
 def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """All links, those given and those between entries of the long lists (token, a, n, place)."""
+    """node, label by all links, those given and those between entries of the long lists (token, a, n, place)."""
     tested = None
     for round_ in range(ROUNDS + 1):
         label = components(links)
@@ -388,7 +390,7 @@ def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, perc
         ).where("parts > 1").drop("parts")
         known = settle(known.join(per, "token"), "leader-lists")
         if known.isEmpty():
-            break
+            return label
         if round_ < ROUNDS:
             pair = known.select(F.struct("a", "n", "place", "label").alias("x"), F.col("lead").alias("y")).where("x.label <> y.label").where(_bound(percent)).select(*_ordered()).distinct()
         else:
@@ -398,7 +400,7 @@ def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, perc
         compared = settle(overlaps(pair, texts), "compared")
         links = settle(links.unionByName(_links(compared, percent)).distinct(), "set-links")
         tested = compared if tested is None else tested.unionByName(compared)
-    return links
+    return components(links)
 
 
 def _rest(known: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
@@ -440,7 +442,7 @@ def placed_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = first.join(members, "sig")
     texts = settle(docs.join(wanted, "row").select("sig", "text").dropDuplicates(["sig"]), "set-texts")
     links = settle(_links(overlaps(pairs, texts), percent), "set-links")
-    label = components(rounds_of_leaders(lists, texts, links, percent))
+    label = rounds_of_leaders(lists, texts, links, percent)
     return sets.join(label, sets["sig"] == label["node"], "left").select(
         "doc_id", "row", "n_shingles", "sig", F.coalesce("label", "sig").alias("label"))
 

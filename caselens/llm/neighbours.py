@@ -153,8 +153,7 @@ def fit(points: DataFrame) -> Graph | None:
     if not n:
         return None
     few = sample_by_hash(points.withColumn("h", F.xxhash64("point", F.lit(5))), "h", n, SAMPLE)
-    sample = few.select("embedding").toPandas()["embedding"]
-    sample = np.stack(sample.to_list()).astype(float)
+    sample = _matrix(few.select("embedding").toArrow().column("embedding").combine_chunks())
     lists = max(1, min(LISTS, n // LIST_POINTS, len(sample) // 8))
     return centroid_graph(balanced_centroids(sample, lists))
 

@@ -146,7 +146,8 @@ def fit_forest(featured: DataFrame, trees: int = TREES, per_tree: int = PER_TREE
     """Random trees over a sample of ``trees * per_tree`` rows, those of the smallest hashes."""
     hashed = featured.select(F.xxhash64(F.lit(seed), "doc_id", *FEATURES).alias("h"), *FEATURES)
     few = sample_by_hash(hashed, "h", featured.count(), trees * per_tree)
-    sample = few.toPandas()[list(FEATURES)].to_numpy(float)
+    found = few.toArrow()
+    sample = np.stack([found.column(f).to_numpy() for f in FEATURES], 1).astype(float)
     if not len(sample):
         return []
     rng = np.random.default_rng(seed)
