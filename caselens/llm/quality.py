@@ -36,12 +36,11 @@ BINS = 1000
 MAX_CLEAN_LOST = 0.001
 
 COUNTS = (
-    "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, "
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_capitals long, n_marks long"
 )
-FEATURES = (
-    "log_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "capital_share", "mark_share"
-)
+#: What the forest looks at: shares that don't depend on length or language.
+FEATURES = ("symbol_share", "repeat_share", "capital_share", "mark_share")
 _CAPITALS, _MARKS = bytes(range(65, 91)), b"!?"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,9 +68,9 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
-def duplicate_lines(raw: bytes) -> tuple[int, int]:
+def duplicate_lines(raw: bytes) -> int:
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    return len(lines), len(lines) - len(set(lines))
+    return len(lines) - len(set(lines))
 
 
 def counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -84,7 +83,7 @@ def counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
             raw = text.encode()
             words = raw.split()
             chars = len(text) - sum(raw.count(c) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
-            out.append((len(words), chars, sum(map(text.count, SYMBOLS)), *duplicate_lines(raw), repeated_words(words),
+            out.append((len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(raw), repeated_words(words),
                         len(raw) - len(raw.translate(None, _CAPITALS)), len(raw) - len(raw.translate(None, _MARKS))))
         return [pa.array(c, pa.int64()) for c in zip(*out)]
 
@@ -98,12 +97,9 @@ def base_failed() -> F.Column:
 
 
 def features(stats: DataFrame) -> DataFrame:
-    words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
+    words = F.greatest("n_words", F.lit(1))
     return stats.withColumns({
-        "log_words": F.log1p(F.col("n_words").cast("double")),
-        "mean_word": F.col("word_chars") / words,
         "symbol_share": F.col("n_symbols") / words,
-        "dup_line_share": F.col("n_dup_lines") / lines,
         "repeat_share": F.col("n_repeat_words") / words,
         "capital_share": F.col("n_capitals") / F.greatest("word_chars", F.lit(1)),
         "mark_share": F.col("n_marks") / words,
