@@ -1,11 +1,12 @@
 """Quality rules: counts per text, fixed limits, and an isolation forest over the counts.
 
 The counts of a text are taken in one pass.  ``base_failed`` holds the fixed limits.  An
-isolation forest is grown on a bounded sample of all rows (``TREES`` x ``PER_TREE``, taken
-by hash of the row), because a tree of the method only ever sees ``PER_TREE`` rows; every
-row is scored.  The score above which a text is refused comes from all labelled rows: the
-lowest of ``BINS`` steps that refuses at most ``MAX_CLEAN_LOST`` of the rows labelled
-good, and only if what it refuses is bad more often than not.
+isolation forest is grown on a bounded sample of the rows that pass them (``TREES`` x
+``PER_TREE``, taken by hash of the row), because a tree of the method only ever sees
+``PER_TREE`` rows; every row is scored.  The score above which a text is refused comes from
+all labelled rows that pass the limits: the lowest of ``BINS`` steps that refuses at most
+``MAX_CLEAN_LOST`` of the rows labelled good, and only if what it refuses is bad more often
+than not.
 
 A null or empty text has zero words and fails the fixed limits.  Rows with equal ids and
 texts get equal results.  With no labelled good row the forest refuses nothing.  Columns
@@ -39,8 +40,8 @@ COUNTS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_capitals long, n_marks long"
 )
-#: What the forest looks at: shares that don't depend on length or language.
-FEATURES = ("symbol_share", "repeat_share", "capital_share", "mark_share")
+#: What the forest looks at: shares that don't depend on length or language, and that no fixed limit holds already.
+FEATURES = ("mean_word", "symbol_share", "capital_share", "mark_share")
 _CAPITALS, _MARKS = bytes(range(65, 91)), b"!?"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,8 +100,8 @@ def base_failed() -> F.Column:
 def features(stats: DataFrame) -> DataFrame:
     words = F.greatest("n_words", F.lit(1))
     return stats.withColumns({
+        "mean_word": F.col("word_chars") / words,
         "symbol_share": F.col("n_symbols") / words,
-        "repeat_share": F.col("n_repeat_words") / words,
         "capital_share": F.col("n_capitals") / F.greatest("word_chars", F.lit(1)),
         "mark_share": F.col("n_marks") / words,
     })
@@ -203,9 +204,10 @@ def calibrate(scored: DataFrame, labels: DataFrame, most_lost: float = MAX_CLEAN
 
 
 def fitted(stats: DataFrame, labels: DataFrame) -> tuple[list[Tree], float]:
-    """The forest and the score from which it refuses."""
-    trees = fit_forest(stats)
-    return trees, calibrate(score(stats, trees), labels)
+    """The forest and the score from which it refuses, for rows that pass the fixed limits."""
+    rest = stats.where(~base_failed())
+    trees = fit_forest(rest)
+    return trees, calibrate(score(rest, trees), labels)
 
 
 def _verdict(scored: DataFrame, threshold: float) -> DataFrame:
