@@ -64,8 +64,14 @@ def replay_instants(spark, sf):
 def open_counts_many(spark, sf):
     """Open tickets per group at every third hour."""
     times = settle(replay_instants(spark, sf), "times")
-    listed = flow.open_as_of_many(tickets(spark, sf), SPEC, times)
-    return listed.groupBy(F.unix_seconds("as_of").alias("as_of_s"), SPEC.group).agg(F.count("*").alias("n"))
+    found = flow.open_counts_at(tickets(spark, sf), SPEC, times, [SPEC.group])
+    return found.select(F.unix_seconds("as_of").alias("as_of_s"), SPEC.group, "n")
+
+
+def instants_checked(spark, sf):
+    """Every third hour, and which of them the replay range refuses."""
+    checked = flow.instants_checked(replay_instants(spark, sf), *CFG.replay)
+    return checked.select(F.unix_seconds("as_of").alias("as_of_s"), F.col("_reject_reason").alias("reason"))
 
 
 def _history(spark, sf, keys):
@@ -195,6 +201,16 @@ WHERE created_date < TIMESTAMP '2024-01-31' AND (closed_date IS NULL OR closed_d
 JOIN tickets ON created_date < t AND (closed_date IS NULL OR closed_date > t) GROUP BY t, agency""",
         ),
     ),
+    "instants_checked": Case(
+        instants_checked,
+        with_(
+            TICKETS,
+            f"""SELECT {sec('t')} AS as_of_s,
+  CASE WHEN t < TIMESTAMP '2024-01-24' OR t >= TIMESTAMP '2024-01-31' THEN 'as_of_out_of_range' END AS reason
+FROM (SELECT day + INTERVAL (h) HOUR AS t
+  FROM (SELECT DISTINCT date_trunc('day', created_date)::TIMESTAMP AS day FROM tickets), generate_series(0, 21, 3) g(h))""",
+        ),
+    ),
     "trailing_history_subgroup": Case(
         trailing_history_subgroup, with_(HISTORY, f"SELECT agency, complaint_type, day, {_H.format('')} FROM own")
     ),

@@ -128,9 +128,12 @@ def populated_rate(spark, sf):
     return profile.populated_rate(raw(spark, sf), "due_date", "agency")
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 def monthly_matrix(spark, sf):
     orders = testdata.table(spark, sf, "orders")
-    return profile.monthly_matrix(orders, "o_orderdate", "o_orderpriority", ["1-URGENT", "2-HIGH", "5-LOW"])
+    return profile.monthly_matrix(orders, "o_orderdate", "o_orderpriority", PRIORITIES)
 
 
 def extract_slice(spark, sf):
@@ -266,8 +269,10 @@ UNION ALL SELECT 'group', agency, round(avg(filled) * 100, 1) FROM r GROUP BY ag
         """SELECT strftime(o_orderdate, '%Y-%m') AS month,
   count(*) FILTER (o_orderpriority = '1-URGENT') AS "1-URGENT",
   count(*) FILTER (o_orderpriority = '2-HIGH') AS "2-HIGH",
+  count(*) FILTER (o_orderpriority = '3-MEDIUM') AS "3-MEDIUM",
+  count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS "4-NOT SPECIFIED",
   count(*) FILTER (o_orderpriority = '5-LOW') AS "5-LOW", count(*) AS total
-FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') GROUP BY 1""",
+FROM orders GROUP BY 1""",
     ),
     "extract_slice": Case(
         extract_slice,

@@ -46,21 +46,26 @@ def queue_total(spark, sf):
 
 
 def replay_queue_many(spark, sf):
-    times = settle(replay_instants(spark, sf).where(F.col("as_of") >= CFG.replay[0]), "times")
-    found = serving.replay_queue_many(ranked(spark, sf), times, SPEC, limit=20)
+    """Every third hour of the data's days, in and out of the replay range."""
+    times = settle(replay_instants(spark, sf), "times")
+    found = serving.replay_queue_many(ranked(spark, sf), times, SPEC, CFG.replay, limit=20)
     return rounded(
-        found.select(F.unix_seconds("as_of").alias("as_of_s"), "place", "total", SPEC.key, "age_hours", "risk", "already_breached"),
+        found.select(F.unix_seconds("as_of").alias("as_of_s"), F.col("_reject_reason").alias("reason"), "place", "total", SPEC.key, "age_hours",
+                     "risk", "already_breached"),
         "risk",
     )
 
 
+SHOWN = (SPEC.group, SPEC.region, SPEC.channel)
+
+
 def ticket_detail(spark, sf):
     table = ranked(spark, sf)
     asked = tickets(spark, sf).where(F.hour(SPEC.start) == 9).select(SPEC.key)
-    found, _ = serving.ticket_detail(table, asked, SPEC, reveal=True, risk="risk")
+    found, _ = serving.ticket_detail(table, asked, SPEC, reveal=True, risk="risk", feature_names=SHOWN)
     flat = found.select(
         SPEC.key, SPEC.group, SPEC.region, SPEC.channel, "status_at_extract", "created_at", "risk", "risk_band",
-        F.size("top_reasons").alias("n_reasons"),
+        F.size("top_reasons").alias("n_reasons"), F.to_json("feature_values").alias("feature_values"),
         F.col("actual_outcome.breached").alias("breached"), F.col("actual_outcome.label_state").alias("label_state"),
     )
     return rounded(flat, "risk")
@@ -69,7 +74,7 @@ def ticket_detail(spark, sf):
 def ticket_missing(spark, sf):
     """Asked keys outside the replay table."""
     asked = tickets(spark, sf).where(F.hour(SPEC.start) == 9).select(SPEC.key)
-    return serving.ticket_detail(ranked(spark, sf), asked, SPEC)[1]
+    return serving.ticket_detail(ranked(spark, sf), asked, SPEC, feature_names=SHOWN)[1]
 
 
 def kpis(spark, sf):
@@ -221,16 +226,20 @@ CASES = {
             + [
                 """times AS (
   SELECT day + INTERVAL (h) HOUR AS t
-  FROM (SELECT DISTINCT date_trunc('day', created_date)::TIMESTAMP AS day FROM tickets), generate_series(0, 21, 3) g(h)
-  WHERE day >= TIMESTAMP '2024-01-24')""",
+  FROM (SELECT DISTINCT date_trunc('day', created_date)::TIMESTAMP AS day FROM tickets), generate_series(0, 21, 3) g(h))""",
                 """placed AS (
   SELECT t, r.*, row_number() OVER (PARTITION BY t ORDER BY risk DESC, unique_key) AS place, count(*) OVER (PARTITION BY t) AS total
-  FROM times JOIN ranked r ON created_date < t AND (closed_date IS NULL OR closed_date > t))""",
+  FROM times JOIN ranked r ON created_date < t AND (closed_date IS NULL OR closed_date > t)
+  WHERE t >= TIMESTAMP '2024-01-24' AND t < TIMESTAMP '2024-01-31')""",
             ],
-            f"""SELECT {sec('t')} AS as_of_s, CAST(place AS INTEGER) AS place, total, unique_key,
+            f"""SELECT {sec('t')} AS as_of_s, NULL::VARCHAR AS reason, CAST(place AS INTEGER) AS place, total, unique_key,
   round((epoch_us(t) - epoch_us(created_date)) / 3600000000.0::DOUBLE, 2) AS age_hours, round(risk, 6) AS risk,
   (epoch_us(t) - epoch_us(created_date)) / 3600000000.0::DOUBLE > sla_target_hours AS already_breached
-FROM placed WHERE place <= 20""",
+FROM placed WHERE place <= 20
+UNION ALL
+SELECT {sec('t')}, CASE WHEN outside THEN 'as_of_out_of_range' END, NULL, CASE WHEN NOT outside THEN 0 END, NULL, NULL, NULL, NULL
+FROM (SELECT t, t < TIMESTAMP '2024-01-24' OR t >= TIMESTAMP '2024-01-31' AS outside FROM times)
+WHERE outside OR t NOT IN (SELECT t FROM placed)""",
         ),
     ),
     "ticket_detail": Case(
@@ -238,7 +247,9 @@ FROM placed WHERE place <= 20""",
         with_(
             RANKED,
             f"""SELECT unique_key, agency, borough, channel, status AS status_at_extract, {_iso('created_date')} AS created_at,
-  round(risk, 6) AS risk, risk_band, CAST(0 AS INTEGER) AS n_reasons, breach = 1 AS breached, label_state
+  round(risk, 6) AS risk, risk_band, CAST(0 AS INTEGER) AS n_reasons,
+  '{{"agency":' || to_json(agency) || coalesce(',"borough":' || to_json(borough)::VARCHAR, '') ||
+  coalesce(',"channel":' || to_json(channel)::VARCHAR, '') || '}}' AS feature_values, breach = 1 AS breached, label_state
 FROM ranked WHERE hour(created_date) = 9""",
         ),
     ),

@@ -176,7 +176,7 @@ CASES = {
             """SELECT 'rows' AS section, 'bronze_rows' AS name, count(*) AS n FROM everything
 UNION ALL SELECT 'rows', 'silver_rows', count(*) FROM tickets
 UNION ALL SELECT 'rows', 'rejected_rows', count(*) FROM everything WHERE resolution_hours > 72
-UNION ALL SELECT 'rejects_by_reason', 'resolution_exceeds_180d', count(*) FROM everything
+UNION ALL SELECT 'rejects_by_reason', 'resolution_exceeds_3d', count(*) FROM everything
   WHERE resolution_hours > 72 HAVING count(*) > 0
 UNION ALL SELECT 'label_states', label_state, count(*) FROM labeled GROUP BY label_state""",
         ),

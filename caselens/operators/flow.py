@@ -110,6 +110,41 @@ def check_range(at: str, lo: str, hi: str) -> None:
         raise ValueError(f"as_of must be within [{lo}, {hi})")
 
 
+def open_counts_at(
+    df: DataFrame, spec: LifecycleSpec, times: DataFrame, keys: Sequence[str] = (), at: str = "as_of", out: str = "n"
+) -> DataFrame:
+    """Rows open at every instant of ``times``, per group of ``keys``: the difference of two running totals.
+
+    No row meets an instant.  Both sides of "open" are strict, so a row enters a microsecond after its start and
+    leaves at its end, or at once when it ends before it starts.  A group without open rows has no row.
+    """
+    enters = F.unix_micros(spec.start) + 1
+    leaves = F.greatest(F.unix_micros(spec.end), enters)
+    moves = F.array(
+        F.struct(enters.alias("us"), F.lit(1).cast("long").alias("step")),
+        F.when(F.col(spec.end).isNotNull(), F.struct(leaves.alias("us"), F.lit(-1).cast("long").alias("step"))),
+    )
+    points = df.where(F.col(spec.start).isNotNull()).select(*keys, F.explode(F.array_compact(moves)).alias("m")).groupBy(
+        *keys, F.col("m.us").alias("us")
+    ).agg(F.sum("m.step").alias("step"))
+    points = settle(points.withColumn("_all", F.lit(0)), "moves")
+    # An instant sees what has happened up to and with it: the totals before the next microsecond.
+    asked = times.select((F.unix_micros(F.col(at).cast("timestamp")) + 1).alias("us")).distinct().withColumn("_all", F.lit(0))
+    if keys:
+        asked = asked.join(points.select(*keys, "_all").distinct(), "_all")
+    found = totals_before(points, asked, ["_all", *keys], "us", {out: Total("step")}, grain=DAY * 1_000_000)
+    return found.where(F.col(out) > 0).select(*keys, F.timestamp_micros(F.col("us") - 1).alias(at), out)
+
+
+def instants_checked(times: DataFrame, lo: str, hi: str, at: str = "as_of") -> DataFrame:
+    """The instants, with a reason where they are missing or outside [lo, hi)."""
+    when = F.col(at).cast("timestamp")
+    outside = (when < F.lit(lo).cast("timestamp")) | (when >= F.lit(hi).cast("timestamp"))
+    return times.select(when.alias(at)).distinct().withColumn(
+        "_reject_reason", F.when(when.isNull(), "as_of_missing").when(outside, "as_of_out_of_range")
+    )
+
+
 def open_as_of_many(
     df: DataFrame, spec: LifecycleSpec, times: DataFrame, at: str = "as_of", salts: int = 16
 ) -> DataFrame:

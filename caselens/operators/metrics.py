@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import bin_index
+from caselens.operators import quality
 from caselens.operators.prefix import global_rank, running_totals
 from caselens.operators.quantiles import group_quantiles
 from caselens.storage import settle
@@ -40,7 +41,7 @@ def baseline_group_rate(
 
 def score_points(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
     """Positives and rows per distinct score, with totals of all higher scores."""
-    points = df.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
+    points = quality.labeled(df, label).groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n")
     )
     falling = points.withColumn("_falling", -F.col("score"))

@@ -58,10 +58,17 @@ def reject_rules(spec: LifecycleSpec, max_hours: float = fixed.MAX_RESOLUTION_HO
     return [
         (fixed.REJECT_UNPARSEABLE, F.col(spec.start).isNull()),
         (fixed.REJECT_BACKWARDS, F.col(spec.end) < F.col(spec.start)),
-        (fixed.REJECT_TOO_LONG, F.col(spec.hours) > max_hours),
+        (too_long_reason(max_hours), F.col(spec.hours) > max_hours),
     ]
 
 
+def too_long_reason(max_hours: float) -> str:
+    """The reason names its limit, in days when it is whole days."""
+    if max_hours == fixed.MAX_RESOLUTION_HOURS:
+        return fixed.REJECT_TOO_LONG
+    return f"resolution_exceeds_{max_hours / 24:g}d" if max_hours % 24 == 0 else f"resolution_exceeds_{max_hours:g}h"
+
+
 def tag_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     return df.withColumn(REASON, first_matching(rules))
 

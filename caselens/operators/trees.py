@@ -82,7 +82,7 @@ def path_contributions(
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for values in batches:
-            x = np.array(values.tolist(), dtype=float).reshape(-1, width)
+            x = np.vstack(values.to_numpy()) if len(values) else np.zeros((0, width))
             yield pd.Series(list(_walk(x, shipped.value, width)))
 
     return df.withColumn(out, contributions(F.array(*[F.col(c).cast("double") for c in columns])))

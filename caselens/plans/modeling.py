@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens import fixed
@@ -214,10 +214,16 @@ def score_population(table: DataFrame, risk: RiskModel, cfg: FeatureConfig) -> D
     return score_rows(open_during(table, cfg.spec, *cfg.replay), risk)
 
 
+def is_not_finite(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+
+
 def validate_scenarios(df: DataFrame, spec: LifecycleSpec) -> DataFrame:
     """Tag rows with an empty name or a value out of range, first fault wins."""
     named = [spec.group, spec.subgroup, spec.region, spec.channel]
     rules = [(f"{c}_empty", blank(c)) for c in named]
+    rules += [(f"{c}_not_finite", is_not_finite(c)) for c in fixed.DEFAULTABLE_FEATURES]
     rules += [(f"{c}_negative", F.col(c) < 0) for c in fixed.DEFAULTABLE_FEATURES]
     rules += [("hist_breach_rate_28d_above_1", F.col("hist_breach_rate_28d") > 1)]
     rules += [("created_at_missing", F.col("created_at").isNull())]

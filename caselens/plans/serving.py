@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caselens import fixed
 from caselens.functions.columns import local_iso, parse_reasons
 from caselens.operators import profile
-from caselens.operators.flow import check_range, open_as_of, open_as_of_many
+from caselens.operators.flow import check_range, instants_checked, open_as_of, open_as_of_many, open_counts_at
 from caselens.operators.targets import TARGET, breach_rates
 from caselens.spec import LifecycleSpec
 from caselens.storage import settle
@@ -117,6 +117,7 @@ def replay_queue_many(
     scored: DataFrame,
     times: DataFrame,
     spec: LifecycleSpec,
+    replay: tuple[str, str],
     limit: int = DEFAULT_LIMIT,
     min_risk: float = 0.0,
     reveal: bool = False,
@@ -125,26 +126,43 @@ def replay_queue_many(
 ) -> DataFrame:
     """The queue at every instant of ``times`` (column ``as_of``), with place and total.
 
-    The rank filter is applied within each task before the shuffle, so an
-    instant with many open rows does not gather them.
+    An instant with nothing open has one row with total 0 and no place.  One outside
+    ``replay`` has one row with a reason and no total: the scored table doesn't hold what
+    was open then.  Totals are running counts; the rank filter is applied within each task
+    before the shuffle, so an instant with many open rows does not gather them.
     """
     _check_limit(limit)
     narrow = scored.select(
         spec.key, spec.group, spec.subgroup, spec.region, spec.start, spec.end, spec.hours, risk, "risk_band", TARGET,
         "breach",
     )
-    waiting = open_as_of_many(queue_filters(narrow, spec, min_risk=min_risk, risk=risk), spec, times)
+    queued = queue_filters(narrow, spec, min_risk=min_risk, risk=risk)
+    asked = settle(instants_checked(times, *replay), "instants")
+    good = asked.where(F.col("_reject_reason").isNull()).select("as_of")
+    waiting = open_as_of_many(queued, spec, good)
     place = F.row_number().over(Window.partitionBy("as_of").orderBy(F.desc(risk), F.asc(spec.key)))
     best = waiting.withColumn("place", place).where(F.col("place") <= limit)
-    totals = waiting.groupBy("as_of").agg(F.count("*").alias("total"))
-    placed = best.join(totals, "as_of")
-    return _items(placed, spec, F.col("as_of"), zone, reveal, risk, ["as_of", "place", "total"])
+    totals = open_counts_at(queued, spec, good, out="total")
+    heads = asked.join(totals, "as_of", "left").withColumn(
+        "total", F.when(F.col("_reject_reason").isNull(), F.coalesce("total", F.lit(0).cast("long")))
+    )
+    placed = settle(heads, "queue-heads").join(best, "as_of", "left")
+    return _items(placed, spec, F.col("as_of"), zone, reveal, risk, ["as_of", "_reject_reason", "place", "total"])
 
 
 def ticket_detail(
-    scored: DataFrame, keys: DataFrame, spec: LifecycleSpec, reveal: bool = False, zone: str = ZONE, risk: str = "risk"
+    scored: DataFrame,
+    keys: DataFrame,
+    spec: LifecycleSpec,
+    reveal: bool = False,
+    zone: str = ZONE,
+    risk: str = "risk",
+    feature_names: Sequence[str] = fixed.FEATURES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows asked for by key, and the asked keys that do not exist."""
+    """Rows asked for by key, and the asked keys that do not exist.
+
+    ``scored`` must have every column of ``feature_names``.
+    """
     found = scored.join(keys.select(spec.key).distinct(), spec.key, "left_semi")
     missing = keys.select(spec.key).distinct().join(scored.select(spec.key), spec.key, "left_anti")
     reasons = F.col("top_reasons") if "top_reasons" in scored.columns else F.lit(None).cast("string")
@@ -169,7 +187,7 @@ def ticket_detail(
         risk, "risk_band",
         F.col(TARGET).alias("sla_threshold_hrs"),
         reasons.alias("top_reasons"),
-        F.struct(*[F.col(f) for f in fixed.FEATURES if f in scored.columns]).alias("feature_values"),
+        F.struct(*[F.col(f) for f in feature_names]).alias("feature_values"),
         *outcome,
     )
     return detail, missing

@@ -8,31 +8,34 @@ not.  The files also survive the loss of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCRATCH = "caselens.scratch.dir"
-
 
 def shared_root(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    scratch = spark.conf.get(_SCRATCH, None)
-    if scratch:
-        return scratch
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder named by ``spark.checkpoint.dir``, else the context's, else one below the warehouse.
+
+    A folder that is named is taken at its word.  The warehouse is only a guess, so off a local
+    master it must carry a scheme other than ``file:``.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    guess = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if not usable_guess(guess, spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    scratch = tempfile.mkdtemp(prefix="caselens-")
-    spark.conf.set(_SCRATCH, scratch)
-    return scratch
+    return guess
+
+
+def usable_guess(path: str, master: str) -> bool:
+    scheme = path.split(":", 1)[0] if "://" in path or path.startswith("file:") else ""
+    return master.startswith("local") or scheme not in ("", "file")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     app = spark.sparkContext.applicationId
-    return f"{shared_root(spark).rstrip('/')}/caselens-{app}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/caselens-{app}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
