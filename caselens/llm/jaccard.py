@@ -45,7 +45,7 @@ FREQUENT, LEAST_TEXTS = 1 << 20, 3
 #: Entries of a list that is still paired in its task.
 SHORT = 64
 #: Rounds of leaders before the rest is compared.
-ROUNDS = 3
+ROUNDS = 5
 #: Shingles that a task of the map side packs together, and that a task of the reduce side takes.
 PACKED, PER_TASK = 1 << 20, 1 << 20
 
@@ -375,32 +375,57 @@ def _ordered() -> list[Column]:
 
 
 def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """node, label by all links, those given and those between entries of the long lists (token, a, n, place)."""
+    """node, label by all links, those given and those between entries of the long lists (token, a, n, place).
+
+    Between rounds, a part that a leader links with takes over the leader's label.  That may leave connected
+    parts with different labels, never the same label on parts that aren't connected; whole components are
+    computed before the rest is compared, and at the end.
+    """
+    label = components(links)
+    held = settle(_labelled(lists.select("a").distinct(), label), "list-labels")
     tested = None
-    for round_ in range(ROUNDS + 1):
-        label = components(links)
-        known = lists.join(label.withColumnRenamed("node", "a"), "a", "left").withColumn("label", F.coalesce("label", "a"))
-        # A list whose sets are all connected has nothing left to say.
-        parts = known.groupBy("token", "label").agg(
-            F.min(F.struct(F.xxhash64("a", F.lit(round_)).alias("h"), "a", "n", "place", "label")).alias("lead"),
-            F.count("*").alias("sets"),
-        )
-        per = parts.groupBy("token").agg(
-            F.min("lead").alias("lead"), F.max(F.struct("sets", "label"))["label"].alias("usual"), F.count("*").alias("parts")
-        ).where("parts > 1").drop("parts")
-        known = settle(known.join(per, "token"), "leader-lists")
+    for round_ in range(ROUNDS):
+        known = _unsettled(lists, held, round_)
         if known.isEmpty():
-            return label
-        if round_ < ROUNDS:
-            pair = known.select(F.struct("a", "n", "place", "label").alias("x"), F.col("lead").alias("y")).where("x.label <> y.label").where(_bound(percent)).select(*_ordered()).distinct()
-        else:
-            pair = _rest(known, tested, percent)
+            return label if tested is None else components(links)
+        pair = settle(
+            known.select(F.struct("a", "n", "place", "label").alias("x"), F.col("lead").alias("y"))
+            .where("x.label <> y.label").where(_bound(percent))
+            .select(*_ordered(), F.col("x.label").alias("part"), F.col("y.label").alias("into")).distinct(),
+            "leader-pairs")
+        new = pair.select("a", "b").distinct()
         if tested is not None:
-            pair = pair.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        compared = settle(overlaps(pair, texts), "compared")
-        links = settle(links.unionByName(_links(compared, percent)).distinct(), "set-links")
+            new = new.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        compared = settle(overlaps(new, texts), "compared")
+        found = settle(_links(compared, percent), "set-links")
+        moves = pair.join(found, ["a", "b"]).groupBy("part").agg(F.min("into").alias("into"))
+        held = settle(held.join(moves, held["label"] == moves["part"], "left").select(
+            "a", F.coalesce("into", "label").alias("label")), "list-labels")
+        links = links.unionByName(found)
         tested = compared if tested is None else tested.unionByName(compared)
-    return components(links)
+    label = components(links)
+    known = _unsettled(lists, _labelled(held.select("a"), label), ROUNDS)
+    if known.isEmpty():
+        return label
+    pair = _rest(known, tested, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    return components(links.unionByName(_links(settle(overlaps(pair, texts), "compared"), percent)))
+
+
+def _labelled(sets: DataFrame, label: DataFrame) -> DataFrame:
+    return sets.join(label.withColumnRenamed("node", "a"), "a", "left").select("a", F.coalesce("label", "a").alias("label"))
+
+
+def _unsettled(lists: DataFrame, held: DataFrame, round_: int) -> DataFrame:
+    """The entries of lists whose sets are not all connected, with the list's largest part (``usual``) and a set of it."""
+    known = lists.join(held, "a")
+    parts = known.groupBy("token", "label").agg(
+        F.min(F.struct(F.xxhash64("a", F.lit(round_)).alias("h"), "a", "n", "place", "label")).alias("lead"),
+        F.count("*").alias("sets"),
+    )
+    per = parts.groupBy("token").agg(
+        F.max(F.struct("sets", "label", "lead")).alias("top"), F.count("*").alias("parts")
+    ).where("parts > 1").select("token", F.col("top.label").alias("usual"), F.col("top.lead").alias("lead"))
+    return settle(known.join(per, "token"), "leader-lists")
 
 
 def _rest(known: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
