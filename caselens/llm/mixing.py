@@ -50,26 +50,27 @@ def inverse_poisson(u: Column, mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, further, lambda s: s["k"])
 
 
-def tempered_shares(docs: DataFrame, alpha: float = 0.5) -> DataFrame:
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """source, n: rows of each source, written."""
+    return settle(docs.groupBy("source").agg(F.count("*").alias("n")), "source-sizes")
+
+
+def tempered_shares(sizes: DataFrame, alpha: float = 0.5) -> DataFrame:
     """Target shares by source: rows to the power ``alpha``, made to add to one."""
-    sizes = docs.groupBy("source").agg(F.count("*").alias("n")).withColumn("w", F.pow("n", F.lit(alpha)))
-    total = sizes.agg(F.sum("w").alias("all_w")).withColumn("one", F.lit(1))
-    return sizes.withColumn("one", F.lit(1)).join(total, "one").select("source", (F.col("w") / F.col("all_w")).alias("share"))
+    weight = F.pow("n", F.lit(alpha))
+    total = sizes.agg(F.sum(weight)).first()[0]
+    return sizes.select("source", (weight / F.lit(total)).alias("share"))
 
 
-def rates(docs: DataFrame, shares: DataFrame, size: float = 1.0) -> DataFrame:
+def rates(sizes: DataFrame, shares: DataFrame, size: float = 1.0) -> DataFrame:
     """source, rate: the mean number of copies of a document, for a mixture of ``size`` times the input's rows.
 
     A source without a share has the rate 0; a share without rows counts for nothing.
     """
-    sizes = docs.groupBy("source").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n").alias("all_n")).withColumn("one", F.lit(1))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     given = shares.select(F.col("source").alias("s"), "share")
-    return (
-        sizes.withColumn("one", F.lit(1))
-        .join(total, "one")
-        .join(given, F.col("source").eqNullSafe(F.col("s")), "left")
-        .select("source", F.coalesce(F.lit(size) * F.col("all_n") * F.col("share") / F.col("n"), F.lit(0.0)).alias("rate"))
+    return sizes.join(given, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", F.coalesce(F.lit(size * total) * F.col("share") / F.col("n"), F.lit(0.0)).alias("rate")
     )
 
 
@@ -82,10 +83,14 @@ def copies(rate: Column, key: Column, seed: int) -> Column:
     return F.aggregate(draws, F.lit(0), lambda a, b: a + b)
 
 
-def mix(docs: DataFrame, shares: DataFrame, size: float = 1.0, seed: int = 11, partitions: int | None = None) -> DataFrame:
-    """All copies in shuffled order, with ``copy`` (from 1), ``rate`` and ``position`` (a number in (0, 1))."""
+def mix(docs: DataFrame, shares: DataFrame | None = None, size: float = 1.0, seed: int = 11, partitions: int | None = None) -> DataFrame:
+    """All copies in shuffled order, with ``copy`` (from 1), ``rate`` and ``position`` (a number in (0, 1)).
+
+    ``shares`` has source and share; without it, tempered shares are taken.
+    """
     docs = docs.drop("copy", "rate", "position")
-    table = settle(rates(docs, shares, size), "mixing-rates")
+    sizes = sizes_of(docs)
+    table = settle(rates(sizes, tempered_shares(sizes) if shares is None else shares, size), "mixing-rates")
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
     of = table.withColumnRenamed("source", "rate_source")
     drawn = (

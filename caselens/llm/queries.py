@@ -22,6 +22,28 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s
+  FROM words
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON a = doc_id
+"""
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
@@ -81,8 +103,29 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, mixing.tempered_shares(docs))
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+# Inverse Poisson: the number of terms of the distribution function below the uniform number.
+OP8_SQL = """
+WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, (SELECT sum(n) FROM sizes) * (pow(n, 0.5) / (SELECT sum(pow(n, 0.5)) FROM sizes)) / n AS rate FROM sizes
+), steps AS (
+  SELECT source, rate, greatest(ceil(rate / 8.0), 1)::BIGINT AS parts FROM rates
+), keyed AS (
+  SELECT d.*, s.rate, s.parts, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS k
+  FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source
+), drawn AS (
+  SELECT *, (SELECT sum((SELECT count(*) FROM (
+      SELECT sum(exp(-rate / parts + j * ln(rate / parts) - lgamma(j + 1))) OVER (ORDER BY j) AS below FROM range(0, 64) t(j))
+      WHERE below < (('0x' || substr(md5('11|' || k || '|' || i), 1, 13))::BIGINT + 0.5) / 4503599627370496.0))
+    FROM range(1, parts + 1) g(i)) AS times
+  FROM keyed
+), copied AS (SELECT * EXCLUDE (parts, times), unnest(range(1, times::BIGINT + 1))::INTEGER AS copy FROM drawn)
+SELECT * EXCLUDE (k), (('0x' || substr(md5('11 place|' || k || '|' || copy), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS position
+FROM copied
+"""
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,13 +140,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CASES: dict[str, Case] = {
     "op1_secrets": Case(op1_secrets),
-    "op2_jaccard": Case(op2_jaccard),
+    "op2_jaccard": Case(op2_jaccard, OP2_SQL),
     "op3_neighbours": Case(op3_neighbours),
     "op4_token_counts": Case(op4_token_counts),
     "op5_pieces": Case(op5_pieces),
     "op6_tool_calls": Case(op6_tool_calls, OP6_SQL),
     "op7_quality": Case(op7_quality),
-    "op8_mixing": Case(op8_mixing),
+    "op8_mixing": Case(op8_mixing, OP8_SQL),
     "op9_sharding": Case(op9_sharding),
     "op10_repeats": Case(op10_repeats),
     "pipeline": Case(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),

@@ -38,7 +38,7 @@ def sources(spark):
 def test_copies_are_inverted_draws(spark):
     docs = sources(spark)
     shares = spark.createDataFrame([("hot", 0.2), ("rare", 0.05), ("s0", 0.5), (None, 0.01), ("absent", 0.2)], "source string, share double")
-    rate = {r["source"]: r["rate"] for r in mixing.rates(docs, shares).collect()}
+    rate = {r["source"]: r["rate"] for r in mixing.rates(mixing.sizes_of(docs), shares).collect()}
     assert rate["s1"] == 0 and rate["rare"] > mixing.STEP and None in rate
     out = mixing.mix(docs, shares).collect()
     got = Counter((r["doc_id"], r["text"], r["source"]) for r in out)
@@ -53,7 +53,7 @@ def test_copies_are_inverted_draws(spark):
 
 def test_order_is_global_and_repeatable(spark):
     docs = sources(spark)
-    shares = mixing.tempered_shares(docs)
+    shares = mixing.tempered_shares(mixing.sizes_of(docs))
     a = [(r["doc_id"], r["copy"], r["position"]) for r in mixing.mix(docs, shares, partitions=4).collect()]
     b = [(r["doc_id"], r["copy"], r["position"]) for r in mixing.mix(docs.repartition(3), shares, partitions=4).collect()]
     assert sorted(a, key=str) == sorted(b, key=str)
@@ -63,4 +63,4 @@ def test_order_is_global_and_repeatable(spark):
 
 def test_empty(spark):
     docs = sources(spark).limit(0)
-    assert mixing.mix(docs, mixing.tempered_shares(docs)).count() == 0
+    assert mixing.mix(docs).count() == 0

@@ -37,8 +37,9 @@ def test_stages(spark):
             assert r["text"] == rows[r["doc_id"]]["text"]
 
     mixed = STAGES["mixture"](spark, clean, SF)
+    sizes = mixing.sizes_of(clean)
     assert mixed.columns == docs.columns
-    rate = {r["source"]: r["rate"] for r in mixing.rates(clean, mixing.tempered_shares(clean)).collect()}
+    rate = {r["source"]: r["rate"] for r in mixing.rates(sizes, mixing.tempered_shares(sizes)).collect()}
     texts = {r["doc_id"]: r["text"] for r in clean.collect()}
     got = Counter(r["doc_id"] for r in mixed.collect())
     assert got == +Counter({r["doc_id"]: draws(rate[r["source"]], str(r["doc_id"])) for r in clean.collect()})
