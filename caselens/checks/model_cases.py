@@ -10,7 +10,6 @@ from caselens.operators import features, quality
 from caselens.plans import modeling, serving
 from caselens.storage import settle, shared_path
 
-TRIALS, ROUNDS = 2, 12
 _FITTED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
@@ -24,7 +23,7 @@ def fitted(spark, sf):
         built, saved = shared_path(spark, "features"), shared_path(spark, "context")
         features.feature_table(valid, CFG, frozen).write.parquet(built)
         table = spark.read.parquet(built)
-        risk = modeling.fit_risk_model(table, TRIALS, fixed.SEARCH_SEED, ROUNDS)
+        risk = modeling.fit_risk_model(table)
         modeling.save_context(modeling.scoring_context(risk, table, frozen, CFG), saved)
         _FITTED[at] = (built, saved)
     built, saved = _FITTED[at]
@@ -61,7 +60,7 @@ def top_reasons(spark, sf):
 
 def _report(spark, sf):
     table, risk = fitted(spark, sf)
-    return modeling.model_report(table, risk, SPEC, limitations=["Fitted with few trials and rounds."])
+    return modeling.model_report(table, risk, SPEC, limitations=["Fitted on tickets derived from events."])
 
 
 def model_metrics(spark, sf):

@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,55 @@ def tree_nodes(spark: SparkSession, model: GBTClassificationModel, path: str | N
     return nodes.join(weights, "tree")
 
 
+def node_table(nodes: DataFrame) -> list[dict]:
+    """The trees as arrays on the driver: bounded by trees x 2^(depth + 1) whatever the data."""
+    table = nodes.toPandas().sort_values(["tree", "node"])
+    return [
+        {
+            "left": part["left"].to_numpy(np.int64),
+            "right": part["right"].to_numpy(np.int64),
+            "feature": part["feature"].to_numpy(np.int64),
+            "threshold": part["threshold"].fillna(0.0).to_numpy(float),
+            "value": 2.0 * (part["weight"] * part["prediction"]).to_numpy(float),
+        }
+        for _, part in table.groupby("tree")
+    ]
+
+
+def _leaves(x: np.ndarray, tree: dict) -> np.ndarray:
+    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    while True:
+        inner = tree["left"][at] >= 0
+        if not inner.any():
+            return at
+        r, node = rows[inner], at[inner]
+        at[inner] = np.where(x[r, tree["feature"][node]] <= tree["threshold"][node], tree["left"][node], tree["right"][node])
+
+
+def binned_rounds(rows: DataFrame, nodes: DataFrame, bins: int) -> DataFrame:
+    """round, bin, pos, n: rows (x, y) by their score after each round, counted within each task."""
+    shipped = rows.sparkSession.sparkContext.broadcast(node_table(nodes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = shipped.value
+        n, pos = (np.zeros((len(trees), bins), np.int64) for _ in range(2))
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            y = batch.column("y").to_numpy(zero_copy_only=False) > 0
+            margin = np.zeros(len(x))
+            for i, tree in enumerate(trees):
+                margin += tree["value"][_leaves(x, tree)]
+                at = np.minimum((bins / (1 + np.exp(-margin))).astype(np.int64), bins - 1)
+                n[i] += np.bincount(at, minlength=bins)
+                pos[i] += np.bincount(at[y], minlength=bins)
+        round_, bin_ = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(round_), pa.array(bin_), pa.array(pos[round_, bin_]), pa.array(n[round_, bin_])],
+            names=["round", "bin", "pos", "n"])
+
+    return rows.mapInArrow(run, "round long, bin long, pos long, n long")
+
+
 def _walk(x: np.ndarray, trees: list[dict], n_features: int) -> np.ndarray:
     credit = np.zeros((len(x), n_features))
     rows = np.arange(len(x))
@@ -58,25 +108,8 @@ def _walk(x: np.ndarray, trees: list[dict], n_features: int) -> np.ndarray:
 def path_contributions(
     df: DataFrame, nodes: DataFrame, columns: Sequence[str], out: str = "contributions"
 ) -> DataFrame:
-    """Add an array of log-odds contributions, one per entry of ``columns``.
-
-    The node table is bounded by trees x 2^(depth + 1) whatever the data, so it
-    is read once and shipped to the tasks.
-    """
-    spark = df.sparkSession
-    table = nodes.toPandas().sort_values(["tree", "node"])
-    trees = []
-    for _, part in table.groupby("tree"):
-        trees.append(
-            {
-                "left": part["left"].to_numpy(np.int64),
-                "right": part["right"].to_numpy(np.int64),
-                "feature": part["feature"].to_numpy(np.int64),
-                "threshold": part["threshold"].fillna(0.0).to_numpy(float),
-                "value": 2.0 * (part["weight"] * part["prediction"]).to_numpy(float),
-            }
-        )
-    shipped = spark.sparkContext.broadcast(trees)
+    """Add an array of log-odds contributions, one per entry of ``columns``; the trees are shipped to the tasks."""
+    shipped = df.sparkSession.sparkContext.broadcast(node_table(nodes))
     width = len(columns)
 
     @F.pandas_udf("array<double>")

@@ -156,3 +156,22 @@ def test_scenarios(spark, built):
         3: "unsupported_group", 4: "complaint_type_empty", 5: "agency_open_backlog_negative",
         6: "hist_breach_rate_28d_above_1",
     }
+
+
+def test_growing_stops_and_equals_one_long_fit(built):
+    table, _ = built
+    known = quality.labeled(table).where(F.col("split").isin("train", "val"))
+    encoder = features.fit_ordinal(known.where("split = 'train'"), fixed.CATEGORICAL_FEATURES)
+    data = settle(modeling.encode(known, encoder).select(F.col("breach").cast("double").alias("breach"), "split", "features"), "rows")
+    train, val = data.where("split = 'train'"), data.where("split = 'val'")
+    params = {"maxDepth": 3, "stepSize": 0.4, "subsamplingRate": 0.8, "featureShare": 0.8, "minInstancesPerNode": 2}
+    staged = modeling.fit_rounds(train, val, params, 40, 5, first=5, patience=4)
+    whole = modeling.fit_rounds(train, val, params, 40, 5, first=40, patience=4)
+    grown = staged.fitted.getNumTrees
+    assert grown < 40 == whole.fitted.getNumTrees and staged.keep == whole.keep and staged.keep + 4 <= grown
+    assert staged.pr_auc == pytest.approx(whole.pr_auc[:grown])
+    kept = staged.model(train)
+    assert kept.getNumTrees == staged.keep
+    scored = modeling.raw_scores(kept, val)
+    exact = metrics.ranking_metrics(scored, "raw_score").first()["pr_auc"]
+    assert staged.pr_auc[staged.keep - 1] == pytest.approx(exact, abs=5e-3)
