@@ -39,6 +39,8 @@ PRUNE, PROBES = 0.35, 256
 DEGREE, BEAM = 24, 32
 #: Points of a block, and parts that a list is dealt to.
 BLOCK, DEAL = 512, 8
+#: Queries whose best points a task holds at once.
+HELD = 1 << 15
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -212,25 +214,42 @@ def blocks_of(rows: DataFrame, deal: int, size: int) -> DataFrame:
 
 
 def compared(queries: DataFrame, lists: DataFrame, k: int) -> DataFrame:
-    """point, ids, score: the k nearest points to each query in each block."""
+    """point, ids, score: the k nearest points to each query among the blocks that a task has met.
+
+    A task keeps the best of up to ``HELD`` queries while it walks its blocks, so what it hands on doesn't
+    grow with the number of blocks.
+    """
     both = lists.join(queries.select("list", F.col("points").alias("q_points"), F.col("vectors").alias("q_vectors")), "list")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[tuple[float, int, list[int]]]] = {}
+
+        def flush() -> pa.RecordBatch:
+            rows = [(point, ids, d) for point, near in best.items() for d, _, ids in near]
+            best.clear()
+            point, ids, score = zip(*rows) if rows else ((), (), ())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(point, pa.int64()), pa.array(ids, pa.list_(pa.int64())), pa.array(score, pa.float64())],
+                names=["point", "ids", "score"])
+
         for batch in batches:
             for row in range(batch.num_rows):
                 get = lambda c: batch.column(c)[row]  # noqa: E731, B023
                 q_points, ids = get("q_points").as_py(), get("ids").as_py()
                 q = np.frombuffer(get("q_vectors").as_py()).reshape(len(q_points), -1)
                 x = np.frombuffer(get("vectors").as_py()).reshape(len(ids), -1)
-                first = [i[0] for i in ids]
-                point, got, score = [], [], []
                 for name, one in zip(q_points, q):
                     d = np.sqrt(((x - one) ** 2).sum(1))
-                    for j in np.lexsort((first, d))[:k].tolist():
-                        point.append(name), got.append(ids[j]), score.append(d[j])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(point, pa.int64()), pa.array(got, pa.list_(pa.int64())), pa.array(score, pa.float64())],
-                    names=["point", "ids", "score"])
+                    near = best.get(name, [])
+                    most = near[-1][0] if len(near) == k else np.inf
+                    if len(d) > k:
+                        most = min(most, np.partition(d, k - 1)[k - 1])
+                    new = {ids[j][0]: (float(d[j]), ids[j][0], ids[j]) for j in np.flatnonzero(d <= most).tolist()}
+                    if new:
+                        best[name] = sorted({**{n[1]: n for n in near}, **new}.values(), key=lambda n: n[:2])[:k]
+                if len(best) > HELD:
+                    yield flush()
+        yield flush()
 
     return both.select("points", "vectors", "ids", "q_points", "q_vectors").mapInArrow(
         run, "point long, ids array<bigint>, score double"
