@@ -119,7 +119,7 @@ def _short(tokens: np.ndarray) -> np.ndarray:
 
 def frequent_shingles(docs: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles (their 32 bits, sorted) and how often they come; at most ``FREQUENT``."""
-    tasks = max(1, -(-total // (4 * PER_TASK)))
+    tasks = max(1, -(-total // PER_TASK))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -453,7 +453,7 @@ def placed_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select("doc_id", "text").withColumn("row", row_hash())
     sets = settle(set_digests(docs), "shingle-sets")
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    tasks = max(1, -(-total // (3 * PER_TASK)))
+    tasks = max(1, -(-total // (2 * PER_TASK)))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, total))
     proposed = settle(pair_lists(postings(docs, frequent, tasks, percent), tasks, percent), "set-pairs")
     pairs = proposed.where("token is null").select("a", "b").distinct()

@@ -22,7 +22,7 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,9 @@ def usable(vectors: DataFrame) -> DataFrame:
         & F.exists("embedding", lambda x: x != 0)
     )
     sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("embedding") == (sizes["n"] if sizes else -1))
+    # A negative zero is a zero, also to hashes.
+    plain = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
+    return rows.where(F.size("embedding") == (sizes["n"] if sizes else -1)).withColumn("embedding", plain)
 
 
 def points_of(rows: DataFrame, keep: int) -> DataFrame:
@@ -69,6 +71,8 @@ class Graph:
     centroids: np.ndarray
     neighbours: np.ndarray
     entries: np.ndarray
+    #: The median distance from a sampled point to its centroid.
+    usual: float = 0.0
 
     def nearest(self, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Centroids near each row of x, nearest first, by best-first search of all rows side by side."""
@@ -157,15 +161,19 @@ def fit(points: DataFrame) -> Graph | None:
     few = sample_by_hash(points.withColumn("h", F.xxhash64("point", F.lit(5))), "h", n, SAMPLE)
     sample = _matrix(few.select("embedding").toArrow().column("embedding").combine_chunks())
     lists = max(1, min(LISTS, n // LIST_POINTS, len(sample) // 8))
-    return centroid_graph(balanced_centroids(sample, lists))
+    found = centroid_graph(balanced_centroids(sample, lists))
+    return replace(found, usual=float(np.median(found.nearest(sample[:1024], 1)[1])))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def assigned(points: DataFrame, graph, ratio: float, most: int) -> DataFrame:
-    """point, embedding, ids, list: each point with the lists within ``1 + ratio`` times the nearest distance."""
+def assigned(points: DataFrame, graph, ratio: float, most: int, least: float = 0.0) -> DataFrame:
+    """point, embedding, ids, list: each point with the lists within ``1 + ratio`` times the nearest distance.
+
+    ``least``: a nearest distance below it counts as this, so that a query that is a centroid itself looks around.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = graph.value
@@ -173,7 +181,7 @@ def assigned(points: DataFrame, graph, ratio: float, most: int) -> DataFrame:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 lists, dist = g.nearest(_matrix(batch.column("embedding")), most)
-                use = (dist <= (1 + ratio) * dist[:, :1]) & (lists >= 0) & np.isfinite(dist)
+                use = (dist <= (1 + ratio) * np.maximum(dist[:, :1], least)) & (lists >= 0) & np.isfinite(dist)
                 row, col = np.nonzero(use)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(lists[row, col])], names=[*taken.schema.names, "list"])
@@ -271,7 +279,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     graph = spark.sparkContext.broadcast(fitted)
     lists = settle(blocks_of(assigned(points, graph, REPLICATE, REPLICAS), DEAL, BLOCK), "posting-lists")
     wanted = points.join(asked.select("point").distinct(), "point", "left_semi")
-    queries = blocks_of(assigned(wanted, graph, PRUNE, PROBES), 1, BLOCK)
+    queries = blocks_of(assigned(wanted, graph, PRUNE, PROBES, fitted.usual), 1, BLOCK)
     found = compared(queries, lists, k + 1)
     # A point met in two lists is one answer; a point gives each of its ids.
     answers = found.select("point", F.explode("ids").alias("vec_id"), "score").distinct()

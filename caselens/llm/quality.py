@@ -74,21 +74,25 @@ def duplicate_lines(raw: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def counts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _counted(piece: pa.RecordBatch) -> list[tuple[int, ...]]:
+    out = []
+    for text in piece.column("text").to_pylist():
+        text = text or ""
+        raw = text.encode()
+        words = raw.split()
+        chars = len(text) - sum(raw.count(c) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
+        out.append((len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(raw), repeated_words(words),
+                    len(raw) - len(raw.translate(None, _CAPITALS)), len(raw) - len(raw.translate(None, _MARKS))))
+    return out
+
+
+def counts(docs: DataFrame) -> DataFrame:
     """The rule counts of every text.  ``bytes.split`` and ``bytes.strip`` know exactly the six ASCII spaces."""
 
     def rows(piece: pa.RecordBatch) -> list:
-        out = []
-        for text in piece.column("text").to_pylist():
-            text = text or ""
-            raw = text.encode()
-            words = raw.split()
-            chars = len(text) - sum(raw.count(c) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
-            out.append((len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(raw), repeated_words(words),
-                        len(raw) - len(raw.translate(None, _CAPITALS)), len(raw) - len(raw.translate(None, _MARKS))))
-        return [pa.array(c, pa.int64()) for c in zip(*out)]
+        return [pa.array(c, pa.int64()) for c in zip(*_counted(piece))]
 
-    return map_texts(docs, COUNTS, rows, keep)
+    return map_texts(docs, COUNTS, rows)
 
 
 def base_failed() -> F.Column:
@@ -210,21 +214,26 @@ def fitted(stats: DataFrame, labels: DataFrame) -> tuple[list[Tree], float]:
     return trees, calibrate(score(rest, trees), labels)
 
 
-def _verdict(scored: DataFrame, threshold: float) -> DataFrame:
-    return scored.withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") < F.lit(threshold))
-    )
-
-
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, score and verdict of every document."""
     stats = settle(features(counts(docs)), "quality-counts")
     trees, threshold = fitted(stats, labels)
-    return _verdict(score(stats, trees), threshold)
+    return score(stats, trees).withColumn("base_failed", base_failed()).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("score") < F.lit(threshold))
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, unchanged.  Texts are counted again rather than shuffled."""
+    """The rows of ``docs`` that are kept, unchanged.  Texts are counted again, in one pass with the verdict, not shuffled."""
     trees, threshold = fitted(settle(features(counts(docs)), "quality-counts"), labels)
+    shipped = docs.sparkSession.sparkContext.broadcast(trees)
     named, names, back = carried(docs)
-    return back(_verdict(score(features(counts(named, names)), trees), threshold).where("kept"))
+
+    def rows(piece: pa.RecordBatch) -> list:
+        c = np.array(_counted(piece), np.int64)
+        words = np.maximum(c[:, 0], 1)
+        x = np.stack([c[:, 1] / words, c[:, 2] / words, c[:, 5] / np.maximum(c[:, 1], 1), c[:, 6] / words], 1)
+        failed = (c[:, 0] < LEAST_WORDS) | (100 * c[:, 4] > MOST_REPEATED_PERCENT * c[:, 0])
+        return [pa.array(~failed & (forest_scores(shipped.value, x) < threshold))]
+
+    return back(map_texts(named, "kept boolean", rows, names).where("kept"))
