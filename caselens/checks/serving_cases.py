@@ -95,7 +95,8 @@ def hotspots_region(spark, sf):
 
 
 def metadata(spark, sf):
-    return serving.metadata(tickets(spark, sf, full=True), SPEC)
+    frozen = features.frozen_targets(settle(split(spark, sf), "split"), CFG)
+    return serving.metadata(tickets(spark, sf, full=True), SPEC, CFG.replay, frozen)
 
 
 def subgroups_by_group(spark, sf):
@@ -296,11 +297,13 @@ FROM ranked WHERE hour(created_date) = 9""",
     "metadata": Case(
         metadata,
         with_(
-            TICKETS,
+            FROZEN,
             " UNION ALL ".join(
                 f"SELECT DISTINCT '{c}' AS column, {c} AS value FROM tickets WHERE {c} IS NOT NULL"
                 for c in ("agency", "borough", "channel")
-            ),
+            )
+            + f""" UNION ALL SELECT 'replay_from', '{CFG.replay[0]}' UNION ALL SELECT 'replay_to', '{CFG.replay[1]}'
+UNION ALL SELECT 'threshold', concat_ws('|', agency, complaint_type, round(sla_target_hours, 6)::VARCHAR, target_source) FROM frozen""",
         ),
     ),
     "subgroups_by_group": Case(subgroups_by_group, with_(FROZEN, "SELECT agency, complaint_type FROM frozen")),

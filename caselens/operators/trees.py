@@ -150,8 +150,11 @@ def top_reasons(
     )
 
 
-def importance(df: DataFrame, features: Sequence[str], contributions: str = "contributions") -> DataFrame:
-    """Mean absolute contribution per feature, largest first."""
+def importance(
+    df: DataFrame, features: Sequence[str], contributions: str = "contributions", k: int | None = None
+) -> DataFrame:
+    """Mean absolute contribution per feature, largest first; the first ``k`` of them if given."""
     means = df.agg(*[F.avg(F.abs(F.col(contributions)[i])).alias(f) for i, f in enumerate(features)])
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("mean_abs_contribution")) for f in features])
-    return means.select(F.inline(pairs)).orderBy(F.desc("mean_abs_contribution"), "feature")
+    ranked = means.select(F.inline(pairs)).orderBy(F.desc("mean_abs_contribution"), "feature")
+    return ranked if k is None else ranked.limit(k)

@@ -49,6 +49,7 @@ class RiskModel:
     common: DataFrame | None = None
     targets: DataFrame | None = None
     split_sizes: dict[str, int] = field(default_factory=dict)
+    replay: tuple[str, str] | None = None
 
     @property
     def calibration(self) -> str:
@@ -232,6 +233,7 @@ def scoring_context(
 ) -> RiskModel:
     """Add the frozen targets and common pairs that scenario scoring looks up."""
     risk.targets = frozen
+    risk.replay = tuple(cfg.replay)
     risk.common = features.common_types(table.where(F.col("split") == "train"), cfg.spec, cfg.rare_min_n)
     return risk
 
@@ -333,6 +335,9 @@ def save_context(risk: RiskModel, path: str) -> None:
     settings = [("val_pr_auc", risk.val_pr_auc), ("val_ece", risk.val_ece), ("cut", risk.cut), ("train_rate", risk.train_rate),
                 ("calibrated", float(risk.calibrator is not None)),
                 ("has_lookups", float(risk.common is not None and risk.targets is not None))]
+    if risk.replay is not None:
+        settings.append(("has_replay", 1.0))
+        spark.createDataFrame([risk.replay], "lo string, hi string").write.mode("overwrite").parquet(f"{path}/replay")
     settings += [(f"param.{k}", float(v)) for k, v in risk.params.items()]
     settings += [(f"rows.{k}", float(v)) for k, v in risk.split_sizes.items()]
     spark.createDataFrame(settings, "name string, value double").write.mode("overwrite").parquet(f"{path}/settings")
@@ -359,4 +364,5 @@ def load_context(spark: SparkSession, path: str) -> RiskModel:
         common=spark.read.parquet(f"{path}/common") if lookups else None,
         targets=spark.read.parquet(f"{path}/targets") if lookups else None,
         split_sizes={k[5:]: int(v) for k, v in settings.items() if k.startswith("rows.")},
+        replay=tuple(spark.read.parquet(f"{path}/replay").first()) if settings.get("has_replay") else None,
     )

@@ -229,9 +229,22 @@ def hotspots(
     return found.limit(k) if k else found
 
 
-def metadata(scored: DataFrame, spec: LifecycleSpec) -> DataFrame:
-    """Known groups, regions and channels as (column, value) rows."""
-    return profile.domains(scored, [spec.group, spec.region, spec.channel])
+def metadata(
+    scored: DataFrame, spec: LifecycleSpec, replay: tuple[str, str] | None = None, thresholds: DataFrame | None = None
+) -> DataFrame:
+    """Known groups, regions and channels as (column, value) rows; with them the replay range and the targets.
+
+    A target is one row: group, subgroup, hours to six places and source, joined by ``|``.
+    """
+    rows = profile.domains(scored, [spec.group, spec.region, spec.channel])
+    if replay is not None:
+        both = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(v).alias("value")) for c, v in zip(
+            ("replay_from", "replay_to"), replay)]))
+        rows = rows.unionByName(scored.sparkSession.range(1).select(both))
+    if thresholds is not None:
+        spelled = F.concat_ws("|", *spec.pair, F.round(TARGET, 6).cast("string"), "target_source")
+        rows = rows.unionByName(thresholds.select(F.lit("threshold").alias("column"), spelled.alias("value")))
+    return rows
 
 
 def subgroups_by_group(targets: DataFrame, spec: LifecycleSpec) -> DataFrame:

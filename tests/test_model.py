@@ -103,6 +103,7 @@ def test_same_seed_same_scores_and_round_trip(spark, built, tmp_path):
 
     first = scores(risk)
     assert first == scores(again) == scores(loaded)
+    assert loaded.replay == tuple(CFG.replay)
     assert loaded.params.keys() == risk.params.keys() and loaded.split_sizes == risk.split_sizes
 
 
