@@ -3,10 +3,15 @@
 The counts of a text are taken in one pass.  ``base_failed`` holds the fixed limits.  An
 isolation forest is grown on a bounded sample of the rows that pass them (``TREES`` x
 ``PER_TREE``, taken by hash of the row), because a tree of the method only ever sees
-``PER_TREE`` rows; every row is scored.  The score above which a text is refused comes from
-all labelled rows that pass the limits: the lowest of ``BINS`` steps that refuses at most
-``MAX_CLEAN_LOST`` of the rows labelled good, and only if what it refuses is bad more often
-than not.
+``PER_TREE`` rows; every row is scored.  The trees see every statistic in logarithms, each
+side of its median by itself, so that what is usual is one point and only the odd side counts.
+
+Besides the forest over all sides, trees are grown over each side alone, and each of these
+scores has a threshold of its own: what is odd in a way that good rows aren't is refused,
+however odd good rows are in other ways.  A threshold comes from all labelled rows that pass
+the limits: the lowest of ``BINS`` steps that refuses at most the score's part of
+``MAX_CLEAN_LOST`` of the rows labelled good, or the middle of the empty steps above it.  It
+is used only if what it refuses is bad more often than not, by ``SURE`` standard errors.
 
 A null or empty text has zero words and fails the fixed limits.  Rows with equal ids and
 texts get equal results.  With no labelled good row the forest refuses nothing.  Columns
@@ -40,8 +45,11 @@ COUNTS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_capitals long, n_marks long"
 )
-#: What the forest looks at: shares that don't depend on length or language, and that no fixed limit holds already.
-FEATURES = ("mean_word", "symbol_share", "capital_share", "mark_share")
+NAMES = tuple(c.split()[0] for c in COUNTS.split(", "))
+#: Standard errors of (bad rows - good rows) above zero that a threshold needs.
+SURE = 2.0
+#: What the forest looks at: a column of ``statistics`` and the side of its median.
+SIDES = ((0, -1), (0, 1), (1, -1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 1))
 _CAPITALS, _MARKS = bytes(range(65, 91)), b"!?"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,14 +109,16 @@ def base_failed() -> F.Column:
     )
 
 
-def features(stats: DataFrame) -> DataFrame:
-    words = F.greatest("n_words", F.lit(1))
-    return stats.withColumns({
-        "mean_word": F.col("word_chars") / words,
-        "symbol_share": F.col("n_symbols") / words,
-        "capital_share": F.col("n_capitals") / F.greatest("word_chars", F.lit(1)),
-        "mark_share": F.col("n_marks") / words,
-    })
+def statistics(c: np.ndarray) -> np.ndarray:
+    """Logarithms of the words, their mean length, and the percents of symbols, repeated lines, repeated words,
+    capitals and marks; ``c`` has the columns ``NAMES``."""
+    words, chars = np.maximum(c[:, 0], 1), np.maximum(c[:, 1], 1)
+    shares = np.stack([c[:, 2] / words, c[:, 3] / words, c[:, 4] / words, c[:, 5] / chars, c[:, 6] / words], 1)
+    return np.concatenate([np.log(np.stack([words, chars / words], 1)), np.log1p(100 * shares)], 1)
+
+
+def sided(stats: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return np.stack([np.maximum(sign * (stats[:, k] - centre[k]), 0) for k, sign in SIDES], 1)
 
 
 @dataclass(frozen=True)
@@ -127,6 +137,19 @@ def _average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(m - 1) + np.euler_gamma) - 2 * (m - 1) / m, np.where(n == 2, 1.0, 0.0))
 
 
+@dataclass(frozen=True)
+class Forest:
+    centre: np.ndarray  # medians of the statistics
+    trees: list[Tree]  # over all sides
+    sides: list[tuple[np.ndarray, np.ndarray]]  # of the trees over each side alone
+
+    def scores(self, counted: np.ndarray) -> np.ndarray:
+        """The score over all sides, then the score of each side."""
+        x = sided(statistics(counted), self.centre)
+        alone = [score[np.searchsorted(starts, x[:, k], "right") - 1] for k, (starts, score) in enumerate(self.sides)]
+        return np.stack([forest_scores(self.trees, x), *alone], 1)
+
+
 def grow(rows: np.ndarray, rng: np.random.Generator) -> Tree:
     limit = int(np.ceil(np.log2(max(len(rows), 2))))
     feature, cut, child, length, todo = [], [], [], [], [(rows, 0)]
@@ -143,17 +166,29 @@ def grow(rows: np.ndarray, rng: np.random.Generator) -> Tree:
     return Tree(np.array(feature), np.array(cut), np.array(child), np.array(length), len(rows))
 
 
-def fit_forest(featured: DataFrame, trees: int = TREES, per_tree: int = PER_TREE, seed: int = 7) -> list[Tree]:
+def fit_forest(stats: DataFrame, trees: int = TREES, per_tree: int = PER_TREE, seed: int = 7) -> Forest | None:
     """Random trees over a sample of ``trees * per_tree`` rows, those of the smallest hashes."""
-    hashed = featured.select(F.xxhash64(F.lit(seed), "doc_id", *FEATURES).alias("h"), *FEATURES)
-    few = sample_by_hash(hashed, "h", featured.count(), trees * per_tree)
-    found = few.toArrow()
-    sample = np.stack([found.column(f).to_numpy() for f in FEATURES], 1).astype(float)
-    if not len(sample):
-        return []
+    hashed = stats.select(F.xxhash64(F.lit(seed), "doc_id", *NAMES).alias("h"), *NAMES)
+    few = sample_by_hash(hashed, "h", stats.count(), trees * per_tree)
+    found = _columns(few.select(*NAMES).toArrow())
+    if not len(found):
+        return None
+    centre = np.median(statistics(found), 0)
+    sample = sided(statistics(found), centre)
     rng = np.random.default_rng(seed)
     size = min(per_tree, len(sample))
-    return [grow(sample[rng.choice(len(sample), size, replace=False)], rng) for _ in range(trees)]
+    grown = lambda rows: [grow(rows[rng.choice(len(rows), size, replace=False)], rng) for _ in range(trees)]
+    return Forest(centre, grown(sample), [_flat(grown(sample[:, [k]])) for k in range(len(SIDES))])
+
+
+def _columns(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    return np.stack([table.column(n).to_numpy(zero_copy_only=False) for n in NAMES], 1).astype(np.int64)
+
+
+def _flat(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
+    """Trees over one column as one step function: where its steps begin, and the score on each."""
+    starts = np.unique(np.concatenate([[0.0], *(t.cut[t.feature >= 0] for t in trees)]))
+    return starts, forest_scores(trees, starts[:, None])
 
 
 def forest_scores(trees: list[Tree], rows: np.ndarray) -> np.ndarray:
@@ -175,65 +210,84 @@ def forest_scores(trees: list[Tree], rows: np.ndarray) -> np.ndarray:
     return np.exp2(-total / len(trees) / max(float(_average_path(trees[0].size)), 1.0))
 
 
-def score(featured: DataFrame, trees: list[Tree]) -> DataFrame:
-    names = featured.columns
+def score(stats: DataFrame, forest: Forest | None, limits: np.ndarray) -> DataFrame:
+    """``score`` over all sides, ``steps`` of all scores, and ``refused``: a score is at its limit or above."""
+    names = stats.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES], 1).astype(float)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forest_scores(trees, x))], names=[*names, "score"])
+            found = _scored(forest, _columns(batch))
+            steps = pa.array(list(np.floor(found * BINS).astype(np.int32)), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found[:, 0]), steps, pa.array((found >= limits).any(1))],
+                names=[*names, "score", "steps", "refused"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema)
+    return stats.mapInArrow(run, f"{fields}, score double, steps array<int>, refused boolean")
+
+
+def _scored(forest: Forest | None, counted: np.ndarray) -> np.ndarray:
+    return forest.scores(counted) if forest else np.zeros((len(counted), 1 + len(SIDES)))
+
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in featured.schema)
-    return featured.mapInArrow(run, f"{fields}, score double")
+NO_LIMITS = np.full(1 + len(SIDES), np.inf)
 
 
-def calibrate(scored: DataFrame, labels: DataFrame, most_lost: float = MAX_CLEAN_LOST) -> float:
-    """The lowest threshold that keeps the good rows; counts per score step are all that the driver gets."""
+def calibrate(stats: DataFrame, forest: Forest | None, labels: DataFrame, most_lost: float = MAX_CLEAN_LOST) -> np.ndarray:
+    """The threshold of each score; counts per score and step are all that the driver gets."""
     known = labels.where("quality in (0, 1)").select("doc_id", "quality").distinct()
+    # Only what the scores need meets the labels, so no column clashes.
+    scored = score(stats.select("doc_id", *NAMES).join(known, "doc_id"), forest, NO_LIMITS)
     steps = (
-        scored.select("doc_id", F.floor(F.col("score") * BINS).cast("int").alias("step"))
-        .join(known, "doc_id")
-        .groupBy("step")
+        scored.select("quality", F.posexplode("steps").alias("of", "step"))
+        .groupBy("of", "step")
         .agg(F.sum("quality").alias("good"), F.count("*").alias("n"))
         .collect()
     )
-    good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
+    good, bad = np.zeros((len(NO_LIMITS), BINS + 2)), np.zeros((len(NO_LIMITS), BINS + 2))
     for r in steps:
-        good[r["step"]], bad[r["step"]] = r["good"], r["n"] - r["good"]
+        good[r["of"], r["step"]], bad[r["of"], r["step"]] = r["good"], r["n"] - r["good"]
+    return np.array([_threshold(g, b, most_lost / len(NO_LIMITS)) for g, b in zip(good, bad)])
+
+
+def _threshold(good: np.ndarray, bad: np.ndarray, most_lost: float) -> float:
     if not good.sum():
         return float("inf")
     good_above, bad_above = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
-    fit = np.flatnonzero((good_above <= most_lost * good.sum()) & (bad_above > good_above))
-    return fit[0] / BINS if len(fit) else float("inf")
+    sure = bad_above - good_above > SURE * np.sqrt(bad_above + good_above)
+    fit = np.flatnonzero((good_above <= most_lost * good.sum()) & sure)
+    if not len(fit):
+        return float("inf")
+    # Steps without any row: nothing says on which side they belong.
+    free = np.flatnonzero((good_above == good_above[fit[0]]) & (bad_above == bad_above[fit[0]]))
+    return (fit[0] + free[-1]) / 2 / BINS
 
 
-def fitted(stats: DataFrame, labels: DataFrame) -> tuple[list[Tree], float]:
-    """The forest and the score from which it refuses, for rows that pass the fixed limits."""
+def fitted(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, np.ndarray]:
+    """The forest and the scores from which it refuses, for rows that pass the fixed limits."""
     rest = stats.where(~base_failed())
-    trees = fit_forest(rest)
-    return trees, calibrate(score(rest, trees), labels)
+    forest = fit_forest(rest)
+    return forest, calibrate(rest, forest, labels)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, score and verdict of every document."""
-    stats = settle(features(counts(docs)), "quality-counts")
-    trees, threshold = fitted(stats, labels)
-    return score(stats, trees).withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") < F.lit(threshold))
-    )
+    stats = settle(counts(docs), "quality-counts")
+    forest, limits = fitted(stats, labels)
+    return score(stats, forest, limits).withColumn("base_failed", base_failed()).withColumn(
+        "kept", ~F.col("base_failed") & ~F.col("refused")
+    ).drop("steps", "refused")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged.  Texts are counted again, in one pass with the verdict, not shuffled."""
-    trees, threshold = fitted(settle(features(counts(docs)), "quality-counts"), labels)
-    shipped = docs.sparkSession.sparkContext.broadcast(trees)
+    forest, limits = fitted(settle(counts(docs), "quality-counts"), labels)
+    shipped = docs.sparkSession.sparkContext.broadcast(forest)
     named, names, back = carried(docs)
 
     def rows(piece: pa.RecordBatch) -> list:
         c = np.array(_counted(piece), np.int64)
-        words = np.maximum(c[:, 0], 1)
-        x = np.stack([c[:, 1] / words, c[:, 2] / words, c[:, 5] / np.maximum(c[:, 1], 1), c[:, 6] / words], 1)
         failed = (c[:, 0] < LEAST_WORDS) | (100 * c[:, 4] > MOST_REPEATED_PERCENT * c[:, 0])
-        return [pa.array(~failed & (forest_scores(shipped.value, x) < threshold))]
+        return [pa.array(~failed & ~(_scored(shipped.value, c) >= limits).any(1))]
 
     return back(map_texts(named, "kept boolean", rows, names).where("kept"))

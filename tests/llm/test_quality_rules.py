@@ -50,3 +50,12 @@ def test_refuses_bad_rows_and_keeps_good_ones(spark):
     share = {r["quality"]: (r["kept"], r["n"]) for r in judged.groupBy("quality").agg(
         F.avg(F.col("kept").cast("double")).alias("kept"), F.count("*").alias("n")).collect()}
     assert share[1][0] >= 0.99 and share[0][0] <= 0.5
+
+
+def test_refuses_nearly_all_junk_of_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.judge(docs, labels.where("doc_id % 2 = 0")).join(labels, "doc_id").where("doc_id % 2 = 1 and not base_failed")
+    share = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(
+        F.avg(F.col("kept").cast("double")).alias("kept")).collect()}
+    assert share[0] <= 0.05 and share[1] >= 0.995
