@@ -4,9 +4,10 @@ A text is searched for assignments, access keys and long hexadecimal strings.  T
 every candidate string (a maximal run of one character class) is read with a sliding
 window.  The window's entropy is kept by counts: one character enters, one leaves, so
 a step costs the same for a window of any width.  Windows at or above the class's
-threshold are joined to spans.  A candidate that the allow-list knows (a UUID, a
-well-known digest, a path or dotted name, a run of the alphabet) gives none, nor does a
-span that lies inside a span of a fixed pattern.
+threshold are joined to spans.  A window that the allow-list covers (inside a UUID, a
+well-known digest or a path of words, or around ``EXAMPLE`` or a run of the alphabet) is
+left out, the other windows of its candidate are not; nor is a span given that lies inside
+a span of a fixed pattern.
 
 Null and empty texts have no span.  Offsets count code points, ends are exclusive.
 Rows are looked at one by one: repeated rows give equal results, and no order, group
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +36,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_base36")
 
 
 @dataclass(frozen=True)
@@ -56,24 +59,89 @@ CLASSES = (
         4.0,
         (re.compile("[0-9]"), re.compile("[A-Z]"), re.compile("[a-z]")),
     ),
+    # Letters of one case with digits between them, beyond hexadecimal.
+    CharClass(
+        "entropy_base36",
+        re.compile(r"(?<![0-9A-Za-z])(?:[a-z0-9]{24,}|[A-Z0-9]{24,})(?![0-9A-Za-z])"),
+        24,
+        3.5,
+        (re.compile("[0-9][A-Za-z]+[0-9]"), re.compile("[g-zG-Z]")),
+    ),
 )
 
-#: Candidates that are random-looking but public.
+#: Random-looking but public strings; a window inside one is left out.
 ALLOWED = (
-    re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"/?([A-Za-z]+[/_-])+[A-Za-z0-9]*=?"),
-    re.compile(r".*EXAMPLE.*"),
-    re.compile(r".*(?:0123456789|abcdefghij|ABCDEFGHIJ).*"),
+    re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])"),
     # Digests of the empty text: MD5, SHA-1, SHA-256.
     re.compile(
-        "d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
-        "|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+        "(?<![0-9A-Za-z])(?:d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
+        "|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855)(?![0-9A-Za-z])"
     ),
+    # The secret key of public manuals.
+    re.compile("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
 )
+#: A window around one of these, or around so many characters in their order, is left out.
+PLACEHOLDER, ORDERED = "EXAMPLE", 10
+_AFTER_NINE = "aA"
+_PART = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
+_WORD = re.compile(r"[A-Z]{0,3}[a-z]+(?:[A-Z]{1,3}[a-z]{2,})*[A-Z]{0,3}|[A-Z]+")
+_LAST = re.compile(r"[A-Za-z]*?[0-9]{1,8}")
+LONGEST_WORD = 23
+
+
+def paths(run: str) -> list[tuple[int, int]]:
+    """Stretches of words with a slash, dash or underscore between them; the last may end in a number."""
+    found, start, end = [], None, 0
+    for m in _PART.finditer(run):
+        part = m[0]
+        if part in "/_-":
+            start = m.start() if start is None else start
+            end = m.end()
+            continue
+        letters = part.rstrip("0123456789")
+        word = len(letters) <= LONGEST_WORD and (not letters or _WORD.fullmatch(letters))
+        if word and letters == part:
+            start = m.start() if start is None else start
+            end = m.end()
+            continue
+        if start is not None:
+            found.append((start, m.end() if part == "=" or word and _LAST.fullmatch(part) else end))
+        start = None
+    return found + ([(start, end)] if start is not None else [])
+
+
+def in_sequence(run: str) -> list[tuple[int, int]]:
+    """Every ``ORDERED`` characters that follow each other in the alphabet, the digits, or the hexadecimal digits."""
+    found, begin = [], 0
+    for i in range(1, len(run) + 1):
+        if i - begin >= ORDERED:
+            found.append((i - ORDERED, i))
+        if i < len(run) and not (ord(run[i]) == ord(run[i - 1]) + 1 or run[i - 1] == "9" and run[i] in _AFTER_NINE):
+            begin = i
+    return found
 
 
-def suspect_windows(text: str, window: int, bits: float) -> list[tuple[int, int]]:
-    """Joined spans of the windows whose entropy reaches ``bits``; a window's sum of c*log2(c) is updated, not recounted."""
+def left_out(run: str) -> Callable[[int, int], bool] | None:
+    """Whether a window of the run is inside an allowed stretch or holds a public one; None if no window is."""
+    around = [m.span() for p in ALLOWED for m in p.finditer(run)] + paths(run)
+    within = [m.span() for m in re.finditer(PLACEHOLDER, run)] + in_sequence(run)
+    if not around and not within:
+        return None
+    far, near = [0] * (len(run) + 1), [len(run) + 1] * (len(run) + 1)
+    for a, b in around:
+        far[a] = max(far[a], b)
+    for a, b in within:
+        near[a] = min(near[a], b)
+    # The farthest end of a stretch that begins at a place or before it, the nearest of one that begins there or after.
+    far, near = list(accumulate(far, max)), list(accumulate(near[::-1], min))[::-1]
+    return lambda a, b: b <= far[a] or near[a] <= b
+
+
+def suspect_windows(
+    text: str, window: int, bits: float, skip: Callable[[int, int], bool] | None = None
+) -> list[tuple[int, int]]:
+    """Joined spans of the windows whose entropy reaches ``bits``, without those to ``skip``; a window's sum of c*log2(c)
+    is updated, not recounted."""
     plogp = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, spans = 0.0, []
@@ -87,7 +155,7 @@ def suspect_windows(text: str, window: int, bits: float) -> list[tuple[int, int]
             c = counts[old]
             counts[old] = c - 1
             total += plogp[c - 1] - plogp[min(c, window)]
-        if end >= window and total <= most:
+        if end >= window and total <= most and not (skip and skip(end - window, end)):
             if spans and spans[-1][1] >= end - window:
                 spans[-1][1] = end
             else:
@@ -117,9 +185,9 @@ def entropy_spans(text: str, known: list[tuple[int, str, int]]) -> list[tuple[in
     for cls in CLASSES:
         for m in cls.candidate.finditer(text):
             run = m[0]
-            if not all(p.search(run) for p in cls.needs) or any(p.fullmatch(run) for p in ALLOWED):
+            if not all(p.search(run) for p in cls.needs):
                 continue
-            for a, b in suspect_windows(run, cls.window, cls.bits):
+            for a, b in suspect_windows(run, cls.window, cls.bits, left_out(run)):
                 a, b = a + m.start(), b + m.start()
                 if not any(s <= a and b <= e for s, _, e in known):
                     found.append((a, cls.kind, b))

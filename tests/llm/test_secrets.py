@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from caselens.llm import secrets
@@ -82,3 +83,26 @@ def test_masked_keeps_every_column(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         [(1, "my [secret] ok", "en", 14, "r"), (2, None, None, None, None), (2, "plain", "en", 5, "r")], key=str)
     assert secrets.masked(docs.limit(0)).count() == 0
+
+
+def test_prefixed_and_one_case_keys_are_found():
+    rng = random.Random(4)
+    mixed, small = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+    forms = [("sk_live_", mixed, 24), ("ghp_", mixed, 36), ("glpat-", mixed, 20), ("hf_", mixed, 34), ("/home/user/keys/ghp_", mixed, 36),
+             ("", small, 32), ("key-", small, 40), ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 52)]
+    for prefix, letters, n in forms:
+        found = 0
+        for _ in range(100):
+            key = prefix + "".join(rng.choice(letters) for _ in range(n))
+            found += bool(secrets.entropy_spans(f"use {key} here", []))
+        assert found >= 90, (prefix, letters, n, found)
+
+
+def test_allowed_parts_do_not_hide_the_rest_of_a_candidate():
+    key = "q8Zt3LxV7pRw2KcJ9mNb5HfD1sGy4TeU"
+    for text in (f"{key}EXAMPLE", f"EXAMPLE{key}", f"0123456789{key}", f"{key}abcdefghij", f"docs/some/path/{key}"):
+        assert any(a <= text.index(key) + 4 and b >= text.index(key) + 24 for a, _, b in secrets.entropy_spans(text, []))
+    alphabet = string.ascii_uppercase + string.ascii_lowercase + string.digits
+    for known in ("Docs/Guide/some_Release_Notes_for_everyone_2024", "src/main/java/HttpServerFactory2", alphabet, alphabet[26:],
+                  "0123456789ABCDEF0123456789", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert secrets.entropy_spans(known, []) == [], known
