@@ -67,7 +67,18 @@ def _errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
 
 
 def levels(deps: DataFrame, calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level.  ``deps`` has conv_id, call_id, dep; ``calls`` has every call once."""
+    """conv_id, call_id, level.  ``deps`` has conv_id, call_id, dep; ``calls`` has every call once.
+
+    A null conversation is one like any other, and its plain joins need a key: conversations are named by text
+    that is never null.
+    """
+    kind = calls.schema["conv_id"].dataType
+    named = F.when(F.col("conv_id").isNull(), "null").otherwise(F.concat(F.lit("="), F.col("conv_id").cast("string")))
+    found = _levels(deps.withColumn("conv_id", named), calls.withColumn("conv_id", named))
+    return found.withColumn("conv_id", F.when(F.col("conv_id") != "null", F.substring("conv_id", 2, 1 << 30)).cast(kind))
+
+
+def _levels(deps: DataFrame, calls: DataFrame) -> DataFrame:
     ids = calls.select(*KEY)
     real = deps.select(*KEY, "dep").where("dep is not null").distinct()
     real = real.join(ids.withColumnRenamed("call_id", "dep"), ["conv_id", "dep"], "left_semi")

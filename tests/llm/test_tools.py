@@ -66,3 +66,13 @@ def test_levels_are_the_longest_ways(spark):
     got = link(spark, [(5, n, "f", '{"a": 1}', d) for n, d in deps.items()])
     want = longest(deps) | dict.fromkeys(["r0", "r1", "r2", "after", "both"])
     assert {n: got[5, n]["level"] for n in deps} == want
+
+
+def test_a_null_conversation_has_levels_too(spark):
+    deps = {"a": None, "b": ["a"], "c": ["b"], "d": ["a", "c"], "e": ["d"], "x": ["y"], "y": ["x"]}
+    calls = [(conv, n, "f", '{"a": 1}', d) for conv in (None, 7) for n, d in deps.items()]
+    got = link(spark, calls, [(None, "e", "done")])
+    for conv in (None, 7):
+        assert [got[conv, n]["level"] for n in deps] == [0, 1, 2, 3, 4, None, None]
+        assert [got[conv, n]["errors"] for n in deps] == ["", "", "", "", "", "cycle", "cycle"]
+    assert got[None, "e"]["status"] == "answered" and got[7, "e"]["status"] == "unanswered" and len(got) == 2 * len(deps)
