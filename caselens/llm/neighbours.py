@@ -60,7 +60,8 @@ def usable(vectors: DataFrame) -> DataFrame:
 def points_of(rows: DataFrame, keep: int) -> DataFrame:
     """point, embedding, ids: distinct vectors with their ``keep`` least ids.  The rank is cut before rows are shuffled."""
     by = Window.partitionBy("embedding").orderBy("vec_id")
-    least = rows.withColumn("r", F.row_number().over(by)).where(F.col("r") <= keep)
+    # Rows that are repeated count once.
+    least = rows.select("vec_id", "embedding").distinct().withColumn("r", F.row_number().over(by)).where(F.col("r") <= keep)
     return least.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")).select(
         F.xxhash64("embedding").alias("point"), "embedding", "ids"
     )

@@ -76,3 +76,9 @@ def test_graph_finds_near_centroids():
     assert np.allclose(dist[:, 0], np.take_along_axis(true, ids[:, :1], 1)[:, 0])
     size = np.bincount(true.argmin(1), minlength=128)
     assert size.max() <= 12
+
+
+def test_repeated_rows_do_not_push_out_other_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(100 * i if i < 3 else i, [1.0, 2.0, 3.0]) for i in range(16)] + [(20 + i, rng.normal(size=3).tolist()) for i in range(40)]
+    close(run(spark, rows * 2 + rows[:1] * 20), brute(rows))
