@@ -10,8 +10,10 @@
   of the next ``REPLICAS - 1`` that are at most ``1 + REPLICATE`` times as far: points on a
   boundary are in the lists of both sides.
 * *Search.*  A query goes to the lists whose centroids are at most ``1 + PRUNE`` times as far as
-  the nearest: many where lists lie close together, few elsewhere.  Lists are cut in blocks,
-  and all queries of a list are compared with a block at once, in double precision.
+  the nearest that, with those before it, are home to one id more than asked for: many where
+  lists lie close together, few elsewhere.  A query that still comes back short is searched
+  once more in all lists.  Lists are cut in blocks, and all queries of a list are compared
+  with a block at once, in double precision.
 
 Vectors that are null or zero, hold a null, NaN or infinite component, or differ in length
 from most of the table take no part, nor do null ids.  Rows that share the query's id are not
@@ -170,10 +172,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def assigned(points: DataFrame, graph, ratio: float, most: int, least: float = 0.0) -> DataFrame:
-    """point, embedding, ids, list: each point with the lists within ``1 + ratio`` times the nearest distance.
+def assigned(
+    points: DataFrame, graph, ratio: float, most: int, least: float = 0.0, sizes: np.ndarray | None = None, need: int = 0
+) -> DataFrame:
+    """point, embedding, ids, home, list: each point with the lists within ``1 + ratio`` times the nearest distance.
 
-    ``least``: a nearest distance below it counts as this, so that a query that is a centroid itself looks around.
+    ``home``: the list is the nearest.  ``least``: a nearest distance below it counts as this, so that a query that is a
+    centroid itself looks around.  ``sizes``: with the ids at home in each list, the distance of the list that fills up
+    ``need`` ids counts as the nearest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,18 +188,24 @@ def assigned(points: DataFrame, graph, ratio: float, most: int, least: float = 0
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 lists, dist = g.nearest(_matrix(batch.column("embedding")), most)
-                use = (dist <= (1 + ratio) * np.maximum(dist[:, :1], least)) & (lists >= 0) & np.isfinite(dist)
+                real = (lists >= 0) & np.isfinite(dist)
+                near = np.maximum(dist[:, :1], least)
+                if sizes is not None:
+                    enough = np.cumsum(np.where(real, sizes[lists], 0), 1) >= need
+                    near = np.maximum(near, np.where(enough, dist, np.inf).min(1, keepdims=True))
+                use = (dist <= (1 + ratio) * near) & real
                 row, col = np.nonzero(use)
                 taken = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(lists[row, col])], names=[*taken.schema.names, "list"])
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.columns, pa.array(col == 0), pa.array(lists[row, col])], names=[*taken.schema.names, "home", "list"])
 
     return points.select("point", "embedding", "ids").mapInArrow(
-        run, "point long, embedding array<double>, ids array<bigint>, list long"
+        run, "point long, embedding array<double>, ids array<bigint>, home boolean, list long"
     )
 
 
 def blocks_of(rows: DataFrame, deal: int, size: int) -> DataFrame:
-    """list, points, vectors, ids: the rows of a list in blocks."""
+    """list, points, vectors, ids, at_home: the rows of a list in blocks, and how many of the ids are at home in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -203,8 +215,9 @@ def blocks_of(rows: DataFrame, deal: int, size: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array([key]), pa.array([got.column("point").to_pylist()], pa.list_(pa.int64())),
                  pa.array([_matrix(got.column("embedding")).tobytes()], pa.binary()),
-                 pa.array([got.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))],
-                names=["list", "points", "vectors", "ids"])
+                 pa.array([got.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
+                 pa.array([sum(map(len, got.filter(got.column("home")).column("ids").to_pylist()))], pa.int64())],
+                names=["list", "points", "vectors", "ids", "at_home"])
 
         for batch in batches:
             lists = batch.column("list").to_numpy()
@@ -218,7 +231,7 @@ def blocks_of(rows: DataFrame, deal: int, size: int) -> DataFrame:
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, F.col("list"), F.pmod("point", F.lit(deal))).mapInArrow(
-        run, "list long, points array<bigint>, vectors binary, ids array<array<bigint>>"
+        run, "list long, points array<bigint>, vectors binary, ids array<array<bigint>>, at_home long"
     )
 
 
@@ -279,16 +292,31 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         return spark.createDataFrame([], empty)
     graph = spark.sparkContext.broadcast(fitted)
     lists = settle(blocks_of(assigned(points, graph, REPLICATE, REPLICAS), DEAL, BLOCK), "posting-lists")
+    sizes = np.zeros(len(fitted.centroids), np.int64)
+    for r in lists.groupBy("list").agg(F.sum("at_home").alias("n")).collect():
+        sizes[r["list"]] = r["n"]
     wanted = points.join(asked.select("point").distinct(), "point", "left_semi")
-    queries = blocks_of(assigned(wanted, graph, PRUNE, PROBES, fitted.usual), 1, BLOCK)
-    found = compared(queries, lists, k + 1)
+    first = settle(
+        answered(asked, assigned(wanted, graph, PRUNE, PROBES, fitted.usual, sizes, k + 1), lists, k), "neighbours")
+    short = first.where(F.size("near") < k)
+    if len(sizes) > 1 and not short.isEmpty():
+        left = short.select("query_id", "point")
+        everywhere = points.join(left.select("point").distinct(), "point", "left_semi").select(
+            "point", "embedding", "ids", F.lit(False).alias("home"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(sizes) - 1).cast("long"))).alias("list"))
+        first = first.where(F.size("near") >= k).unionByName(answered(left, everywhere, lists, k))
+    return first.select("query_id", F.posexplode("near").alias("at", "x")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+
+
+def answered(asked: DataFrame, placed: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """query_id, point, near: the k nearest (score, vec_id) in the lists that each query is ``placed`` in."""
+    found = compared(blocks_of(placed, 1, BLOCK), lists, k + 1)
     # A point met in two lists is one answer; a point gives each of its ids.
     answers = found.select("point", F.explode("ids").alias("vec_id"), "score").distinct()
     by = Window.partitionBy("point").orderBy("score", "vec_id")
     best = answers.withColumn("r", F.row_number().over(by)).where(F.col("r") <= k + 1)
     # One id more than asked for, for the query itself; it may be a repeated id and stand twice.
     per = best.groupBy("point").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("near"))
-    own = asked.join(per, "point").select(
-        "query_id", F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("near"))
-    return own.select("query_id", F.posexplode("near").alias("at", "x")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+    return asked.join(per, "point").select(
+        "query_id", "point", F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("near"))

@@ -82,3 +82,17 @@ def test_repeated_rows_do_not_push_out_other_ids(spark):
     rng = np.random.default_rng(4)
     rows = [(100 * i if i < 3 else i, [1.0, 2.0, 3.0]) for i in range(16)] + [(20 + i, rng.normal(size=3).tolist()) for i in range(40)]
     close(run(spark, rows * 2 + rows[:1] * 20), brute(rows))
+
+
+def test_small_far_groups_get_whole_answers(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST_POINTS", 32)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    groups = rng.normal(0, 1, (20, 8))
+    groups *= 60 / np.linalg.norm(groups, axis=1)[:, None]
+    x = np.concatenate([rng.normal(0, 1, (3000, 8)), *(g + rng.normal(0, 0.1, (5, 8)) for g in groups)])
+    rows = [(100 * i if i >= 3000 else 100 * i + 1, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    got, want = run(spark, rows), brute(rows)
+    assert len(want) == 100 and {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits / 1000 >= 0.9
