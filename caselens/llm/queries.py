@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caselens.checks.common import Case
-from caselens.llm import jaccard, mixing, neighbours, pieces, quality, repeats, secrets, sharding, token_counts, tools
+from caselens.llm import jaccard, languages, mixing, neighbours, pieces, quality, repeats, secrets, sharding, token_counts, tools
 from caselens.llm.common import table
 
 
@@ -138,6 +138,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("cuts")
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.predict_held_out(table(spark, sf_dir, "documents"))
+
+
 CASES: dict[str, Case] = {
     "op1_secrets": Case(op1_secrets),
     "op2_jaccard": Case(op2_jaccard, OP2_SQL),
@@ -149,5 +153,6 @@ CASES: dict[str, Case] = {
     "op8_mixing": Case(op8_mixing, OP8_SQL),
     "op9_sharding": Case(op9_sharding),
     "op10_repeats": Case(op10_repeats),
+    "op13_language": Case(op13_language),
     "pipeline": Case(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
