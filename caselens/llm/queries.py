@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caselens.checks.common import Case
-from caselens.llm import jaccard, languages, mixing, neighbours, pieces, quality, repeats, secrets, sharding, token_counts, tools
+from caselens.llm import jaccard, languages, mixing, neighbours, phrases, pieces, quality, repeats, secrets, sharding, token_counts, tools
 from caselens.llm.common import table
 
 
@@ -138,6 +138,47 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("cuts")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM cut
+), totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(list_slice(w, i, i + m - 1), ' '))) AS phrase
+  FROM words, range(1, 6) t(m) WHERE len(w) >= m
+), found AS (
+  SELECT lang, m, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, m, phrase HAVING count(*) >= 100
+), longer AS (
+  SELECT lang, phrase, max(lft) AS left_most, max(rgt) AS right_most FROM (
+    SELECT lang, array_to_string(w[2:], ' ') AS phrase, a AS lft, NULL::BIGINT AS rgt FROM found WHERE m > 2
+    UNION ALL SELECT lang, array_to_string(w[:m - 1], ' '), NULL, a FROM found WHERE m > 2) GROUP BY lang, phrase
+), held AS (
+  SELECT DISTINCT s.lang, s.phrase FROM found s JOIN (
+    SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM found, range(2, 5) g(k), range(1, 6) h(i) WHERE m > k AND i + k - 1 <= m) x
+  ON s.lang = x.lang AND s.phrase = x.phrase AND 100 * x.a >= 100 * s.a
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM found c, range(1, 5) t(k), totals, found l, found r
+  WHERE c.m > 1 AND k < c.m AND totals.lang = c.lang AND l.lang = c.lang AND r.lang = c.lang
+    AND l.phrase = array_to_string(c.w[:k], ' ') AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts ANTI JOIN held USING (lang, phrase)
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       n::BIGINT AS n, score::BIGINT AS score, left_most, right_most
+FROM lowest LEFT JOIN longer USING (lang, phrase)
+QUALIFY rank <= 2000
+"""
+
+
 def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict_held_out(table(spark, sf_dir, "documents"))
 
@@ -153,6 +194,7 @@ CASES: dict[str, Case] = {
     "op8_mixing": Case(op8_mixing, OP8_SQL),
     "op9_sharding": Case(op9_sharding),
     "op10_repeats": Case(op10_repeats),
+    "op11_phrases": Case(op11_phrases, OP11_SQL),
     "op13_language": Case(op13_language),
     "pipeline": Case(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
