@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from caselens.checks.common import Case
-from caselens.llm import jaccard, languages, mixing, neighbours, phrases, pieces, quality, repeats, secrets, sharding, token_counts, tools
+from caselens.llm import jaccard, languages, mixing, neighbours, phrases, pieces, quality, repair, repair_sql, repeats, secrets, sharding, token_counts, tools
 from caselens.llm.common import table
 
 
@@ -179,6 +179,10 @@ QUALIFY rank <= 2000
 """
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict_held_out(table(spark, sf_dir, "documents"))
 
@@ -195,6 +199,7 @@ CASES: dict[str, Case] = {
     "op9_sharding": Case(op9_sharding),
     "op10_repeats": Case(op10_repeats),
     "op11_phrases": Case(op11_phrases, OP11_SQL),
+    "op12_repair": Case(op12_repair, repair_sql.SQL),
     "op13_language": Case(op13_language),
     "pipeline": Case(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
