@@ -41,7 +41,7 @@ def isotonic_calibrated(spark, sf):
     """Test scores through an isotonic fit on validation scores."""
     table, risk = fitted(spark, sf)
     encoded = modeling.encode(quality.labeled(table), risk.encoder)
-    raw = modeling.raw_scores(risk.model, encoded).select(SPEC.key, "split", "breach", "raw_score")
+    raw = modeling.raw_scores(risk, encoded).select(SPEC.key, "split", "breach", "raw_score")
     calibrator, _ = modeling.fit_calibrator(raw.where(F.col("split") == "val"), trigger=0.0)
     return modeling.apply_calibrator(raw.where(F.col("split") == "test"), calibrator).select(SPEC.key, "raw_score", "risk")
 

@@ -13,42 +13,22 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselens import fixed
-from caselens.storage import shared_path
-
-
-def tree_nodes(spark: SparkSession, model: GBTClassificationModel, path: str | None = None) -> DataFrame:
-    """One row per tree node of the saved model, with the tree's weight."""
-    if path is None:
-        path = shared_path(spark, "trees")
-        model.save(path)
-    weights = spark.createDataFrame(list(enumerate(map(float, model.treeWeights))), "tree int, weight double")
-    nodes = spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"),
-        F.col("nodeData.id").alias("node"),
-        F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    )
-    return nodes.join(weights, "tree")
 
 
-def node_table(nodes: DataFrame) -> list[dict]:
+def node_table(nodes: DataFrame | pd.DataFrame) -> list[dict]:
     """The trees as arrays on the driver: bounded by trees x 2^(depth + 1) whatever the data."""
-    table = nodes.toPandas().sort_values(["tree", "node"])
+    table = (nodes if isinstance(nodes, pd.DataFrame) else nodes.toPandas()).sort_values(["tree", "node"])
     return [
         {
             "left": part["left"].to_numpy(np.int64),
             "right": part["right"].to_numpy(np.int64),
             "feature": part["feature"].to_numpy(np.int64),
-            "threshold": part["threshold"].fillna(0.0).to_numpy(float),
-            "value": 2.0 * (part["weight"] * part["prediction"]).to_numpy(float),
+            "threshold": part["threshold"].to_numpy(float),
+            "value": part["value"].to_numpy(float),
         }
         for _, part in table.groupby("tree")
     ]
@@ -64,28 +44,39 @@ def _leaves(x: np.ndarray, tree: dict) -> np.ndarray:
         at[inner] = np.where(x[r, tree["feature"][node]] <= tree["threshold"][node], tree["left"][node], tree["right"][node])
 
 
-def binned_rounds(rows: DataFrame, nodes: DataFrame, bins: int) -> DataFrame:
-    """round, bin, pos, n: rows (x, y) by their score after each round, counted within each task."""
-    shipped = rows.sparkSession.sparkContext.broadcast(node_table(nodes))
+def risk_of(x: np.ndarray, trees: list[dict], base: float) -> np.ndarray:
+    margin = np.full(len(x), base)
+    for tree in trees:
+        margin += tree["value"][_leaves(x, tree)]
+    return 1 / (1 + np.exp(-margin))
+
+
+def scores(df: DataFrame, nodes: DataFrame, base: float, features: str = "features", out: str = "raw_score") -> DataFrame:
+    """Add the score of the trees, from an array of the inputs; the trees are shipped to the tasks."""
+    shipped = df.sparkSession.sparkContext.broadcast(node_table(nodes))
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            x = np.vstack(values.to_numpy()) if len(values) else np.zeros((0, 1))
+            yield pd.Series(risk_of(x, shipped.value, base))
+
+    return df.withColumn(out, score(features))
+
+
+def draw_scores(rows: DataFrame, nodes: DataFrame, base: float) -> DataFrame:
+    """draw, score, y: the scores of rows (x, y) by every draw, in one pass."""
+    shipped = rows.sparkSession.sparkContext.broadcast({int(d): node_table(part) for d, part in nodes.toPandas().groupby("draw")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shipped.value
-        n, pos = (np.zeros((len(trees), bins), np.int64) for _ in range(2))
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            y = batch.column("y").to_numpy(zero_copy_only=False) > 0
-            margin = np.zeros(len(x))
-            for i, tree in enumerate(trees):
-                margin += tree["value"][_leaves(x, tree)]
-                at = np.minimum((bins / (1 + np.exp(-margin))).astype(np.int64), bins - 1)
-                n[i] += np.bincount(at, minlength=bins)
-                pos[i] += np.bincount(at[y], minlength=bins)
-        round_, bin_ = np.nonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(round_), pa.array(bin_), pa.array(pos[round_, bin_]), pa.array(n[round_, bin_])],
-            names=["round", "bin", "pos", "n"])
+            for draw, trees in shipped.value.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), draw, np.int32)), pa.array(risk_of(x, trees, base)), batch.column("y")],
+                    names=["draw", "score", "y"])
 
-    return rows.mapInArrow(run, "round long, bin long, pos long, n long")
+    return rows.mapInArrow(run, "draw int, score double, y double")
 
 
 def _walk(x: np.ndarray, trees: list[dict], n_features: int) -> np.ndarray:
@@ -106,11 +97,10 @@ def _walk(x: np.ndarray, trees: list[dict], n_features: int) -> np.ndarray:
 
 
 def path_contributions(
-    df: DataFrame, nodes: DataFrame, columns: Sequence[str], out: str = "contributions"
+    df: DataFrame, nodes: DataFrame, width: int, features: str = "features", out: str = "contributions"
 ) -> DataFrame:
-    """Add an array of log-odds contributions, one per entry of ``columns``; the trees are shipped to the tasks."""
+    """Add an array of log-odds contributions, one per entry of ``features``; the trees are shipped to the tasks."""
     shipped = df.sparkSession.sparkContext.broadcast(node_table(nodes))
-    width = len(columns)
 
     @F.pandas_udf("array<double>")
     def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -118,7 +108,7 @@ def path_contributions(
             x = np.vstack(values.to_numpy()) if len(values) else np.zeros((0, width))
             yield pd.Series(list(_walk(x, shipped.value, width)))
 
-    return df.withColumn(out, contributions(F.array(*[F.col(c).cast("double") for c in columns])))
+    return df.withColumn(out, contributions(features))
 
 
 def top_reasons(

@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import blank, number_or_zero
-from caselens.operators import features, metrics, quality, targets, trees
+from caselens.operators import boosting, features, metrics, quality, targets, trees
 from caselens.operators.flow import open_during
 from caselens.spec import FeatureConfig, LifecycleSpec
-from caselens.storage import settle, shared_root
+from caselens.storage import settle
 
 CODES = [f"{c}_code" for c in fixed.CATEGORICAL_FEATURES]
-#: Rounds of the first stage, bins of a feature, bins of a score in the choice of rounds, and draws fitted at once.
-FIRST_ROUNDS, MAX_BINS, SCORE_BINS, SEARCH_THREADS = 48, 64, 4096, 8
+#: Labelled rows, of training and of validation each, that trees are grown on and stopped by; all are scored.
+FIT_ROWS = 1 << 16
 INPUTS = [*fixed.NUMERIC_FEATURES, *CODES]
 CONTEXT_KEYS = ("agency", "hour_of_day_created", "day_of_week")
 CONTEXT_VALUES = [c for c in fixed.NUMERIC_FEATURES if c not in CONTEXT_KEYS]
@@ -34,9 +31,9 @@ CONTEXT_VALUES = [c for c in fixed.NUMERIC_FEATURES if c not in CONTEXT_KEYS]
 class RiskModel:
     """A fitted model with the frozen tables scoring needs."""
 
-    model: GBTClassificationModel
-    encoder: DataFrame
     nodes: DataFrame
+    base: float
+    encoder: DataFrame
     medians: dict[str, float]
     params: dict[str, float]
     val_pr_auc: float
@@ -57,14 +54,13 @@ class RiskModel:
 
 
 def encode(df: DataFrame, encoder: DataFrame) -> DataFrame:
-    """Numeric columns coerced, categories coded, all gathered in ``features``."""
+    """Numeric columns coerced, categories coded, all gathered in the array ``features``."""
     coded = features.apply_ordinal(df, encoder, fixed.CATEGORICAL_FEATURES)
-    plain = coded.withColumns({f"_in_{c}": number_or_zero(c) for c in INPUTS})
-    return VectorAssembler(inputCols=[f"_in_{c}" for c in INPUTS], outputCol="features").transform(plain)
+    return coded.withColumn("features", F.array(*[number_or_zero(c).cast("double") for c in INPUTS]))
 
 
 def search_space(trials: int, seed: int) -> list[dict[str, float]]:
-    """Seeded draws of depth, rate, row and column shares and smallest leaf."""
+    """Seeded draws of depth, rate, row and column shares and least weight of a leaf."""
     draw = random.Random(seed)
     return [
         {
@@ -72,15 +68,14 @@ def search_space(trials: int, seed: int) -> list[dict[str, float]]:
             "stepSize": draw.uniform(0.03, 0.08),
             "subsamplingRate": draw.uniform(0.7, 0.9),
             "featureShare": draw.uniform(0.7, 0.9),
-            "minInstancesPerNode": draw.randint(1, 7),
+            "minChildWeight": draw.randint(1, 7),
         }
         for _ in range(trials)
     ]
 
 
-def raw_scores(model: GBTClassificationModel, encoded: DataFrame, out: str = "raw_score") -> DataFrame:
-    scored = model.transform(encoded)
-    return scored.withColumn(out, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
+def raw_scores(risk: RiskModel, encoded: DataFrame, out: str = "raw_score") -> DataFrame:
+    return trees.scores(encoded, risk.nodes, risk.base, out=out)
 
 
 def fit_calibrator(
@@ -110,70 +105,20 @@ def apply_calibrator(scored: DataFrame, calibrator: IsotonicRegressionModel | No
     return calibrator.transform(scored)
 
 
-def best_round(losses: Sequence[float], patience: int = fixed.EARLY_STOP_ROUNDS) -> int:
-    """Rounds to keep: the lowest loss seen before ``patience`` rounds pass without a lower one."""
-    best = 0
-    for at, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = at
-        elif at - best >= patience:
-            break
-    return best + 1
-
-
-@dataclass(frozen=True)
-class Boosted:
-    """A fit that was stopped: the rounds grown, those to keep, and the validation PR-AUC of each."""
-
-    booster: GBTClassifier
-    fitted: GBTClassificationModel
-    keep: int
-    pr_auc: list[float]
-
-    def model(self, train: DataFrame) -> GBTClassificationModel:
-        return self.fitted if self.keep == self.fitted.getNumTrees else self.booster.copy({self.booster.maxIter: self.keep}).fit(train)
-
-
-def fit_rounds(
-    train: DataFrame, validation: DataFrame, params: dict[str, float], max_rounds: int, seed: int,
-    first: int = FIRST_ROUNDS, patience: int = fixed.EARLY_STOP_ROUNDS,
-) -> Boosted:
-    """Boosted trees that stop growing once ``patience`` rounds brought no better validation PR-AUC.
-
-    Trees are grown in stages of ``first``, twice that, and so on.  A round's sampling depends
-    only on the seed, so a longer fit begins with the same trees, and the stage at which the
-    stop shows gives the same rounds as a fit of ``max_rounds``.
-    """
-    settings = {k: v for k, v in params.items() if k != "featureShare"}
-    booster = GBTClassifier(
-        labelCol="breach", featureSubsetStrategy=f"{params['featureShare']:.4f}", seed=seed, maxBins=MAX_BINS, **settings
-    )
-    rounds = min(first, max_rounds)
-    while True:
-        fitted = booster.copy({booster.maxIter: rounds}).fit(train)
-        quality_ = rounds_pr_auc(fitted, validation)
-        keep = best_round([-q for q in quality_], patience)
-        if rounds == max_rounds or keep + patience <= rounds:
-            return Boosted(booster, fitted, keep, quality_)
-        rounds = min(2 * rounds, max_rounds)
-
-
-def rounds_pr_auc(model: GBTClassificationModel, rows: DataFrame, features_col: str = "features", label: str = "breach") -> list[float]:
-    """Average precision of ``rows`` after every round, in one pass.
-
-    Each task counts rows per (round, score bin), so what is shuffled is bounded by rounds x bins; scores of
-    one of ``SCORE_BINS`` bins count as ties.
-    """
-    spark = rows.sparkSession
-    counts = trees.binned_rounds(
-        rows.select(vector_to_array(features_col).alias("x"), F.col(label).cast("double").alias("y")),
-        trees.tree_nodes(spark, model), SCORE_BINS,
-    )
-    per = settle(counts.groupBy("round", "bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")), "round-bins")
-    above = Window.partitionBy("round").orderBy(F.desc("bin"))
-    found = per.select("round", "pos", F.sum("pos").over(above).alias("p"), F.sum("n").over(above).alias("a")).groupBy("round").agg(
-        F.try_divide(F.sum(F.col("pos") * F.col("p") / F.col("a")), F.sum("pos")).alias("ap"))
-    return [r["ap"] or 0.0 for r in found.orderBy("round").collect()]
+def fit_sample(data: DataFrame, rows: int = FIT_ROWS) -> tuple[boosting.Rows, boosting.Rows, list[np.ndarray]]:
+    """Binned training and validation rows, ``rows`` of each by the least hash of their key, and the bins' ends."""
+    sides = {}
+    for val, n in data.groupBy("_is_val").count().collect():
+        side = data.where(F.col("_is_val") == val).withColumn("_place", F.xxhash64("unique_key"))
+        if n > 2 * rows:
+            # Places that are surely too large need not be sorted.
+            side = side.where(F.col("_place") < int(-(1 << 63) + (1 << 64) * 1.5 * rows / n))
+        taken = side.orderBy("_place", "unique_key").limit(rows).select("breach", "features").toPandas()
+        sides[val] = (np.vstack(taken["features"].to_numpy()), taken["breach"].to_numpy(float))
+    none = (np.zeros((0, len(INPUTS))), np.zeros(0))
+    (x, y), (vx, vy) = sides[False], sides.get(True, none)
+    edges = boosting.bin_edges(x)
+    return boosting.Rows(boosting.binned(x, edges), y), boosting.Rows(boosting.binned(vx, edges), vy), edges
 
 
 def fit_risk_model(
@@ -182,16 +127,16 @@ def fit_risk_model(
     seed: int = fixed.SEARCH_SEED,
     max_rounds: int = fixed.MAX_ROUNDS,
     trigger: float = fixed.CALIBRATION_TRIGGER,
+    fit_rows: int = FIT_ROWS,
 ) -> RiskModel:
     """Boosted trees over seeded draws; the draw with the best validation PR-AUC is kept.
 
     ``table`` is a feature table.  Encoders and medians come from labelled
-    training rows; the number of rounds, calibration and the high-risk cut from
-    validation rows.
+    training rows; the choice of the draw, calibration and the high-risk cut from
+    all validation rows.  Trees are grown on ``fit_rows`` training rows and their
+    number is chosen on as many validation rows.
     """
     spark = table.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
     known = quality.labeled(table).where(F.col("split").isin("train", "val"))
     train = known.where(F.col("split") == "train")
     encoder = features.fit_ordinal(train, fixed.CATEGORICAL_FEATURES)
@@ -199,22 +144,26 @@ def fit_risk_model(
         "unique_key", F.col("breach").cast("double").alias("breach"), (F.col("split") == "val").alias("_is_val"), "features"
     )
     data = settle(encoded, "training")
-    learning, validation = data.where(~F.col("_is_val")), data.where("_is_val")
+    validation = data.where("_is_val")
+    learning, held_back, edges = fit_sample(data, fit_rows)
+    rate = min(max(float(learning.label.mean()), 1e-6), 1 - 1e-6)
+    base = math.log(rate / (1 - rate))
     draws = search_space(trials, seed)
-    with ThreadPoolExecutor(SEARCH_THREADS) as pool:
-        grown = list(pool.map(inheritable_thread_target(spark)(lambda p: fit_rounds(learning, validation, p, max_rounds, seed)), draws))
+    grown = settle(boosting.grow_draws(spark, learning, held_back, edges, draws, base, max_rounds, fixed.EARLY_STOP_ROUNDS, seed), "trees")
+    judged = metrics.ranking_metrics(
+        trees.draw_scores(validation.select(F.col("features").alias("x"), F.col("breach").alias("y")), grown, base), "score", "y", ["draw"]
+    ).select("draw", "pr_auc")
     # The first of equal draws is kept.
-    at = max(range(len(grown)), key=lambda i: (grown[i].pr_auc[grown[i].keep - 1], -i))
-    params, model = draws[at], grown[at].model(learning)
-    scored_val = settle(raw_scores(model, validation).select("breach", "raw_score"), "validation")
-    score = metrics.ranking_metrics(scored_val, "raw_score").first()["pr_auc"]
+    at, score = min(((r["draw"], r["pr_auc"] or 0.0) for r in judged.collect()), key=lambda r: (-r[1], r[0]), default=(0, 0.0))
+    params, nodes = draws[at], settle(grown.where(F.col("draw") == at).drop("draw"), "model")
+    scored_val = settle(trees.scores(validation, nodes, base).select("breach", "raw_score"), "validation")
     calibrator, ece = fit_calibrator(scored_val, trigger)
     cut = metrics.risk_cut(apply_calibrator(scored_val, calibrator), "risk")
     overall = features.global_medians(train, fixed.NUMERIC_FEATURES)
     return RiskModel(
-        model=model,
+        nodes=nodes,
+        base=base,
         encoder=encoder,
-        nodes=trees.tree_nodes(spark, model),
         medians={r["feature"]: r["median"] for r in overall.collect()},
         params=params,
         val_pr_auc=score,
@@ -240,12 +189,12 @@ def scoring_context(
 
 def score_rows(df: DataFrame, risk: RiskModel, explain: bool = True) -> DataFrame:
     """Risk, risk band and, with ``explain``, contributions and reasons for feature rows."""
-    scored = apply_calibrator(raw_scores(risk.model, encode(df, risk.encoder)), risk.calibrator)
+    scored = apply_calibrator(raw_scores(risk, encode(df, risk.encoder)), risk.calibrator)
     banded = metrics.risk_band(scored, risk.cut, "risk")
     if explain:
-        banded = trees.path_contributions(banded, risk.nodes, [f"_in_{c}" for c in INPUTS])
+        banded = trees.path_contributions(banded, risk.nodes, len(INPUTS))
         banded = banded.withColumn("top_reasons", trees.top_reasons("contributions", fixed.FEATURES, risk.medians))
-    return banded.drop("features", *[f"_in_{c}" for c in INPUTS], *CODES)
+    return banded.drop("features", *CODES)
 
 
 def score_population(table: DataFrame, risk: RiskModel, cfg: FeatureConfig) -> DataFrame:
@@ -325,14 +274,14 @@ def model_report(
 def save_context(risk: RiskModel, path: str) -> None:
     """Write the model and its frozen tables below ``path``."""
     spark = risk.encoder.sparkSession
-    risk.model.write().overwrite().save(f"{path}/model")
+    risk.nodes.write.mode("overwrite").parquet(f"{path}/trees")
     if risk.calibrator is not None:
         risk.calibrator.write().overwrite().save(f"{path}/calibrator")
     for name in ("encoder", "context", "overall", "common", "targets"):
         part = getattr(risk, name)
         if part is not None:
             part.write.mode("overwrite").parquet(f"{path}/{name}")
-    settings = [("val_pr_auc", risk.val_pr_auc), ("val_ece", risk.val_ece), ("cut", risk.cut), ("train_rate", risk.train_rate),
+    settings = [("base", risk.base), ("val_pr_auc", risk.val_pr_auc), ("val_ece", risk.val_ece), ("cut", risk.cut), ("train_rate", risk.train_rate),
                 ("calibrated", float(risk.calibrator is not None)),
                 ("has_lookups", float(risk.common is not None and risk.targets is not None))]
     if risk.replay is not None:
@@ -344,14 +293,13 @@ def save_context(risk: RiskModel, path: str) -> None:
 
 
 def load_context(spark: SparkSession, path: str) -> RiskModel:
-    model = GBTClassificationModel.load(f"{path}/model")
     settings = {r["name"]: r["value"] for r in spark.read.parquet(f"{path}/settings").collect()}
     overall = spark.read.parquet(f"{path}/overall")
     lookups = bool(settings["has_lookups"])
     return RiskModel(
-        model=model,
+        nodes=spark.read.parquet(f"{path}/trees"),
+        base=settings["base"],
         encoder=spark.read.parquet(f"{path}/encoder"),
-        nodes=trees.tree_nodes(spark, model, f"{path}/model"),
         medians={r["feature"]: r["median"] for r in overall.collect()},
         params={k[6:]: v for k, v in settings.items() if k.startswith("param.")},
         val_pr_auc=settings["val_pr_auc"],

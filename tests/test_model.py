@@ -6,11 +6,12 @@ import math
 import random
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from caselens import fixed
-from caselens.operators import features, metrics, quality
+from caselens.operators import boosting, features, metrics, quality
 from caselens.plans import modeling
 from caselens.spec import FeatureConfig, LifecycleSpec
 from caselens.storage import settle
@@ -118,11 +119,6 @@ def test_calibration_gate(spark):
     assert [r["risk"] for r in modeling.apply_calibrator(ends, fitted).orderBy("raw_score").collect()] == [0.0, 1.0]
 
 
-def test_best_round():
-    assert modeling.best_round([0.5, 0.4, 0.3, 0.35]) == 3
-    assert modeling.best_round([0.5, 0.6, 0.6, 0.1], patience=2) == 1
-
-
 SCENARIO = (
     "id int, agency string, complaint_type string, borough string, channel string, created_at timestamp, "
     "agency_open_backlog double, complaint_open_backlog double, agency_arrivals_24h double, agency_closures_24h double, "
@@ -159,20 +155,61 @@ def test_scenarios(spark, built):
     }
 
 
-def test_growing_stops_and_equals_one_long_fit(built):
+def noisy(n, seed):
+    draw = np.random.default_rng(seed)
+    x = np.column_stack([draw.normal(size=n), draw.integers(0, 5, n), draw.normal(size=n), np.zeros(n)])
+    risk = 1 / (1 + np.exp(-(2 * (x[:, 0] > 0.3) * (x[:, 1] > 2) + x[:, 2] - 1)))
+    return x, (draw.random(n) < risk).astype(float)
+
+
+PARAMS = {"maxDepth": 4, "stepSize": 0.3, "subsamplingRate": 0.8, "featureShare": 0.8, "minChildWeight": 2}
+
+
+def test_growing_stops_and_a_model_is_a_prefix():
+    (x, y), (vx, vy) = noisy(3000, 1), noisy(1500, 2)
+    edges = boosting.bin_edges(x)
+    train, val = boosting.Rows(boosting.binned(x, edges), y), boosting.Rows(boosting.binned(vx, edges), vy)
+    kept, seen = boosting.boost(train, val, PARAMS, -0.5, 200, 10, 7)
+    best = max(range(len(seen)), key=lambda i: (seen[i], -i))
+    assert len(kept) == best + 1 and len(seen) == best + 11 < 200
+    longer, more = boosting.boost(train, val, PARAMS, -0.5, 200, 40, 7)
+    assert more[: len(seen)] == seen and [t.value for t in longer[: len(kept)]] == [t.value for t in kept]
+    assert seen[best] > boosting.average_precision(vy, -vx[:, 0]) + 0.1
+
+
+def test_every_split_is_the_best_one_and_sides_weigh_enough():
+    x, y = noisy(400, 3)
+    edges = boosting.bin_edges(x)
+    rows, slope, curve = boosting.binned(x, edges), 0.4 - y, np.full(len(y), 0.24)
+    tree = boosting.grow_tree(rows, slope, curve, np.array([0, 1, 2, 3]), 3, 1.0, 5.0)
+    inside = {0: np.ones(len(y), bool)}
+    for n in range(len(tree.value)):
+        here = inside[n]
+        assert tree.value[n] == pytest.approx(-slope[here].sum() / (curve[here].sum() + 1))
+        if tree.left[n] < 0:
+            continue
+
+        def gain(f, b):
+            low = here & (rows[:, f] <= b)
+            high = here & ~low
+            if min(curve[low].sum(), curve[high].sum()) < 5:
+                return 0.0
+            return sum(slope[s].sum() ** 2 / (curve[s].sum() + 1) for s in (low, high)) - slope[here].sum() ** 2 / (curve[here].sum() + 1)
+
+        best = max(gain(f, b) for f in range(4) for b in range(64))
+        assert gain(tree.feature[n], tree.bin[n]) == pytest.approx(best) and best > 0
+        inside[tree.left[n]] = here & (rows[:, tree.feature[n]] <= tree.bin[n])
+        inside[tree.right[n]] = here & ~inside[tree.left[n]]
+
+
+def test_average_precision_takes_ties_together():
+    assert boosting.average_precision(np.array([1, 0, 1, 0.0]), np.array([0.9, 0.9, 0.5, 0.1])) == pytest.approx(0.5 * 0.5 + 0.5 * 2 / 3)
+    assert boosting.average_precision(np.zeros(3), np.ones(3)) == 0.0
+
+
+def test_bounded_sample_and_exact_choice(built):
+    """With fewer rows to fit on, the draw is still chosen on all validation rows."""
     table, _ = built
-    known = quality.labeled(table).where(F.col("split").isin("train", "val"))
-    encoder = features.fit_ordinal(known.where("split = 'train'"), fixed.CATEGORICAL_FEATURES)
-    data = settle(modeling.encode(known, encoder).select(F.col("breach").cast("double").alias("breach"), "split", "features"), "rows")
-    train, val = data.where("split = 'train'"), data.where("split = 'val'")
-    params = {"maxDepth": 3, "stepSize": 0.4, "subsamplingRate": 0.8, "featureShare": 0.8, "minInstancesPerNode": 2}
-    staged = modeling.fit_rounds(train, val, params, 40, 5, first=5, patience=4)
-    whole = modeling.fit_rounds(train, val, params, 40, 5, first=40, patience=4)
-    grown = staged.fitted.getNumTrees
-    assert grown < 40 == whole.fitted.getNumTrees and staged.keep == whole.keep and staged.keep + 4 <= grown
-    assert staged.pr_auc == pytest.approx(whole.pr_auc[:grown])
-    kept = staged.model(train)
-    assert kept.getNumTrees == staged.keep
-    scored = modeling.raw_scores(kept, val)
-    exact = metrics.ranking_metrics(scored, "raw_score").first()["pr_auc"]
-    assert staged.pr_auc[staged.keep - 1] == pytest.approx(exact, abs=5e-3)
+    small = modeling.fit_risk_model(table, trials=3, max_rounds=6, fit_rows=100)
+    scored = modeling.score_rows(quality.labeled(table.where("split = 'val'")), small, explain=False)
+    assert small.val_pr_auc == pytest.approx(metrics.ranking_metrics(scored, "raw_score").first()["pr_auc"])
