@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselens.functions.columns import day_number, seconds
-from caselens.operators.prefix import DAY, Total, totals_before
+from caselens.operators import dyadic
+from caselens.operators.prefix import DAY, Total, global_total, totals_before
 from caselens.spec import LifecycleSpec
 from caselens.storage import settle
 
@@ -116,7 +117,8 @@ def open_counts_at(
     """Rows open at every instant of ``times``, per group of ``keys``: the difference of two running totals.
 
     No row meets an instant.  Both sides of "open" are strict, so a row enters a microsecond after its start and
-    leaves at its end, or at once when it ends before it starts.  A group without open rows has no row.
+    leaves at its end, or at once when it ends before it starts.  A group without open rows has no row.  Running totals
+    go by range partitions of the moves, so a busy day is cut like any other stretch.
     """
     enters = F.unix_micros(spec.start) + 1
     leaves = F.greatest(F.unix_micros(spec.end), enters)
@@ -127,15 +129,23 @@ def open_counts_at(
     points = df.where(F.col(spec.start).isNotNull()).select(*keys, F.explode(F.array_compact(moves)).alias("m")).groupBy(
         *keys, F.col("m.us").alias("us")
     ).agg(F.sum("m.step").alias("step"))
-    points = settle(points.withColumn("_all", F.lit(0)), "moves")
+    points = settle(points, "moves")
     # An instant sees what has happened up to and with it: the totals before the next microsecond.
-    asked = times.select((F.unix_micros(F.col(at).cast("timestamp")) + 1).alias("us")).distinct().withColumn("_all", F.lit(0))
+    asked = times.select((F.unix_micros(F.col(at).cast("timestamp")) + 1).alias("us")).distinct()
     if keys:
-        asked = asked.join(points.select(*keys, "_all").distinct(), "_all")
-    found = totals_before(points, asked, ["_all", *keys], "us", {out: Total("step")}, grain=DAY * 1_000_000)
+        asked = _for_each(asked, settle(points.select(*keys).distinct(), "groups"))
+    found = totals_before(points, asked, list(keys), "us", {out: Total("step")}, grain=None)
     return found.where(F.col(out) > 0).select(*keys, F.timestamp_micros(F.col("us") - 1).alias(at), out)
 
 
+def _for_each(asked: DataFrame, groups: DataFrame, per_task: int = 1 << 20) -> DataFrame:
+    """Every instant with every group; the groups are repeated so that a task makes ``per_task`` rows of the answer."""
+    asked = settle(asked, "instants")
+    salts = max(1, -(-asked.count() * groups.count() // per_task))
+    many = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return asked.withColumn("_salt", F.pmod(F.xxhash64("us"), F.lit(salts)).cast("int")).join(many, "_salt").drop("_salt")
+
+
 def instants_checked(times: DataFrame, lo: str, hi: str, at: str = "as_of") -> DataFrame:
     """The instants, with a reason where they are missing or outside [lo, hi)."""
     when = F.col(at).cast("timestamp")
@@ -146,26 +156,48 @@ def instants_checked(times: DataFrame, lo: str, hi: str, at: str = "as_of") -> D
 
 
 def open_as_of_many(
-    df: DataFrame, spec: LifecycleSpec, times: DataFrame, at: str = "as_of", salts: int = 16
+    df: DataFrame, spec: LifecycleSpec, times: DataFrame, at: str = "as_of", per_task: int = 1 << 20
 ) -> DataFrame:
     """Every (instant, row open at it), for a table of instants.
 
-    Rows are listed under the days they are open, clipped to the days asked
-    for, and met by the instants of that day.  Instants are repeated once per
-    salt and rows carry one salt, so a day that holds a large part of the rows
-    is spread over ``salts`` tasks when the instants are too many to broadcast.
+    The days a row is open, clipped to the days asked for, are listed as dyadic
+    nodes: at most two a level, 16 for half a year instead of 180 days.  An instant
+    looks in the nodes its day lies in.  A node with more than ``per_task`` rows is
+    cut in as many parts, and its instants are repeated for each.
     """
     days = times.agg(F.min(day_number(at)), F.max(day_number(at))).first()
     if days[0] is None:
         return df.limit(0).withColumn(at, F.lit(None).cast("timestamp"))
-    first, last = F.lit(days[0]), F.lit(days[1])
-    begin = F.greatest(day_number(spec.start), first)
-    finish = F.least(F.coalesce(day_number(spec.end), last), last)
-    salt = F.pmod(F.xxhash64(spec.key), F.lit(salts)).cast("int")
-    rows = df.where(begin <= finish).select(
-        "*", F.explode(F.sequence(begin, finish)).alias("_day"), salt.alias("_salt")
+    first, last, levels = F.lit(days[0]), F.lit(days[1]), dyadic.levels_for(days[1] - days[0] + 1)
+    begin = F.greatest(day_number(spec.start), first) - first
+    finish = F.least(F.coalesce(day_number(spec.end), last), last) - first
+    rows = dyadic.in_nodes(df.where(begin <= finish), dyadic.cover(begin, finish + 1, levels))
+    parts = settle(
+        rows.groupBy("level", "block").agg(F.ceil(F.count("*") / F.lit(per_task)).cast("int").alias("_parts")), "node-parts"
     )
-    instants = times.select(F.col(at).cast("timestamp").alias(at)).distinct().select(
-        at, day_number(at).alias("_day"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    )
-    return rows.join(instants, ["_day", "_salt"]).where(is_open_at(spec, F.col(at))).drop("_day", "_salt")
+    salted = rows.join(parts, ["level", "block"]).withColumn("_salt", F.pmod(F.xxhash64(spec.key), F.col("_parts")).cast("int"))
+    instants = times.select(F.col(at).cast("timestamp").alias(at)).distinct()
+    looking = dyadic.in_nodes(instants, dyadic.above(day_number(at) - first, levels)).join(parts, ["level", "block"]).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return salted.drop("_parts").join(looking, ["level", "block", "_salt"]).where(is_open_at(spec, F.col(at))).drop(
+        "level", "block", "_salt")
+
+
+def open_spans(df: DataFrame, spec: LifecycleSpec, instants: DataFrame, carry: Sequence[str], at: str = "as_of") -> tuple[DataFrame, DataFrame]:
+    """Rows with the instants they are open at as a range of numbers [lo, hi), and the instants with their numbers.
+
+    Both ends of a row are counted among the instants in one pass over range partitions, so no row meets an
+    instant.  Rows open at none of them are left out; rows that agree in ``carry`` are one.
+    """
+    starts = F.struct((F.unix_micros(spec.start) + 1).alias("us"), F.lit(0).alias("side"))
+    ends = F.struct(F.coalesce(F.unix_micros(spec.end), F.lit((1 << 63) - 1)).alias("us"), F.lit(1).alias("side"))
+    none = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in carry]
+    moves = df.where(F.col(spec.start).isNotNull()).select(*carry, F.inline(F.array(starts, ends)))
+    asked = instants.select(*none, F.unix_micros(at).alias("us"), F.lit(2).alias("side"))
+    is_asked = (F.col("side") == 2).cast("int")
+    # Of equal times, ends and starts come before the instant.
+    placed = global_total(moves.unionByName(asked), ["us", "side"], is_asked, "n")
+    numbered = placed.where("side = 2").select(F.timestamp_micros("us").alias(at), (F.col("n") - 1).alias("number"))
+    spans = placed.where("side < 2").groupBy(*carry).agg(
+        F.min(F.when(F.col("side") == 0, F.col("n"))).alias("lo"), F.max(F.when(F.col("side") == 1, F.col("n"))).alias("hi"))
+    return spans.where("lo < hi"), numbered

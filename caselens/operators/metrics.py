@@ -45,7 +45,7 @@ def score_points(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()
         F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n")
     )
     falling = points.withColumn("_falling", -F.col("score"))
-    return running_totals(settle(falling, "scores"), list(keys), "_falling", ["pos", "n"], SCORE_TILE)
+    return running_totals(falling, list(keys), "_falling", ["pos", "n"], None)
 
 
 def ranking_metrics(df: DataFrame, score: str = "score", label: str = "breach", keys: Sequence[str] = ()) -> DataFrame:
@@ -92,8 +92,7 @@ def top_fraction(df: DataFrame, score: str, key: str, fraction: float = fixed.TO
     rows tied at that score are ranked by key, on all tasks.
     """
     runs = running_totals(
-        settle(df.groupBy((-F.col(score).cast("double")).alias("_falling")).agg(F.count("*").alias("n")), "scores"),
-        [], "_falling", ["n"], SCORE_TILE,
+        df.groupBy((-F.col(score).cast("double")).alias("_falling")).agg(F.count("*").alias("n")), [], "_falling", ["n"], None
     )
     runs = settle(runs, "cut")
     size = runs.agg(F.sum("n")).first()[0]

@@ -30,16 +30,19 @@ class Total:
 
 
 def running_totals(
-    points: DataFrame, keys: Sequence[str], axis: str, measures: Sequence[str], grain: float
+    points: DataFrame, keys: Sequence[str], axis: str, measures: Sequence[str], grain: float | None
 ) -> DataFrame:
     """Add ``before_<measure>``: the total over points with a smaller axis value.
 
-    ``points`` must be unique on keys + axis and cheap to scan twice (a written
-    table).  Points with a NULL key are left out.
+    ``points`` must be unique on keys + axis and, with a grain, cheap to scan twice
+    (a written table).  Points with a NULL key are left out.  Without a grain, tiles
+    are range partitions of the points: of about equal size, wherever the points lie.
     """
-    tiled = points.dropna(subset=[*keys, axis]).withColumn(
-        "_tile", F.floor(F.col(axis) / F.lit(grain)).cast("long")
-    )
+    known = points.dropna(subset=[*keys, axis])
+    if grain is None:
+        tiled = settle(in_ranges(known, [*keys, axis], "_tile"), "tiles")
+    else:
+        tiled = known.withColumn("_tile", F.floor(F.col(axis) / F.lit(grain)).cast("long"))
     across = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
     carried = tiled.groupBy(*keys, "_tile").agg(*[F.sum(m).alias(m) for m in measures]).select(
         *keys, "_tile", *[F.coalesce(F.sum(m).over(across), F.lit(0)).alias(f"_carry_{m}") for m in measures]
@@ -59,7 +62,7 @@ def totals_before(
     keys: Sequence[str],
     axis: str,
     totals: Mapping[str, Total],
-    grain: float = DAY,
+    grain: float | None = DAY,
     where: Column | None = None,
 ) -> DataFrame:
     """Totals over points strictly before each wanted point.
@@ -127,22 +130,35 @@ def totals_before(
     return folded.groupBy(*keys, axis).agg(*[part(t).alias(n) for n, t in totals.items()])
 
 
-def global_rank(df: DataFrame, order: Sequence, out: str = "rank") -> DataFrame:
-    """Row number over the whole frame in ``order``, computed on all tasks.
+def in_ranges(df: DataFrame, order: Sequence, out: str) -> DataFrame:
+    """Rows dealt to tasks by ranges of ``order``, with the number of their range.
+
+    Write the result: a re-run task could see other boundaries.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, *order).withColumn(out, F.spark_partition_id())
 
-    Rows are range-partitioned and written with their partition number, so a
-    re-run task cannot see other boundaries; each partition is then numbered on
-    its own and shifted by the sizes of the partitions before it.
+
+def global_total(df: DataFrame, order: Sequence, value: Column, out: str) -> DataFrame:
+    """Total of ``value`` over all rows up to and with each row in ``order``, computed on all tasks.
+
+    Rows are range-partitioned and written with their partition number; each
+    partition is then summed up on its own and shifted by the totals of the
+    partitions before it.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = settle(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranked")
+    placed = settle(in_ranges(df.withColumn("_value", value.cast("long")), order, "_part"), "ranked")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sums = placed.groupBy("_part").agg(F.sum("_value").alias("_n"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        numbered.join(offsets, "_part")
-        .withColumn(out, (F.col("_row") + F.col("_offset")).cast("long"))
-        .drop("_part", "_row", "_offset")
+        placed.withColumn("_sum", F.sum("_value").over(inside))
+        .join(offsets, "_part")
+        .withColumn(out, (F.col("_sum") + F.col("_offset")).cast("long"))
+        .drop("_part", "_sum", "_offset", "_value")
     )
+
+
+def global_rank(df: DataFrame, order: Sequence, out: str = "rank") -> DataFrame:
+    """Row number over the whole frame in ``order``, computed on all tasks."""
+    return global_total(df, order, F.lit(1), out)

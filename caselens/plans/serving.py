@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import local_iso, parse_reasons
-from caselens.operators import profile
-from caselens.operators.flow import check_range, instants_checked, open_as_of, open_as_of_many, open_counts_at
+from caselens.operators import dyadic, profile
+from caselens.operators.flow import check_range, instants_checked, open_as_of, open_spans
+from caselens.operators.prefix import running_totals
 from caselens.operators.targets import TARGET, breach_rates
 from caselens.spec import LifecycleSpec
 from caselens.storage import settle
@@ -113,6 +114,18 @@ def replay_queue(
     return _items(best, spec, F.lit(as_of).cast("timestamp"), zone, reveal, risk)
 
 
+def first_of_spans(spans: DataFrame, numbered: DataFrame, spec: LifecycleSpec, levels: int, limit: int, risk: str) -> DataFrame:
+    """number, key, risk, place: the first ``limit`` rows whose [lo, hi) holds the number, riskiest first."""
+    best_first = [F.desc(risk), F.asc(spec.key)]
+    nodes = dyadic.in_nodes(spans, dyadic.cover(F.col("lo"), F.col("hi"), levels)).select("level", "block", spec.key, risk)
+    kept = nodes.withColumn("_place", F.row_number().over(Window.partitionBy("level", "block").orderBy(*best_first))).where(
+        F.col("_place") <= limit)
+    looking = dyadic.in_nodes(numbered, dyadic.above(F.col("number"), levels))
+    merged = looking.join(kept.drop("_place"), ["level", "block"]).select(
+        "number", spec.key, risk, F.row_number().over(Window.partitionBy("number").orderBy(*best_first)).alias("place"))
+    return merged.where(F.col("place") <= limit)
+
+
 def replay_queue_many(
     scored: DataFrame,
     times: DataFrame,
@@ -128,25 +141,33 @@ def replay_queue_many(
 
     An instant with nothing open has one row with total 0 and no place.  One outside
     ``replay`` has one row with a reason and no total: the scored table doesn't hold what
-    was open then.  Totals are running counts; the rank filter is applied within each task
-    before the shuffle, so an instant with many open rows does not gather them.
+    was open then.
+
+    The instants are numbered, and the numbers a row is open at are cut into dyadic nodes.
+    A node keeps its ``limit`` riskiest rows, cut within each task before the shuffle, and
+    an instant merges those of the nodes it lies in; totals come from how many rows begin
+    and end at a number.  No row meets an instant it is not among the first of a node for.
     """
     _check_limit(limit)
-    narrow = scored.select(
-        spec.key, spec.group, spec.subgroup, spec.region, spec.start, spec.end, spec.hours, risk, "risk_band", TARGET,
-        "breach",
-    )
-    queued = queue_filters(narrow, spec, min_risk=min_risk, risk=risk)
+    queued = queue_filters(scored, spec, min_risk=min_risk, risk=risk)
     asked = settle(instants_checked(times, *replay), "instants")
     good = asked.where(F.col("_reject_reason").isNull()).select("as_of")
-    waiting = open_as_of_many(queued, spec, good)
-    place = F.row_number().over(Window.partitionBy("as_of").orderBy(F.desc(risk), F.asc(spec.key)))
-    best = waiting.withColumn("place", place).where(F.col("place") <= limit)
-    totals = open_counts_at(queued, spec, good, out="total")
-    heads = asked.join(totals, "as_of", "left").withColumn(
-        "total", F.when(F.col("_reject_reason").isNull(), F.coalesce("total", F.lit(0).cast("long")))
-    )
-    placed = settle(heads, "queue-heads").join(best, "as_of", "left")
+    levels = dyadic.levels_for(good.count())
+    spans, numbered = open_spans(queued, spec, good, [spec.key, risk])
+    spans, numbered = settle(spans, "spans"), settle(numbered, "numbers")
+    best = settle(first_of_spans(spans, numbered, spec, levels, limit, risk), "queue")
+    steps = spans.select(F.inline(F.array(
+        F.struct(F.col("lo").alias("number"), F.lit(1).cast("long").alias("step")),
+        F.struct(F.col("hi").alias("number"), F.lit(-1).cast("long").alias("step")),
+    ))).groupBy("number").agg(F.sum("step").alias("step"))
+    counted = running_totals(
+        numbered.select("number").join(steps, "number", "left").select("number", F.coalesce("step", F.lit(0)).alias("step")),
+        [], "number", ["step"], None)
+    totals = numbered.join(counted.select("number", (F.col("before_step") + F.col("step")).alias("total")), "number")
+    shown = queued.select(
+        spec.key, spec.group, spec.subgroup, spec.region, spec.start, spec.end, spec.hours, "risk_band", TARGET, "breach")
+    rows = best.join(shown, spec.key)
+    placed = asked.join(totals, "as_of", "left").join(rows, "number", "left")
     return _items(placed, spec, F.col("as_of"), zone, reveal, risk, ["as_of", "_reject_reason", "place", "total"])
 
 

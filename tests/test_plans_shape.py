@@ -34,9 +34,12 @@ def test_targets_reach_the_rows_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
 
 
-def test_top_k_per_instant_is_cut_before_the_shuffle(spark):
-    text = plan(contract.queries()["replay_queue_many"](spark, SF))
-    assert text.count("WindowGroupLimit") == 2
+def test_top_k_per_node_and_instant_is_cut_before_the_shuffle(spark):
+    spans = spark.createDataFrame([("a", 0.5, 0, 3)], "unique_key string, risk double, lo long, hi long")
+    numbers = spark.range(4).withColumnRenamed("id", "number")
+    text = plan(serving.first_of_spans(spans, numbers, LifecycleSpec(), 2, 5, "risk"))
+    # Once before and once after each of the two exchanges.
+    assert text.count("WindowGroupLimit") == 4
 
 
 def test_slice_is_pushed_to_the_scan(spark):
