@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from caselens.checks.common import SPEC, Case, rounded, scored, scored_split
 from caselens.checks.sql import SCORED, with_
-from caselens.operators import metrics, quality
+from caselens.operators import isotonic, metrics, quality
 from caselens.operators.prefix import global_rank
+from caselens.storage import settle
 
 
 def baseline_group_rate(spark, sf):
@@ -68,6 +69,12 @@ def risk_band(spark, sf):
     return banded.select(SPEC.key, "risk_band", F.round(F.lit(cut), 6).alias("cut"))
 
 
+def isotonic_curve(spark, sf):
+    """Test scores on the rising curve through the validation rows."""
+    curve = settle(isotonic.fit(scored_split(spark, sf, "val"), "score", "breach"), "knots")
+    return rounded(isotonic.apply(scored_split(spark, sf), curve, "score", "risk").select(SPEC.key, "score", "risk"), "risk")
+
+
 def beats_baseline(spark, sf):
     """The pair-rate score against the constant one."""
     rows = scored_split(spark, sf)
@@ -167,6 +174,25 @@ CASES = {
             "SELECT round(sum(n * abs(mean_pred - actual_rate)) / CAST(sum(n) AS DOUBLE), 6) AS ece FROM bins",
         ),
     ),
+    "isotonic_curve": Case(
+        isotonic_curve,
+        with_(
+            SCORED + [
+                "points AS (SELECT score AS x, sum(breach) AS pos, count(*) AS n FROM scored WHERE split = 'val' AND breach IS NOT NULL GROUP BY score)",
+                "summed AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(pos) OVER (ORDER BY x) AS p, sum(n) OVER (ORDER BY x) AS m, pos, n FROM points)",
+                # The mean from a to b, its least over the ends from i on, and the largest of those over the starts up to i.
+                """lowest AS (
+  SELECT a.i AS a, b.i AS b, min((b.p - a.p + a.pos) / CAST(b.m - a.m + a.n AS DOUBLE)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS low
+  FROM summed a JOIN summed b ON a.i <= b.i)""",
+                "knots AS (SELECT s.i, s.x, max(low) AS y FROM summed s JOIN lowest l ON l.b = s.i GROUP BY s.i, s.x)",
+                """sides AS (
+  SELECT unique_key, score, (SELECT max(i) FROM knots WHERE x <= score) AS below, (SELECT min(i) FROM knots WHERE x >= score) AS above FROM test)""",
+            ],
+            """SELECT unique_key, score, round(CASE WHEN l.x = u.x OR u.x IS NULL THEN l.y WHEN l.x IS NULL THEN u.y
+  ELSE l.y + (u.y - l.y) * (score - l.x) / (u.x - l.x) END, 6) AS risk
+FROM sides LEFT JOIN knots l ON below = l.i LEFT JOIN knots u ON above = u.i""",
+        ),
+    ),
     "risk_band": Case(
         risk_band,
         with_(

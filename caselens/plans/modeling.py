@@ -8,13 +8,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import blank, number_or_zero
-from caselens.operators import boosting, features, metrics, quality, targets, trees
+from caselens.operators import boosting, features, isotonic, metrics, quality, targets, trees
 from caselens.operators.flow import open_during
 from caselens.spec import FeatureConfig, LifecycleSpec
 from caselens.storage import settle
@@ -40,7 +39,7 @@ class RiskModel:
     val_ece: float
     cut: float
     train_rate: float
-    calibrator: IsotonicRegressionModel | None = None
+    calibrator: DataFrame | None = None
     context: DataFrame | None = None
     overall: DataFrame | None = None
     common: DataFrame | None = None
@@ -78,31 +77,20 @@ def raw_scores(risk: RiskModel, encoded: DataFrame, out: str = "raw_score") -> D
     return trees.scores(encoded, risk.nodes, risk.base, out=out)
 
 
-def fit_calibrator(
-    validation: DataFrame, trigger: float = fixed.CALIBRATION_TRIGGER
-) -> tuple[IsotonicRegressionModel | None, float]:
-    """Isotonic fit when the validation calibration error is above ``trigger``.
-
-    Rows with one score count as one weighted point.
-    """
+def fit_calibrator(validation: DataFrame, trigger: float = fixed.CALIBRATION_TRIGGER) -> tuple[DataFrame | None, float]:
+    """The knots of an isotonic fit when the validation calibration error is above ``trigger``, and that error."""
     bins = metrics.calibration_bins(validation, "raw_score")
     ece = metrics.expected_calibration_error(bins).first()["ece"]
     if ece is None or ece <= trigger:
         return None, ece
-    points = validation.groupBy("raw_score").agg(
-        F.avg("breach").alias("rate"), F.count("*").cast("double").alias("weight")
-    )
-    fitted = IsotonicRegression(
-        featuresCol="raw_score", labelCol="rate", weightCol="weight", predictionCol="risk"
-    ).fit(points)
-    return fitted, ece
+    return settle(isotonic.fit(validation, "raw_score", "breach"), "knots"), ece
 
 
-def apply_calibrator(scored: DataFrame, calibrator: IsotonicRegressionModel | None) -> DataFrame:
+def apply_calibrator(scored: DataFrame, calibrator: DataFrame | None) -> DataFrame:
     """``risk`` from ``raw_score``: piecewise linear between knots, else unchanged."""
     if calibrator is None:
         return scored.withColumn("risk", F.col("raw_score"))
-    return calibrator.transform(scored)
+    return isotonic.apply(scored, calibrator, "raw_score", "risk")
 
 
 def fit_sample(data: DataFrame, rows: int = FIT_ROWS) -> tuple[boosting.Rows, boosting.Rows, list[np.ndarray]]:
@@ -276,7 +264,7 @@ def save_context(risk: RiskModel, path: str) -> None:
     spark = risk.encoder.sparkSession
     risk.nodes.write.mode("overwrite").parquet(f"{path}/trees")
     if risk.calibrator is not None:
-        risk.calibrator.write().overwrite().save(f"{path}/calibrator")
+        risk.calibrator.write.mode("overwrite").parquet(f"{path}/calibrator")
     for name in ("encoder", "context", "overall", "common", "targets"):
         part = getattr(risk, name)
         if part is not None:
@@ -306,7 +294,7 @@ def load_context(spark: SparkSession, path: str) -> RiskModel:
         val_ece=settings["val_ece"],
         cut=settings["cut"],
         train_rate=settings["train_rate"],
-        calibrator=IsotonicRegressionModel.load(f"{path}/calibrator") if settings["calibrated"] else None,
+        calibrator=spark.read.parquet(f"{path}/calibrator") if settings["calibrated"] else None,
         context=spark.read.parquet(f"{path}/context"),
         overall=overall,
         common=spark.read.parquet(f"{path}/common") if lookups else None,

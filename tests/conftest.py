@@ -26,3 +26,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def partitions(spark):
+    """Set the number of shuffle partitions for one test."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, str(n))
+    spark.conf.set(name, before)

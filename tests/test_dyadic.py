@@ -80,10 +80,10 @@ def test_queue_at_many_instants(spark):
     assert "BroadcastNestedLoopJoin" not in plan(found) and "CartesianProduct" not in plan(found)
 
 
-def test_tiles_come_from_the_points(spark):
+def test_tiles_come_from_the_points(spark, partitions):
     """200,000 points inside a thousandth of the axis: no tile holds much more than its share."""
     n, parts = 200_000, 8
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    partitions(parts)
     points = spark.range(n).select((F.lit(0.25) + F.col("id") / F.lit(n * 1024.0)).alias("x"), F.lit(1).cast("long").alias("v"))
     runs = running_totals(points, [], "x", ["v"], None)
     assert runs.where(F.abs((F.col("x") - 0.25) * n * 1024 - F.col("before_v")) > 0.01).count() == 0

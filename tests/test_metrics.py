@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselens.functions import columns
-from caselens.operators import features, metrics
+from caselens.operators import features, isotonic, metrics
 from caselens.plans import serving
 from caselens.spec import LifecycleSpec
 
@@ -129,3 +129,29 @@ def test_queue_arguments(spark):
         serving.replay_queue(df, SPEC, "2024-01-02", ("2024-01-01", "2024-01-02"))
     with pytest.raises(ValueError):
         serving.hotspots(df, SPEC, "street")
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_isotonic_equals_max_of_min_of_means(spark, parts, partitions):
+    partitions(parts)
+    draw = random.Random(parts)
+    rows = [(draw.randrange(60) / 60, draw.randrange(2), 1) for _ in range(300)] + [(None, 1, 1), (0.5, None, 1)]
+    df = spark.createDataFrame(rows, "score double, breach int, x int")
+    curve = isotonic.fit(df, "score", "breach")
+    known = sorted((s, b) for s, b, _ in rows if s is not None and b is not None)
+    xs = sorted({s for s, _ in known})
+    mean = lambda a, b: (lambda v: sum(v) / len(v))([y for s, y in known if a <= s <= b])
+    want = {x: max(min(mean(a, b) for b in xs if b >= x) for a in xs if a <= x) for x in xs}
+    got = {r["score"]: r["risk"] for r in isotonic.apply(df, curve, "score", "risk").where("score is not null").collect()}
+    assert got == pytest.approx(want)
+    ends = isotonic.apply(spark.createDataFrame([(-1.0,), (2.0,), (None,)], "score double"), curve, "score", "risk").collect()
+    assert [r["risk"] for r in ends] == [pytest.approx(want[xs[0]]), pytest.approx(want[xs[-1]]), None]
+    assert isotonic.fit(df.limit(0), "score", "breach").count() == 0
+    assert isotonic.apply(df, isotonic.fit(df.limit(0), "score", "breach"), "score", "risk").where("risk <> score").count() == 0
+
+
+def test_blocks_are_pooled_before_they_meet(spark):
+    """Falling labels: a range partition hands on one block, however many points it has."""
+    df = spark.range(20_000).select((F.col("id") / 20_000).alias("score"), (F.col("id") < 10_000).cast("int").alias("breach"))
+    assert isotonic.blocks(df, "score", "breach").count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [(r["x"], r["y"]) for r in isotonic.fit(df, "score", "breach").orderBy("x").collect()] == [(0.0, 0.5), (0.99995, 0.5)]
