@@ -85,7 +85,7 @@ def beats_baseline(spark, sf):
     )
 
 
-def _points(keys: str = "") -> str:
+def points_sql(keys: str = "") -> str:
     group = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys} " if keys else ""
     return f"""points AS (
@@ -94,8 +94,8 @@ def _points(keys: str = "") -> str:
   FROM test GROUP BY {group}score)"""
 
 
-_AP = "sum(CAST(pos AS DOUBLE) * tp / seen) / sum(pos)"
-_RANKED = "ranked AS (SELECT unique_key, score, breach, row_number() OVER (ORDER BY score DESC, unique_key) AS rank FROM test)"
+AP = "sum(CAST(pos AS DOUBLE) * tp / seen) / sum(pos)"
+RANKED = "ranked AS (SELECT unique_key, score, breach, row_number() OVER (ORDER BY score DESC, unique_key) AS rank FROM test)"
 _BIN = """binned AS (
   SELECT breach, score, CAST(CASE WHEN score >= 0.9 THEN 9 WHEN score >= 0.8 THEN 8 WHEN score >= 0.7000000000000001::DOUBLE THEN 7
     WHEN score >= 0.6000000000000001::DOUBLE THEN 6 WHEN score >= 0.5 THEN 5 WHEN score >= 0.4 THEN 4
@@ -123,8 +123,8 @@ CASES = {
     "ranking_metrics": Case(
         ranking_metrics,
         with_(
-            SCORED + [_points()],
-            f"""SELECT CAST(sum(n) AS BIGINT) AS n, round({_AP}, 6) AS pr_auc,
+            SCORED + [points_sql()],
+            f"""SELECT CAST(sum(n) AS BIGINT) AS n, round({AP}, 6) AS pr_auc,
   round(sum((n - pos) * (tp - pos / 2.0::DOUBLE)) / (CAST(sum(pos) AS DOUBLE) * sum(n - pos)), 6) AS roc_auc,
   round((SELECT avg(power(breach - score, 2)) FROM test), 6) AS brier,
   round((SELECT avg(breach) FROM test), 6) AS base_rate FROM points""",
@@ -133,9 +133,9 @@ CASES = {
     "metrics_by_group": Case(
         metrics_by_group,
         with_(
-            SCORED + [_points("agency")],
+            SCORED + [points_sql("agency")],
             f"""SELECT agency, CAST(sum(n) AS BIGINT) AS n,
-  CASE WHEN sum(pos) NOT IN (0, sum(n)) THEN round({_AP}, 6) END AS pr_auc,
+  CASE WHEN sum(pos) NOT IN (0, sum(n)) THEN round({AP}, 6) END AS pr_auc,
   CASE WHEN sum(pos) NOT IN (0, sum(n)) THEN round(CAST(sum(pos) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 6) END AS base_rate,
   CASE WHEN sum(pos) IN (0, sum(n)) THEN 'single-class' END AS note FROM points GROUP BY agency""",
         ),
@@ -143,7 +143,7 @@ CASES = {
     "top_fraction": Case(
         top_fraction,
         with_(
-            SCORED + [_RANKED],
+            SCORED + [RANKED],
             "SELECT unique_key, score, breach FROM ranked "
             "WHERE rank <= (SELECT greatest(1, floor(count(*) * 0.1)) FROM test)",
         ),
@@ -152,14 +152,14 @@ CASES = {
         top_decile,
         with_(
             SCORED
-            + [_RANKED, "top AS (SELECT * FROM ranked WHERE rank <= (SELECT greatest(1, floor(count(*) * 0.1)) FROM test))"],
+            + [RANKED, "top AS (SELECT * FROM ranked WHERE rank <= (SELECT greatest(1, floor(count(*) * 0.1)) FROM test))"],
             """SELECT round(avg(breach), 6) AS top_decile_precision,
   round(avg(breach) / (SELECT avg(breach) FROM test), 6) AS top_decile_lift,
   round(CAST(sum(breach) AS DOUBLE) / (SELECT CAST(sum(breach) AS DOUBLE) FROM test), 6) AS top_decile_recall,
   count(*) AS n_top FROM top""",
         ),
     ),
-    "global_ranks": Case(global_ranks, with_(SCORED + [_RANKED], "SELECT unique_key, score, rank FROM ranked")),
+    "global_ranks": Case(global_ranks, with_(SCORED + [RANKED], "SELECT unique_key, score, rank FROM ranked")),
     "calibration_bins": Case(
         calibration_bins,
         with_(
@@ -205,9 +205,9 @@ FROM sides LEFT JOIN knots l ON below = l.i LEFT JOIN knots u ON above = u.i""",
     "beats_baseline": Case(
         beats_baseline,
         with_(
-            SCORED + [_points()],
-            f"""SELECT round({_AP}, 6) AS challenger_pr_auc, (SELECT round(avg(breach), 6) FROM test) AS baseline_pr_auc,
-  {_AP} > (SELECT avg(breach) FROM test) AS beats FROM points""",
+            SCORED + [points_sql()],
+            f"""SELECT round({AP}, 6) AS challenger_pr_auc, (SELECT round(avg(breach), 6) FROM test) AS baseline_pr_auc,
+  {AP} > (SELECT avg(breach) FROM test) AS beats FROM points""",
         ),
     ),
 }

@@ -83,9 +83,9 @@ def duration_profile(spark, sf):
 
 
 def reconcile(spark, sf):
-    rows = settle(tagged(spark, sf), "tagged")
-    valid, rejected = quality.split_rejects(rows)
-    return rounded(quality.reconcile(rows, valid, rejected), "reject_rate", "acceptance_rate")
+    rows, seen = quality.watch_rejects(tagged(spark, sf), quality.reject_rules(SPEC))
+    settle(rows, "tagged")
+    return rounded(quality.reconcile_watched(spark, seen), "reject_rate", "acceptance_rate")
 
 
 def raw_csv_scan(spark, sf):

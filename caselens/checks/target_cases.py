@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from caselens import fixed
 from caselens.checks.common import CFG, SPEC, Case, gold, labeled, rounded, split, start_s, tickets
 from caselens.checks.sql import CLOSED, FROZEN, GOLD, LABELED, SPLIT, TICKETS, targets as target_sql, with_
 from caselens.operators import features, quality, targets
@@ -83,12 +84,14 @@ def label_states(spark, sf):
 
 def dq_summary(spark, sf):
     """Reconciliation, reject reasons and label states of tickets with a 72 h limit."""
-    raw = quality.tag_rejects(tickets(spark, sf), quality.reject_rules(SPEC, 72))
-    tagged = settle(raw, "tagged")
-    valid, rejected = quality.split_rejects(tagged)
+    rules = quality.reject_rules(SPEC, 72)
+    raw, cleaned = quality.watch_rejects(quality.tag_rejects(tickets(spark, sf), rules), rules)
+    valid = quality.split_rejects(settle(raw, "tagged"))[0]
     rows = settle(features.temporal_split(valid, SPEC, CFG.splits), "split")
     labels = targets.label_censored(rows, features.frozen_targets(rows, CFG), SPEC, CFG.observed_at)
-    return quality.dq_summary(tagged, valid, rejected, labels)
+    watched, states = quality.watch(labels, "label_state", (fixed.STATE_CLOSED, fixed.STATE_KNOWN_BREACH, fixed.STATE_CENSORED))
+    settle(watched.select(SPEC.key, "label_state"), "labels")
+    return quality.dq_summary_watched(spark, cleaned, states)
 
 
 SHORT = [

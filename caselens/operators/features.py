@@ -166,11 +166,6 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: number_or_zero(c) for c in columns})
 
 
-def _bin_width() -> Column:
-    """Rates need finer bins than hours and counts."""
-    return F.when(F.col("feature") == RATE, F.lit(1.0 / 1024)).otherwise(F.lit(1.0))
-
-
 def _long_form(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     return df.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.feature", "_p.value")
@@ -179,7 +174,7 @@ def _long_form(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Da
 def context_medians(train: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Interpolated median of each column per context; NULL keys form their own context."""
     long = _long_form(train, keys, columns)
-    middle = group_quantiles(long, [*keys, "feature"], "value", {"median": 0.5}, _bin_width(), interpolate=True)
+    middle = group_quantiles(long, [*keys, "feature"], "value", {"median": 0.5}, None, interpolate=True)
     contexts = train.select(*keys).distinct()
     wide = middle.groupBy(*keys).agg(*[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(c) for c in columns])
     return settle(null_safe_join(contexts, wide, keys, "left"), "context")
@@ -188,7 +183,7 @@ def context_medians(train: DataFrame, keys: Sequence[str], columns: Sequence[str
 def global_medians(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, median) rows over all training rows."""
     long = _long_form(train, [], columns)
-    middle = group_quantiles(long, ["feature"], "value", {"median": 0.5}, _bin_width(), interpolate=True)
+    middle = group_quantiles(long, ["feature"], "value", {"median": 0.5}, None, interpolate=True)
     return settle(middle.select("feature", "median"), "medians")
 
 

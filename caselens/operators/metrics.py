@@ -14,9 +14,6 @@ from caselens.operators.prefix import global_rank, running_totals
 from caselens.operators.quantiles import group_quantiles
 from caselens.storage import settle
 
-SCORE_TILE = 1.0 / 1024
-
-
 def base_rate(train: DataFrame, label: str = "breach") -> float:
     return train.agg(F.avg(label)).first()[0]
 
@@ -182,7 +179,7 @@ def expected_calibration_error(bins: DataFrame) -> DataFrame:
 
 def risk_cut(validation: DataFrame, score: str = "score", fraction: float = fixed.TOP_FRACTION) -> float:
     """Interpolated quantile of validation scores above which a row is high risk."""
-    cut = group_quantiles(validation, [], score, {"cut": 1 - fraction}, width=SCORE_TILE, interpolate=True)
+    cut = group_quantiles(validation, [], score, {"cut": 1 - fraction}, width=None, interpolate=True)
     return cut.first()["cut"]
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caselens import fixed
@@ -152,6 +153,59 @@ def reconcile(raw: DataFrame, valid: DataFrame, rejected: DataFrame) -> DataFram
     )
 
 
+@dataclass(frozen=True)
+class Watched:
+    """Counts that Spark takes while rows are written: all of them, and those of each value of a column.
+
+    They are there once the write is done; reading them scans nothing.
+    """
+
+    observation: Observation
+    column: str
+    values: tuple[str, ...]
+
+    def counts(self) -> dict[str | None, int]:
+        """Rows of each value; those without one, or with another, under None."""
+        seen = self.observation.get
+        known = {v: seen[f"value_{i}"] for i, v in enumerate(self.values)}
+        return {**known, None: seen["rows"] - sum(known.values())}
+
+
+def watch(df: DataFrame, column: str, values: Sequence[str]) -> tuple[DataFrame, Watched]:
+    """The rows, to be written once, and what is counted meanwhile."""
+    observation = Observation()
+    each = [F.count_if(F.coalesce(F.col(column) == v, F.lit(False))).alias(f"value_{i}") for i, v in enumerate(values)]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *each), Watched(observation, column, tuple(values))
+
+
+def watch_rejects(tagged: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, Watched]:
+    return watch(tagged, REASON, [reason for reason, _ in rules])
+
+
+def reconcile_watched(spark: SparkSession, cleaned: Watched) -> DataFrame:
+    """What ``reconcile`` gives, from the counts of the write of the tagged rows."""
+    counts = cleaned.counts()
+    refused = sum(n for reason, n in counts.items() if reason is not None)
+    made = spark.createDataFrame(
+        [(counts[None] + refused, counts[None], refused)], "bronze_rows long, silver_rows long, rejected_rows long")
+    return made.select(
+        "*",
+        (F.col("bronze_rows") == F.col("silver_rows") + F.col("rejected_rows")).alias("balanced"),
+        F.try_divide("rejected_rows", "bronze_rows").alias("reject_rate"),
+        F.try_divide("silver_rows", "bronze_rows").alias("acceptance_rate"),
+    )
+
+
+def dq_summary_watched(spark: SparkSession, cleaned: Watched, labels: Watched) -> DataFrame:
+    """What ``dq_summary`` gives, from the counts of the writes of tagged and of labelled rows."""
+    reasons, states = cleaned.counts(), labels.counts()
+    refused = sum(n for reason, n in reasons.items() if reason is not None)
+    rows = [("rows", "bronze_rows", reasons[None] + refused), ("rows", "silver_rows", reasons[None]), ("rows", "rejected_rows", refused)]
+    rows += [("rejects_by_reason", name, n) for name, n in reasons.items() if name is not None and n]
+    rows += [("label_states", name, n) for name, n in states.items() if n]
+    return spark.createDataFrame(rows, "section string, name string, n long")
+
+
 def dq_summary(raw: DataFrame, valid: DataFrame, rejected: DataFrame, labels: DataFrame) -> DataFrame:
     """Reconciliation, reject reasons and label states as (section, name, n) rows."""
     totals = reconcile(raw, valid, rejected).select(

@@ -1,9 +1,13 @@
 """Exact quantiles per group from counted values.
 
 ``percentile`` keeps every distinct value of a group in one buffer.  Here a
-histogram of fixed-width bins finds the bin that holds each wanted rank; only
-the values of that bin are then counted and walked.  The histogram is a few
-rows per group and the second pass shuffles only the selected bins.
+histogram finds the bin that holds each wanted rank; only the values of that
+bin are then counted and walked.  The histogram is a few rows per group and the
+second pass shuffles only the selected bins.
+
+Bins have a width that suits the unit, or come from the data: ``CUTS`` between
+the least and the largest value of a group, and as long as a selected bin still
+holds more than ``WALKED`` distinct values, ``CUTS`` between its own.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 from caselens.operators.joins import null_safe_join
 from caselens.storage import settle
 
+#: Bins of a group where they come from the data, and values of a bin that are walked by one task.
+CUTS, WALKED = 1024, 1 << 18
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -82,7 +88,7 @@ def group_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    width: float | Column = 1.0,
+    width: float | Column | None = 1.0,
     interpolate: bool = False,
     exact: bool = True,
     count: str | None = None,
@@ -90,8 +96,8 @@ def group_quantiles(
     """One row per group: ``n`` non-NULL values and one column per entry of ``probs``.
 
     ``df`` is scanned twice, so it should be a table.  ``width`` is the bin
-    width in units of ``value``; it may depend on the key columns.  ``count`` names a column that says how often
-    a value occurs.  With ``exact=False`` a mergeable sketch answers in one
+    width in units of ``value``; it may depend on the key columns; None takes bins from the data.  ``count`` names a
+    column that says how often a value occurs.  With ``exact=False`` a mergeable sketch answers in one
     pass; it does not take counted values.
     """
     times = F.lit(1) if count is None else F.col(count)
@@ -102,6 +108,8 @@ def group_quantiles(
         return rows.groupBy(*keys).agg(
             F.count("*").alias("n"), *[F.percentile_approx("_value", q).alias(name) for name, q in probs.items()]
         )
+    if width is None:
+        return _descend(rows, keys, probs, interpolate)
     rows = rows.withColumn("_bin", F.floor(F.col("_value") / F.lit(width)).cast("long"))
     hist = rows.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
     bins = settle(_bins(hist, keys, probs, interpolate), "bins")
@@ -115,6 +123,53 @@ def group_quantiles(
     return _pick(counted, keys, probs)
 
 
+def _cut(low: Column, high: Column) -> Column:
+    """The bin of a value between its group's least and largest one."""
+    at = F.floor((F.col("_value") - low) * CUTS / (high - low))
+    return F.when(high > low, F.least(at, F.lit(CUTS - 1))).otherwise(0).cast("long")
+
+
+def _descend(rows: DataFrame, keys: Sequence[str], probs: Mapping[str, float], interpolate: bool) -> DataFrame:
+    """Quantiles by bins from the data: of a group, then of each selected bin while it is large.
+
+    A value keeps its group; ``_path`` names the bin it is in, ``_base`` the rows of the group below that bin and
+    ``_hits`` the wanted ranks in it.
+    """
+    rows = settle(rows.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n")), "values")
+    ends = settle(
+        rows.groupBy(*keys).agg(
+            F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_n").alias("n")), "ends")
+    tops = ends.withColumns({"_path": F.lit(""), "_base": F.lit(0).cast("long"), "_hits": _ranks(probs, interpolate, F.col("n"))})
+    at = rows.withColumn("_path", F.lit(""))
+    while True:
+        known = null_safe_join(at, tops, [*keys, "_path"]).withColumn("_bin", _cut(F.col("_low"), F.col("_high")))
+        hist = known.groupBy(*keys, "_path", "_bin").agg(
+            F.sum("_n").alias("_n"), F.min("_value").alias("_low"), F.max("_value").alias("_high"),
+            F.count("*").alias("_kinds"), F.max("_base").alias("_under"), F.max("n").alias("n"),
+            F.any_value("_hits").alias("_wanted"))
+        upto = F.col("_under") + F.sum("_n").over(Window.partitionBy(*keys, "_path").orderBy("_bin").rowsBetween(*_UP_TO_HERE))
+        climbed = hist.withColumn("_upto", upto).withColumn("_base", F.col("_upto") - F.col("_n"))
+        hits = F.filter("_wanted", lambda w: (w["rank"] > F.col("_base")) & (w["rank"] <= F.col("_upto")))
+        bins = settle(climbed.select(*keys, "_path", "_bin", "_low", "_high", "_kinds", "_base", "n", hits.alias("_hits")).where(
+            F.size("_hits") > 0), "bins")
+        at = known.select(*keys, "_path", "_bin", "_value", "_n")
+        large = bins.agg(F.max(F.when(F.col("_low") < F.col("_high"), F.col("_kinds")))).first()[0]
+        if large is None or large <= WALKED:
+            break
+        at = null_safe_join(at, bins.select(*keys, "_path", "_bin"), [*keys, "_path", "_bin"])
+        down = F.concat_ws("/", "_path", F.col("_bin").cast("string"))
+        at = settle(at.withColumn("_path", down).drop("_bin"), "selected")
+        tops = bins.withColumn("_path", down).drop("_bin", "_kinds")
+    selected = null_safe_join(at, bins.drop("_low", "_high", "_kinds"), [*keys, "_path", "_bin"])
+    inside = Window.partitionBy(*keys, "_path", "_bin").orderBy("_value").rowsBetween(*_UP_TO_HERE)
+    walked = selected.withColumn("_upto", F.col("_base") + F.sum("_n").over(inside))
+    hit = F.explode(F.filter("_hits", lambda w: (w["rank"] > F.col("_upto") - F.col("_n")) & (w["rank"] <= F.col("_upto"))))
+    picked = walked.select(*keys, "n", "_value", hit.alias("_hit"))
+    return picked.groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        *[F.sum(F.when(F.col("_hit.name") == name, F.col("_value") * F.col("_hit.weight"))).alias(name) for name in probs])
+
+
 def trailing_quantile(
     daily: DataFrame,
     at: DataFrame,

@@ -9,7 +9,8 @@ from caselens import fixed
 from caselens.operators import features, flow, quality, targets
 from caselens.sources import tables
 from caselens.spec import FeatureConfig, LifecycleSpec
-from caselens.storage import settle
+
+REFUSED = "_refused"
 
 
 def build_bronze(spark: SparkSession, path: str, name: str, multi_line: bool = True) -> DataFrame:
@@ -24,10 +25,19 @@ def build_silver(
     raw_channel: str = "open_data_channel_type",
     max_hours: float = fixed.MAX_RESOLUTION_HOURS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both tables come from one cleaning pass that is written once."""
+    """Valid and refused rows from one cleaning pass, written once.
+
+    The cleaned rows are one table, ``<silver>_cleaned``, partitioned by whether a row was refused; ``silver`` and
+    ``rejected`` are views of its two sides, so each reads its own files only.
+    """
     renamed = bronze.withColumnRenamed(raw_channel, spec.channel)
-    valid, refused = quality.split_rejects(settle(quality.clean(renamed, spec, max_hours), "cleaned"))
-    return tables.save_table(valid, silver), tables.save_table(refused, rejected)
+    tagged = quality.clean(renamed, spec, max_hours)
+    parted = tagged.withColumn(REFUSED, F.col(quality.REASON).isNotNull())
+    cleaned = f"{silver}_cleaned"
+    tables.save_table(parted, cleaned, replace_schema=True, partition_by=[REFUSED])
+    valid = tables.save_view(f"SELECT * EXCEPT ({REFUSED}, {quality.REASON}) FROM {cleaned} WHERE NOT {REFUSED}", silver, bronze.sparkSession)
+    refused = tables.save_view(f"SELECT * EXCEPT ({REFUSED}) FROM {cleaned} WHERE {REFUSED}", rejected, bronze.sparkSession)
+    return valid, refused
 
 
 def gold_features(labeled: DataFrame, spec: LifecycleSpec) -> DataFrame:

@@ -119,6 +119,12 @@ def save_table(
     return spark.table(name)
 
 
+def save_view(query: str, name: str, spark: SparkSession) -> DataFrame:
+    """Replace a view and return it; a table of that name is left alone and the call fails."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
 def require_tables(spark: SparkSession, names: Sequence[str]) -> None:
     missing = [n for n in names if not spark.catalog.tableExists(n)]
     if missing:

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from caselens.operators import features, flow, history, targets
+from caselens.operators import features, flow, history, quantiles, targets
 from caselens.operators.prefix import Total, global_rank, totals_before
 from caselens.operators.quality import with_duration_hours, with_is_open
 from caselens.operators.quantiles import group_quantiles
@@ -232,3 +232,25 @@ def test_censored_labels(spark):
     }
     gold = {r["unique_key"]: r["breach"] for r in targets.label_closed(df, known, SPEC).collect()}
     assert gold["no-status"] == 0 and gold["open-old"] is None and gold["unseen-kind"] is None
+
+
+@pytest.mark.parametrize("interpolate", [False, True])
+def test_bins_from_the_data_equal_builtin(spark, monkeypatch, interpolate):
+    """Values far apart and very close together; small limits force the descent into bins of bins."""
+    monkeypatch.setattr(quantiles, "CUTS", 4)
+    monkeypatch.setattr(quantiles, "WALKED", 5)
+    draw = random.Random(2)
+    rows = [(g, draw.choice([1e9, -3.0, 0.0]) * (g != "one") + draw.random() * 1e-6) for g in ["a", "b", None, "one"] for _ in range(300)]
+    rows += [("flat", 7.0)] * 50 + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = {"x": 0.1, "y": 0.5, "z": 0.99}
+    mine = {r["k"]: r for r in group_quantiles(df, ["k"], "v", probs, None, interpolate).collect()}
+    kind = "percentile_cont" if interpolate else "percentile_disc"
+    theirs = df.where("v is not null").groupBy("k").agg(
+        F.count("*").alias("n"), *[F.expr(f"{kind}({q}) within group (order by v)").alias(c) for c, q in probs.items()]).collect()
+    assert len(mine) == len(theirs)
+    for row in theirs:
+        assert mine[row["k"]]["n"] == row["n"]
+        for c in probs:
+            assert mine[row["k"]][c] == pytest.approx(row[c], rel=1e-12, abs=1e-15)
+    assert group_quantiles(df.limit(0), ["k"], "v", probs, None).count() == 0

@@ -8,6 +8,7 @@ from caselens.operators import profile, quality
 from caselens.plans import medallion
 from caselens.sources import tables
 from caselens.spec import LifecycleSpec
+from caselens.storage import settle
 
 SPEC = LifecycleSpec()
 COLUMNS = "unique_key string, created_date string, closed_date string, agency string, complaint_type string, descriptor string, borough string, channel string, status string"
@@ -65,9 +66,12 @@ def test_text_is_normalised(by_key):
     assert by_key["blank-end"]["borough"] == "BRONX"
 
 
-def test_split_keeps_every_row(cleaned):
+def test_split_keeps_every_row(spark, cleaned):
     valid, rejected = quality.split_rejects(cleaned)
     row = quality.reconcile(cleaned, valid, rejected).first()
+    watched, seen = quality.watch_rejects(cleaned, quality.reject_rules(SPEC))
+    settle(watched, "watched")
+    assert quality.reconcile_watched(spark, seen).first() == row
     assert (row["bronze_rows"], row["silver_rows"], row["rejected_rows"], row["balanced"]) == (9, 6, 3, True)
 
 
@@ -93,6 +97,11 @@ def test_quoted_csv_and_tables(spark, tmp_path):
 
     silver, rejected = medallion.build_silver(bronze, SPEC, "plans_test.silver", "plans_test.rejected")
     assert (silver.count(), rejected.count()) == (2, 1)
+    # Written once, partitioned by the flag; each side reads its own partition.
+    for side, kept in ((silver, "NOT _refused"), (rejected, "_refused")):
+        scan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_refused" in scan and "Filter" not in scan.replace("PartitionFilters", "").replace("PushedFilters", "").replace("DataFilters", "")
+    assert "_refused" not in silver.columns and quality.REASON in rejected.columns
     built = medallion.build_gold(silver, SPEC, "plans_test.gold_", min_n=1)
     tables.require_tables(spark, [f"plans_test.gold_{n}" for n in built])
     assert built["tickets_labeled"].where("unique_key = 'k1'").first()["breach"] == 0
