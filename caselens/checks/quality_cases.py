@@ -50,7 +50,7 @@ def tagged(spark, sf):
     return quality.clean(named_channel(raw(spark, sf)), SPEC)
 
 
-def _rows(df):
+def rows_of(df):
     return rounded(
         df.select(
             SPEC.key, start_s(), end_s(), SPEC.group, SPEC.subgroup, SPEC.detail, SPEC.region, SPEC.channel,
@@ -61,11 +61,11 @@ def _rows(df):
 
 
 def silver_valid(spark, sf):
-    return _rows(quality.split_rejects(tagged(spark, sf))[0])
+    return rows_of(quality.split_rejects(tagged(spark, sf))[0])
 
 
 def silver_rejected(spark, sf):
-    return _rows(quality.split_rejects(tagged(spark, sf))[1]).withColumnRenamed(quality.REASON, "reject_reason")
+    return rows_of(quality.split_rejects(tagged(spark, sf))[1]).withColumnRenamed(quality.REASON, "reject_reason")
 
 
 def reject_counts(spark, sf):

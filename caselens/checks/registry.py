@@ -9,10 +9,11 @@ from caselens.checks import (
     model_cases,
     quality_cases,
     serving_cases,
+    stream_cases,
     target_cases,
 )
 from caselens.checks.common import Case
 
 CASES: dict[str, Case] = {}
-for _module in (quality_cases, target_cases, flow_cases, feature_cases, metric_cases, serving_cases, model_cases):
+for _module in (quality_cases, target_cases, flow_cases, feature_cases, metric_cases, serving_cases, model_cases, stream_cases):
     CASES.update(_module.CASES)
