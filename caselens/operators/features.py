@@ -140,10 +140,15 @@ def feature_table(
     return rows.select(
         spec.key, "split", "breach", "label_state", spec.is_open, "age_at_observation_hours",
         spec.group, spec.subgroup, spec.detail, spec.start, spec.end, spec.hours, spec.status,
-        *fixed.FEATURES,
+        *[F.col(c).alias(f) for f, c in feature_columns(spec).items()],
     )
 
 
+def feature_columns(spec: LifecycleSpec) -> dict[str, str]:
+    """The column each feature is read from: features keep their names, whatever the table calls its columns."""
+    return {f: {"borough": spec.region, "channel": spec.channel}.get(f, f) for f in fixed.FEATURES}
+
+
 def fit_ordinal(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, code): training values in sorted order, numbered from 1."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])

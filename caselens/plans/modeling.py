@@ -22,8 +22,11 @@ CODES = [f"{c}_code" for c in fixed.CATEGORICAL_FEATURES]
 #: Labelled rows, of training and of validation each, that trees are grown on and stopped by; all are scored.
 FIT_ROWS = 1 << 16
 INPUTS = [*fixed.NUMERIC_FEATURES, *CODES]
-CONTEXT_KEYS = ("agency", "hour_of_day_created", "day_of_week")
-CONTEXT_VALUES = [c for c in fixed.NUMERIC_FEATURES if c not in CONTEXT_KEYS]
+CONTEXT_VALUES = [c for c in fixed.NUMERIC_FEATURES if c not in ("hour_of_day_created", "day_of_week")]
+
+
+def context_keys(spec: LifecycleSpec) -> tuple[str, ...]:
+    return (spec.group, "hour_of_day_created", "day_of_week")
 
 
 @dataclass
@@ -97,11 +100,11 @@ def fit_sample(data: DataFrame, rows: int = FIT_ROWS) -> tuple[boosting.Rows, bo
     """Binned training and validation rows, ``rows`` of each by the least hash of their key, and the bins' ends."""
     sides = {}
     for val, n in data.groupBy("_is_val").count().collect():
-        side = data.where(F.col("_is_val") == val).withColumn("_place", F.xxhash64("unique_key"))
+        side = data.where(F.col("_is_val") == val).withColumn("_place", F.xxhash64("_key"))
         if n > 2 * rows:
             # Places that are surely too large need not be sorted.
             side = side.where(F.col("_place") < int(-(1 << 63) + (1 << 64) * 1.5 * rows / n))
-        taken = side.orderBy("_place", "unique_key").limit(rows).select("breach", "features").toPandas()
+        taken = side.orderBy("_place", "_key").limit(rows).select("breach", "features").toPandas()
         sides[val] = (np.vstack(taken["features"].to_numpy()), taken["breach"].to_numpy(float))
     none = (np.zeros((0, len(INPUTS))), np.zeros(0))
     (x, y), (vx, vy) = sides[False], sides.get(True, none)
@@ -116,6 +119,7 @@ def fit_risk_model(
     max_rounds: int = fixed.MAX_ROUNDS,
     trigger: float = fixed.CALIBRATION_TRIGGER,
     fit_rows: int = FIT_ROWS,
+    spec: LifecycleSpec = LifecycleSpec(),
 ) -> RiskModel:
     """Boosted trees over seeded draws; the draw with the best validation PR-AUC is kept.
 
@@ -129,7 +133,7 @@ def fit_risk_model(
     train = known.where(F.col("split") == "train")
     encoder = features.fit_ordinal(train, fixed.CATEGORICAL_FEATURES)
     encoded = encode(known, encoder).select(
-        "unique_key", F.col("breach").cast("double").alias("breach"), (F.col("split") == "val").alias("_is_val"), "features"
+        F.col(spec.key).alias("_key"), F.col("breach").cast("double").alias("breach"), (F.col("split") == "val").alias("_is_val"), "features"
     )
     data = settle(encoded, "training")
     validation = data.where("_is_val")
@@ -159,7 +163,7 @@ def fit_risk_model(
         cut=cut,
         train_rate=metrics.base_rate(train),
         calibrator=calibrator,
-        context=features.context_medians(train, CONTEXT_KEYS, CONTEXT_VALUES),
+        context=features.context_medians(train, context_keys(spec), CONTEXT_VALUES),
         overall=overall,
         split_sizes={r["split"]: r["n"] for r in features.split_rates(quality.labeled(table)).collect() if r["split"]},
     )
@@ -223,8 +227,9 @@ def score_scenarios(
     )
     known = targets.threshold_for(timed, risk.targets, spec)
     usable, unknown = quality.split_rejects(known)
-    filled = features.fill_defaults(usable, risk.context, risk.overall, CONTEXT_KEYS, fixed.DEFAULTABLE_FEATURES)
-    scored = score_rows(filled, risk).withColumn("defaults_used", F.size("defaulted_fields") > 0)
+    filled = features.fill_defaults(usable, risk.context, risk.overall, context_keys(spec), fixed.DEFAULTABLE_FEATURES)
+    read = {f: F.col(c) for f, c in features.feature_columns(spec).items() if f != c}
+    scored = score_rows(filled.withColumns(read) if read else filled, risk).withColumn("defaults_used", F.size("defaulted_fields") > 0)
     refused = refused.unionByName(unknown.select(*refused.columns))
     return scored.drop("contributions", "raw_score", spec.start), refused
 
@@ -241,8 +246,8 @@ def model_report(
     rated = metrics.baseline_group_rate(test, lookup, spec.pair, risk.train_rate, "group_score")
     summary = (
         metrics.evaluate_constant(test, "B0_base_rate", risk.train_rate)
-        .unionByName(metrics.evaluate(rated, "B1_group_lookup", "group_score"))
-        .unionByName(metrics.evaluate(test, "boosted_trees", "risk"))
+        .unionByName(metrics.evaluate(rated, "B1_group_lookup", "group_score", key=spec.key))
+        .unionByName(metrics.evaluate(test, "boosted_trees", "risk", key=spec.key))
     )
     report = {
         "metrics": summary,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
@@ -165,6 +166,30 @@ def noisy(n, seed):
 PARAMS = {"maxDepth": 4, "stepSize": 0.3, "subsamplingRate": 0.8, "featureShare": 0.8, "minChildWeight": 2}
 
 
+def test_every_name_can_be_another(spark, built):
+    """The same tickets under other column names give the same features, scores and scenario answers."""
+    names = LifecycleSpec(**{f: f"my_{f}" for f in SPEC.__dataclass_fields__ if f != "closed_value"})
+    other = replace(CFG, spec=names)
+    back = {getattr(SPEC, f): getattr(names, f) for f in SPEC.__dataclass_fields__ if f != "closed_value"}
+    valid = settle(frame(spark, slow_at_night(800)), "valid")
+
+    def scored(rows, cfg):
+        spec = cfg.spec
+        frozen = features.frozen_targets(features.temporal_split(rows, spec, cfg.splits), cfg)
+        table = settle(features.feature_table(rows, cfg, frozen), "table")
+        risk = modeling.scoring_context(modeling.fit_risk_model(table, trials=1, max_rounds=4, spec=spec), table, frozen, cfg)
+        asked = table.where("split = 'test'").select(
+            spec.key, spec.group, spec.subgroup, F.lit("NORTH").alias(spec.region), F.lit("PHONE").alias(spec.channel),
+            F.col(spec.start).alias("created_at"), *[F.lit(None).cast("double").alias(c) for c in fixed.DEFAULTABLE_FEATURES])
+        population = modeling.score_population(table, risk, cfg).select(F.col(spec.key).alias("k"), "risk", *fixed.FEATURES)
+        whatif = modeling.score_scenarios(asked, risk, spec)[0].select(F.col(spec.key).alias("k"), "risk", "sla_target_hours")
+        groups = modeling.model_report(table, risk, spec)["per_group"].toDF("group", "n", "pr_auc", "base_rate", "note")
+        return [sorted(map(tuple, df.collect())) for df in (population, whatif, groups)]
+
+    mine = scored(valid.withColumnsRenamed(back), other)
+    assert mine == scored(valid, CFG) and all(mine)
+
+
 def test_growing_stops_and_a_model_is_a_prefix():
     (x, y), (vx, vy) = noisy(3000, 1), noisy(1500, 2)
     edges = boosting.bin_edges(x)
