@@ -147,21 +147,22 @@ def _plain(text: Column) -> Column:
 
 
 def drawn_passages(labelled: DataFrame, chars: int = LEARN_CHARS) -> DataFrame:
-    """lang, passage, place: distinct passages by the least hashes, ``chars`` characters of a language."""
-    known = labelled.where("lang is not null and text is not null").select("lang", "text").distinct()
-    plain = known.select("lang", _plain(F.col("text")).alias("plain")).where("plain <> ''")
-    cut = plain.select("lang", "plain", F.ceil(F.length("plain") / PASSAGE).alias("parts"))
-    passages = cut.select("lang", "plain", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
-        "lang", F.substring("plain", (F.col("part") * PASSAGE + 1).cast("int"), PASSAGE).alias("passage")
-    )
-    hashed = passages.withColumn("place", F.xxhash64("passage"))
-    # Hashes that are surely too large for their language are left out before anything is sorted.
-    sizes = settle(cut.groupBy("lang").agg(F.sum("parts").alias("all")), "passage-counts")
+    """lang, passages: distinct passages by the least hashes, ``chars`` characters of a language."""
+    known = labelled.where("lang is not null and text is not null").select(
+        "lang", "text", F.xxhash64("text").alias("known_by"), F.ceil(F.length("text") / PASSAGE).alias("parts")
+    ).where("parts > 0")
+    sizes = settle(known.groupBy("lang").agg(F.sum("parts").alias("all")), "passage-counts")
     most = -(-chars // PASSAGE)
+    # Hashes that are surely too large for their language are left out before any text is read further.
     share = 2.0 * most / F.col("all")
-    near = hashed.join(sizes, "lang").where((share >= 1) | (F.col("place") < (share * 2.0**64 - 2.0**63)))
-    few = near.select("lang", "passage", "place").distinct()
-    by_lang = few.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "passage"))), 1, most).alias("p"))
+    place = lambda part: F.xxhash64("known_by", part)
+    near = F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: (share >= 1) | (place(p) < share * 2.0**64 - 2.0**63))
+    few = known.join(sizes, "lang").select("lang", "text", "known_by", near.alias("near")).where(F.size("near") > 0)
+    cut = few.select("lang", "known_by", _plain(F.col("text")).alias("plain"), F.explode("near").alias("part")).select(
+        "lang", place(F.col("part")).alias("place"), F.substring("plain", (F.col("part") * PASSAGE + 1).cast("int"), PASSAGE).alias("passage")
+    )
+    by_lang = cut.where("passage <> ''").distinct().groupBy("lang").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("place", "passage"))), 1, most).alias("p"))
     return by_lang.select("lang", F.transform("p", lambda p: p["passage"]).alias("passages"))
 
 
