@@ -5,11 +5,14 @@ a pool of replacements) is read into a table; at each place the longest key that
 is replaced, a character without a key stays, and every normalised byte notes the
 original byte it came from.  Spaces become the space mark, and one mark is put in front.
 
-The merges are the library's.  The lengths of the pieces, laid along the alignment, give
-each piece its span of original bytes.
+The merges are the library's: it gets the normalised text, by a copy of the model whose own
+normaliser is switched off.  The lengths of the pieces, laid along the alignment, give each
+piece its span of original bytes.
 
 A null text counts as empty: it has the end id alone, and decodes to nothing.  Repeated
-rows are encoded one by one; columns other than ``doc_id`` and ``text`` are not read.
+rows are encoded one by one; an empty table gives no rows; a text of any length is encoded
+whole.  Columns other than ``doc_id`` and ``text`` (and those asked to be kept) are not read
+and may have any name.
 """
 
 from __future__ import annotations
@@ -89,19 +92,23 @@ class Normalizer:
 
 
 class Pieces:
-    """One model file; made once in each worker."""
+    """One model, given by the bytes of its file; made once in each worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, blob: bytes):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as proto
 
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        spec = proto.ModelProto.FromString(self.model.serialized_model_proto())
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=blob)
+        spec = proto.ModelProto.FromString(blob)
         norm = spec.normalizer_spec
         if norm.remove_extra_whitespaces or not norm.escape_whitespaces:
             raise ValueError("the normaliser of this model drops or keeps spaces; only the marked kind is read here")
         self.normalise = Normalizer(read_character_map(norm.precompiled_charsmap), norm.add_dummy_prefix)
         names = [p.piece for p in spec.pieces]
+        # The same pieces and merges for a text that is normalised already.
+        norm.name, norm.precompiled_charsmap = "identity", b""
+        norm.add_dummy_prefix = norm.escape_whitespaces = False
+        self.merger = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
         byte = [p.type == proto.ModelProto.SentencePiece.BYTE for p in spec.pieces]
         self.names, self.end = names, self.model.eos_id()
         self.lengths = np.array([1 if b else len(n.encode()) for n, b in zip(names, byte)])
@@ -109,8 +116,8 @@ class Pieces:
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray]:
         """Ids without a begin or end, and where their pieces end among the original bytes."""
-        ids = self.model.encode(text)
-        _, origin = self.normalise(text)
+        normal, origin = self.normalise(text)
+        ids = self.merger.encode(normal)
         return ids, origin[np.cumsum(self.lengths[ids])] if ids else np.zeros(0, np.int64)
 
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
@@ -121,7 +128,8 @@ class Pieces:
 
 @cache
 def pieces_of(name: str) -> Pieces:
-    return Pieces(tokenizer_path(name))
+    with open(tokenizer_path(name), "rb") as file:
+        return Pieces(file.read())
 
 
 def encode(docs: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
@@ -166,13 +174,19 @@ def digest(docs: DataFrame, name: str = "piece_bpe_32k.model") -> DataFrame:
 
 
 def token_ids(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), name: str = "piece_bpe_32k.model") -> DataFrame:
-    """``keep``, n_tokens, ids (with the end id) and the decoded text's SHA-256."""
+    """``keep``, n_tokens, ids (with the end id), where each piece ends in the original bytes, and the decoded text's SHA-256."""
 
     def rows(piece: pa.RecordBatch) -> list:
         model = pieces_of(name)
-        texts = [t or "" for t in piece.column("text").to_pylist()]
-        ids = [[*i, model.end] for i in model.model.encode(texts, num_threads=1)] if texts else []
-        decoded = [hashlib.sha256(t.encode()).hexdigest() for t in model.model.decode(ids, num_threads=1)] if ids else []
-        return [pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+        counts, ids_out, ends_out, decoded = [], [], [], []
+        for text in piece.column("text").to_pylist():
+            ids, ends = model.encode(text or "")
+            ids.append(model.end)
+            counts.append(len(ids))
+            ids_out.append(ids)
+            ends_out.append([*ends.tolist(), len((text or "").encode())])
+            decoded.append(hashlib.sha256(model.model.decode(ids).encode()).hexdigest())
+        kind = pa.list_(pa.int32())
+        return [pa.array(counts, pa.int64()), pa.array(ids_out, kind), pa.array(ends_out, kind), pa.array(decoded, pa.string())]
 
-    return map_texts(docs, "n_tokens long, ids array<int>, decoded_sha256 string", rows, keep)
+    return map_texts(docs, "n_tokens long, ids array<int>, ends array<int>, decoded_sha256 string", rows, keep)

@@ -67,8 +67,9 @@ def test_pieces_are_the_librarys(spark, texts):
     want = {i: (len(x), sha(" ".join(map(str, x))), sha(lib.decode(x))) for i, x in enumerate(ids)}
     docs = table(spark, texts)
     assert {r["doc_id"]: tuple(r)[1:4] for r in pieces.digest(docs).collect()} == want
-    assert {r["doc_id"]: (r["n_tokens"], r["ids"], r["decoded_sha256"]) for r in pieces.token_ids(docs).collect()} == {
-        i: (w[0], ids[i], w[2]) for i, w in want.items()}
+    told = pieces.token_ids(docs).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids"], r["decoded_sha256"]) for r in told} == {i: (w[0], ids[i], w[2]) for i, w in want.items()}
+    assert all(len(r["ends"]) == r["n_tokens"] for r in told)
     assert pieces.digest(docs.limit(0)).count() == 0
 
 
@@ -94,3 +95,32 @@ def test_longest_prefix_of_a_compiled_map():
         made, origin = normal(text)
         assert made == lib.normalize(text).removeprefix("▁")
         assert len(origin) == len(made.encode()) + 1 and (np.diff(origin) >= 0).all() and origin[-1] == len(text.encode())
+
+
+def test_whole_encoding_with_a_compiled_map():
+    """A model that normalises by NFKC: ids equal the library's, and come from the text normalised here."""
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        spec = proto.ModelProto.FromString(file.read())
+    rule = sentencepiece.SentencePieceNormalizer(rule_name="nfkc")
+    spec.normalizer_spec.precompiled_charsmap = proto.ModelProto.FromString(rule.serialized_model_proto()).normalizer_spec.precompiled_charsmap
+    blob = spec.SerializeToString()
+    lib, mine = sentencepiece.SentencePieceProcessor(model_proto=blob), pieces.Pieces(blob)
+    for text in ("The ﬁne print costs ½ of ① coin.", "ＡＢＣ  ｶﾞ é Å ㌔", "plain  text\n", "", "▁ ﬃ", "漢字 ﷺ"):
+        ids, ends = mine.encode(text)
+        assert ids == lib.encode(text) and len(ends) == len(ids)
+        assert list(ends) == sorted(ends) and (not ids or ends[-1] == len(text.encode()))
+    plain = pieces.Pieces(blob)
+    plain.normalise = pieces.Normalizer({})
+    assert plain.encode("ＡＢＣ")[0] != mine.encode("ＡＢＣ")[0]
+
+
+def test_pieces_of_odd_rows(spark):
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    long_ = "word ▁ é\n" * 250_000
+    rows = [(1, None, 1), (1, "", 2), (None, "a  b\x00c", 3), (2, long_, 4), (3, "same", 5), (3, "same", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    got = sorted((r["n_tokens"] for r in pieces.token_ids(docs, ("doc_id",)).collect()))
+    assert got == sorted(len(lib.encode(t or "", add_eos=True)) for _, t, _ in rows)
+    assert pieces.token_ids(docs.limit(0)).count() == 0
