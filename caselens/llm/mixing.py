@@ -6,11 +6,13 @@ draw with that mean: the document's hash is a uniform number, and the draw inver
 distribution function at it.  A mean above ``STEP`` is split into equal parts that are
 drawn from hashes of their own and added, so the inversion stays short at any rate.
 Every copy gets a hashed position, by which it is dealt to a partition and ordered there: a
-global shuffle in which the rows of a hot source lie as spread as any.
+global shuffle in which the rows of a hot source, or of a repeated id, lie as spread as any.
 
 Draws depend on ``doc_id``, the source and the seed alone, so a rerun, a lost executor or
-another partitioning changes nothing.  Rows with equal ids and sources get equal counts.
-A null source is a source; a null id draws by its text.  No column of the input is
+another partitioning changes nothing; the position depends on the text too.  Rows with equal
+ids and sources get equal counts, and equal rows equal positions.  A null source is a source;
+a null id draws by its text.  An empty table gives an empty mixture.  Texts of any length are
+hashed whole.  No column of the input is
 dropped; the added names ``copy``, ``rate`` and ``position`` replace columns so named.
 """
 
@@ -98,7 +100,7 @@ def mix(docs: DataFrame, shares: DataFrame | None = None, size: float = 1.0, see
         .drop("rate_source")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), copies(F.col("rate"), key, seed))))
         .where("copy > 0")
-        .withColumn("position", uniform(F.lit(f"{seed} place"), key, F.col("copy").cast("string")))
+        .withColumn("position", uniform(F.lit(f"{seed} place"), key, F.col("copy").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
     )
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return drawn.repartition(n, "position").sortWithinPartitions("position")

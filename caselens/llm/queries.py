@@ -123,7 +123,7 @@ rates AS (
     FROM range(1, parts + 1) g(i)) AS times
   FROM keyed
 ), copied AS (SELECT * EXCLUDE (parts, times), unnest(range(1, times::BIGINT + 1))::INTEGER AS copy FROM drawn)
-SELECT * EXCLUDE (k), (('0x' || substr(md5('11 place|' || k || '|' || copy), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS position
+SELECT * EXCLUDE (k), (('0x' || substr(md5('11 place|' || k || '|' || copy || '|' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS position
 FROM copied
 """
 
@@ -134,6 +134,40 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, larger)
 
 
+def _draw_sql(leaves: list[sharding.Leaf], levels: tuple[str, ...], path: str | None) -> str:
+    """The shard of the key ``k``: at every level the child with the least draw."""
+    if not levels:
+        return str(leaves[0].shard)
+    groups: dict[str, list[sharding.Leaf]] = {}
+    for leaf in leaves:
+        groups.setdefault(f"step{leaf.step}/{leaf.region}" if path is None else f"{path}/{getattr(leaf, levels[0])}", []).append(leaf)
+    below = [_draw_sql(part, levels[1:], name) for name, part in groups.items()]
+    if len(groups) == 1:
+        return below[0]
+    draws = ", ".join(
+        f"{{'d': -ln((('0x' || substr(md5(k || '/{name}'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) / {sum(x.weight for x in part)}, 'i': {i}}}"
+        for i, (name, part) in enumerate(groups.items()))
+    return f"CASE list_sort([{draws}])[1].i " + " ".join(f"WHEN {i} THEN {b}" for i, b in enumerate(below)) + " END"
+
+
+# The rows are fewer than one tile holds, so slots are in order of id, checksum and size.
+OP9_SQL = f"""
+WITH {repair_sql.CRC}, sized AS (
+  SELECT doc_id, coalesce(doc_id::VARCHAR, 'none') AS k, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT)),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS text_crc32
+  FROM documents, crc
+), placed AS (
+  SELECT *, {_draw_sql(sharding.even_tree(8), ('region', 'rack', 'shard'), None)} AS shard,
+    {_draw_sql(sharding.grown(sharding.even_tree(8), 8, 'region1', 'rack3'), ('region', 'rack', 'shard'), None)} AS grown_shard
+  FROM sized
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard FROM placed
+"""
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("cuts")
 
@@ -196,7 +230,7 @@ CASES: dict[str, Case] = {
     "op6_tool_calls": Case(op6_tool_calls, OP6_SQL),
     "op7_quality": Case(op7_quality),
     "op8_mixing": Case(op8_mixing, OP8_SQL),
-    "op9_sharding": Case(op9_sharding),
+    "op9_sharding": Case(op9_sharding, OP9_SQL),
     "op10_repeats": Case(op10_repeats),
     "op11_phrases": Case(op11_phrases, OP11_SQL),
     "op12_repair": Case(op12_repair, repair_sql.SQL),

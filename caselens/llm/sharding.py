@@ -11,8 +11,10 @@ rack therefore takes rows from everywhere but sends none to its neighbours.
 The key law: id and tree decide.  Equal ids go to one shard; a null id is a key of its
 own.  ``slot`` numbers the rows of a shard without a gap: rows are counted per (shard,
 hash tile), tiles are added up, and only rows of one tile are ordered together, so no
-shard is ever in one task.  Texts are read for size and checksum only (null: empty); other
-columns are not read.  Everything is DataFrame expressions.
+shard is ever in one task, nor are the rows of an id that repeats.  Texts of any length are
+read for size and checksum only (null: empty); other columns are not read and may have any
+name.  Repeated rows get a slot each.  An empty table gives no rows.  Everything is
+DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -88,25 +90,32 @@ def shard_of(key: Column, tree: list[Leaf]) -> Column:
     return reduce(lambda rest, i: F.when(won == i, below[i]).otherwise(rest), range(len(below) - 2, -1, -1), below[-1])
 
 
-def with_slots(rows: DataFrame, shard: str = "shard", order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``slot``: the rows of each shard numbered from 0, by hash tile and ``order``."""
+def with_slots(rows: DataFrame, order: tuple[str, ...], row: str, shard: str = "shard") -> DataFrame:
+    """``slot``: the rows of each shard numbered from 0, by hash tile of ``order`` and then ``order``.
+
+    ``rows`` are written.  Rows that agree in ``order`` share a tile, and may be a third of the table; a tile with more
+    rows than usual is cut by ``row``, a number that tells all rows apart.
+    """
     n = rows.count()
     tiles = max(1, n // (TILE_ROWS * 8))
-    tiled = rows.withColumn("tile", F.pmod(F.xxhash64(*order[:1]), F.lit(tiles)))
-    per = settle(tiled.groupBy(shard, "tile").agg(F.count("*").alias("n")), "shard-tiles")
+    tiled = rows.withColumn("tile", F.pmod(F.xxhash64(*order), F.lit(tiles)))
+    wide = tiled.groupBy(shard, "tile").agg(F.ceil(F.count("*") / F.lit(8 * TILE_ROWS)).alias("cuts")).where("cuts > 1")
+    wide = settle(wide.select(F.col(shard).alias("s"), F.col("tile").alias("t"), "cuts"), "wide-tiles")
+    tiled = tiled.join(wide, (F.col(shard) == F.col("s")) & (F.col("tile") == F.col("t")), "left").withColumn(
+        "cut", F.pmod(F.xxhash64(row), F.coalesce("cuts", F.lit(1)))).drop("s", "t", "cuts")
+    per = settle(tiled.groupBy(shard, "tile", "cut").agg(F.count("*").alias("n")), "shard-tiles")
     before = per.select(
-        F.col(shard).alias("s"),
-        F.col("tile").alias("t"),
+        F.col(shard).alias("s"), F.col("tile").alias("t"), F.col("cut").alias("c"),
         F.coalesce(
-            F.sum("n").over(Window.partitionBy(shard).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("n").over(Window.partitionBy(shard).orderBy("tile", "cut").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("before"),
     )
-    inside = F.row_number().over(Window.partitionBy(shard, "tile").orderBy(*order)) - 1
+    inside = F.row_number().over(Window.partitionBy(shard, "tile", "cut").orderBy(*order, row)) - 1
     return (
         tiled.withColumn("inside", inside)
-        .join(before, (F.col(shard) == F.col("s")) & (F.col("tile") == F.col("t")))
+        .join(before, (F.col(shard) == F.col("s")) & (F.col("tile") == F.col("t")) & (F.col("cut") == F.col("c")))
         .withColumn("slot", (F.col("before") + F.col("inside")).cast("long"))
-        .drop("s", "t", "tile", "before", "inside")
+        .drop("s", "t", "c", "tile", "cut", "before", "inside")
     )
 
 
@@ -122,7 +131,7 @@ def shard_documents(docs: DataFrame, tree: list[Leaf], larger: list[Leaf]) -> Da
         shard_of(key, tree).alias("shard"),
         shard_of(key, larger).alias("grown_shard"),
     )
-    placed = settle(rows, "sharded")
-    return with_slots(placed, order=("doc_id", "text_crc32", "size")).select(
+    placed = settle(rows.withColumn("row", F.monotonically_increasing_id()), "sharded")
+    return with_slots(placed, ("doc_id", "text_crc32", "size"), "row").select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )

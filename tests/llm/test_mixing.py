@@ -61,6 +61,14 @@ def test_order_is_global_and_repeatable(spark):
     assert len(sizes) == 4 and max(sizes) < 1.3 * min(sizes)
 
 
+def test_a_third_of_the_rows_with_one_id_is_spread(spark):
+    rows = [(i, f"t{i}", "s") for i in range(2000)] + [(None if i % 2 else 5, f"x{i}", "s") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs, partitions=8)
+    sizes = [r["count"] for r in out.where("doc_id is null or doc_id = 5").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * sum(sizes) / 8
+
+
 def test_empty(spark):
     docs = sources(spark).limit(0)
     assert mixing.mix(docs).count() == 0

@@ -7,6 +7,7 @@ import math
 import zlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from caselens.llm import sharding
@@ -78,5 +79,31 @@ def test_changed_weights_move_rows_only_in_and_out_of_their_subtree(spark):
                 assert b == 2
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_a_third_of_the_rows_with_one_id_is_cut(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(sharding, "TILE_ROWS", 16)
+    rows = [(i, f"t{i}") for i in range(4000)] + [(doc_id, "same")] * 1000 + [(doc_id, f"x{i}") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    made = sharding.shard_documents(frame, TREE, LARGER)
+    hot = [r for r in made.collect() if r["doc_id"] == doc_id]
+    assert len({r["shard"] for r in hot}) == 1
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in made.where(F.col("shard") == shard).collect())
+        assert slots == list(range(len(slots)))
+    # The window that numbers rows works on (shard, tile, cut); none holds much more than the size a tile should have.
+    counted = []
+    plain_settle = sharding.settle
+
+    def watched(df, label):
+        out = plain_settle(df, label)
+        if label == "shard-tiles":
+            counted.append(out.agg(F.max("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(sharding, "settle", watched)
+    sharding.shard_documents(frame, TREE, LARGER)
+    assert counted and counted[0] < 3 * 8 * 16
+
+
 def test_empty(spark):
     assert sharding.shard_documents(docs(spark).limit(0), TREE, LARGER).count() == 0
