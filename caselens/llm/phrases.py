@@ -13,7 +13,12 @@ phrases are frequent over all shards are extended to the left by the symbols of
 by those of the backward one; either step moves both intervals.  A longer phrase is counted if both its parts, without
 the first and without the last word, were frequent: it is found from both sides.  The counts of a phrase are summed
 across shards by one window keyed by the phrase (a shard has at most one row for it, so no key is large), and those
-frequent go back to their shards as the next level's intervals.  No count is estimated and no phrase is left out.
+frequent go back to their shards as the next level's intervals.  No phrase that is frequent is left out.
+
+*Buckets.*  Most phrases of a level are rare.  Before rows are made of them, each shard counts its phrases by hash
+bucket, and the counts of all shards are added up, bucket range by bucket range.  A phrase in a bucket with fewer than
+the least number can't be frequent and makes no row.  What is shipped to the tasks is one bit a bucket, 2^28 at most
+(32 MB); the more phrases share a bucket, the fewer are spared, and nothing else changes.
 
 *Scores.*  ``1000 a n / (l r)`` is the least over the cuts of a phrase, by exact decimals.  A phrase is left out if a
 frequent phrase that is longer by one word, on either side, comes as often; a still longer one can't come as often
@@ -26,22 +31,28 @@ may have any name.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caselens.llm.common import pieces
+from caselens.llm.common import packed, pieces
+from caselens.llm.hashing import ODD, Hasher, mixed
 from caselens.storage import settle, shared_path
 
 #: Words of a shard, words of a phrase, how often a phrase comes at least, and phrases returned of a language.
 SHARD_WORDS, LONGEST, LEAST, TOP = 1 << 19, 5, 100, 2000
 #: Numbers by which suffixes are sorted: a power of two above the words of a phrase.
 DEPTH = 8
+#: Phrases a bucket holds on average, at most 2 to that power of buckets, and buckets that a task adds up.
+PER_BUCKET, MOST_BITS, BUCKET_RANGE = 16, 28, 1 << 20
 UNKNOWN = "und"
 
 
@@ -70,17 +81,24 @@ def suffix_order(numbers: np.ndarray) -> np.ndarray:
 
 def transforms(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The Burrows-Wheeler transforms of the numbers and of the numbers backwards."""
-    return tuple(np.roll(way, 1)[suffix_order(way)].astype(np.int32) for way in (numbers, numbers[::-1]))
+    return tuple(np.roll(way, 1)[suffix_order(way)] for way in (numbers, numbers[::-1]))
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, the low bytes of all first: the high ones compress away."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unplanes(data) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int32)
 
 
-SHARDS = (
-    "langs array<string>, words array<string>, counts array<int>, starts array<int>, "
-    "forward binary, backward binary, spoken array<string>, totals array<long>"
-)
+#: Words are joined by spaces; ``sizes`` are the words of each language, ``counts`` how often each word comes.
+SHARDS = "shard long, langs array<string>, sizes binary, words string, counts binary, forward binary, backward binary"
 
 
-def _shard(words: pa.Array, langs: pa.Array, piece: np.ndarray) -> pa.RecordBatch:
-    """One shard; 0 stands between pieces, and (language, word) pairs count from 1."""
+def _shard(shard: int, words: pa.Array, langs: pa.Array, piece: np.ndarray) -> pa.RecordBatch:
+    """One shard; 0 stands between pieces, and (language, word) pairs count from 1, language by language."""
     word = words.dictionary_encode()
     lang = langs.dictionary_encode()
     pair = lang.indices.to_numpy().astype(np.int64) * len(word.dictionary) + word.indices.to_numpy()
@@ -90,29 +108,51 @@ def _shard(words: pa.Array, langs: pa.Array, piece: np.ndarray) -> pa.RecordBatc
     numbers = np.zeros(len(number) + int(gaps[-1]) + 1, np.int64)
     numbers[np.arange(len(number)) + gaps] = number + 1
     forward, backward = transforms(numbers)
-    # In both transforms the rows of a word lie behind those of the gaps and of the words before it.
-    starts = int(gaps[-1]) + 1 + np.cumsum(counts) - counts
-    totals = np.bincount(lang.indices.to_numpy(), minlength=len(lang.dictionary))
-    listed = lambda a, kind: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a.cast(kind))
-    return pa.RecordBatch.from_arrays(
-        [
-            listed(lang.dictionary.take(pa.array(kinds // len(word.dictionary))), pa.string()),
-            listed(word.dictionary.take(pa.array(kinds % len(word.dictionary))), pa.string()),
-            listed(pa.array(counts), pa.int32()),
-            listed(pa.array(starts), pa.int32()),
-            pa.array([forward.tobytes()], pa.binary()),
-            pa.array([backward.tobytes()], pa.binary()),
-            listed(lang.dictionary, pa.string()),
-            listed(pa.array(totals), pa.int64()),
-        ],
-        names=["langs", "words", "counts", "starts", "forward", "backward", "spoken", "totals"],
-    )
+    sizes = np.bincount(kinds // len(word.dictionary), minlength=len(lang.dictionary))
+    made = [
+        pa.array([shard]),
+        pa.array([lang.dictionary.to_pylist()], pa.list_(pa.string())),
+        pa.array([sizes.astype("<i4").tobytes()], pa.binary()),
+        pa.array([" ".join(word.dictionary.take(pa.array(kinds % len(word.dictionary))).to_pylist())], pa.string()),
+        pa.array([counts.astype("<i4").tobytes()], pa.binary()),
+        pa.array([planes(forward)], pa.binary()),
+        pa.array([planes(backward)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(made, names=["shard", "langs", "sizes", "words", "counts", "forward", "backward"])
+
+
+class Vocabulary:
+    """The words of a shard by number (from 1), their languages, counts, and first rows in both transforms."""
+
+    def __init__(self, row: dict):
+        self.words = pa.array(row["words"].as_py().split(" "), pa.string())
+        self.names = row["langs"].as_py()
+        sizes = np.frombuffer(row["sizes"].as_buffer(), "<i4")
+        self.lang = np.repeat(np.arange(len(sizes)), sizes)
+        self.counts = np.frombuffer(row["counts"].as_buffer(), "<i4")
+
+    def langs(self, symbols: np.ndarray) -> pa.Array:
+        return pa.array(self.names, pa.string()).take(pa.array(self.lang[symbols - 1]))
+
+    def hashes(self) -> np.ndarray:
+        """A hash of each word in its language."""
+        whole = pc.binary_join_element_wise(self.langs(np.arange(1, len(self.words) + 1)), self.words, "\0")
+        raw, bounds = packed(whole)
+        return Hasher(raw).between(bounds[:-1], bounds[1:])
+
+    def starts(self, rows: int) -> np.ndarray:
+        """The rows of the gaps come first, then those of each word."""
+        return rows - int(self.counts.sum()) + np.cumsum(self.counts) - self.counts
 
 
 def shards(docs: DataFrame, size: int = SHARD_WORDS) -> DataFrame:
-    """The shards of ``docs`` (text, lang), before they have an id."""
+    """The shards of ``docs`` (text, lang).
 
-    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    An id is made of the task's partition and a running number, so a task that runs again over the same rows gives the
+    same shards; ``docs`` should be a table or be written.
+    """
+
+    def flush(held: list[tuple], number: int) -> Iterator[pa.RecordBatch]:
         words = pa.concat_arrays([h[0] for h in held])
         langs = pa.concat_arrays([h[1] for h in held])
         shift = np.cumsum([0, *(int(h[2][-1]) + 1 for h in held)])
@@ -125,11 +165,11 @@ def shards(docs: DataFrame, size: int = SHARD_WORDS) -> DataFrame:
             end = len(piece) if start + size >= len(piece) else int(new[after - 1])
             if end <= start:
                 end = int(new[after]) if after < len(new) else len(piece)
-            yield _shard(words[start:end], langs[start:end], piece[start:end])
-            start = end
+            yield _shard(number, words[start:end], langs[start:end], piece[start:end])
+            start, number = end, number + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = [], 0
+        held, total, number = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in pieces(batch):
                 words, piece, owner = split_words(part.column("text"))
@@ -139,22 +179,22 @@ def shards(docs: DataFrame, size: int = SHARD_WORDS) -> DataFrame:
                 held.append((words, lang, piece))
                 total += len(words)
                 if total >= size:
-                    yield from flush(held)
+                    for made in flush(held, number):
+                        yield made
+                        number += 1
                     held, total = [], 0
         if held:
-            yield from flush(held)
+            yield from flush(held, number)
 
     return docs.select("text", "lang").mapInArrow(run, SHARDS)
 
 
 def written_shards(docs: DataFrame, size: int = SHARD_WORDS) -> tuple[str, DataFrame]:
-    """Name and scan of the shards with their ids, bucketed by id in the shared folder."""
+    """Name and scan of the shards, bucketed by id in the shared folder."""
     spark = docs.sparkSession
-    # Ids are given to written rows: a shard that is built again by another task could get another one.
-    made = settle(shards(docs, size), "shards").withColumn("shard", F.monotonically_increasing_id())
     name = f"caselens_shards_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made.repartition(buckets, "shard").write.bucketBy(buckets, "shard").option(
+    shards(docs, size).repartition(buckets, "shard").write.bucketBy(buckets, "shard").option(
         "path", shared_path(spark, "shards")).saveAsTable(name)
     return name, spark.table(name)
 
@@ -165,8 +205,8 @@ def written_shards(docs: DataFrame, size: int = SHARD_WORDS) -> tuple[str, DataF
 class Transform:
     """One transform: where the rows of a symbol start, and where each row's symbol leads."""
 
-    def __init__(self, data: bytes):
-        self.symbols = np.frombuffer(data, np.int32)
+    def __init__(self, data):
+        self.symbols = unplanes(data)
         self.back = np.argsort(self.symbols, kind="stable")
         self.leads = np.empty(len(self.back), np.int64)
         self.leads[self.back] = np.arange(len(self.back))
@@ -211,42 +251,133 @@ def extend_both(forward: Transform, backward: Transform, at: np.ndarray, mirrore
 LEVEL = "shard long, at int, mirrored int, lang string, phrase string, n int"
 
 
-def next_level(table: DataFrame, alive: DataFrame, length: int) -> DataFrame:
-    """Rows of the phrases of ``length`` words in every shard, from the frequent ones of one word less.
+@dataclass(frozen=True)
+class Extended:
+    """The phrases of one more word of a shard: intervals, words from left to right, and a hash that all shards agree on."""
 
-    The shards stay where they are; a shard's frequent intervals come to it as one row.
-    """
+    shard: int
+    known: Vocabulary
+    at: np.ndarray
+    mirrored: np.ndarray
+    n: np.ndarray
+    symbols: list[np.ndarray]
+    hashed: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Extended:
+        return Extended(self.shard, self.known, self.at[keep], self.mirrored[keep], self.n[keep], [s[keep] for s in self.symbols], self.hashed[keep])
+
+
+def extended(batch: pa.RecordBatch, length: int) -> Iterator[Extended]:
+    """The phrases of ``length`` words of each row: a shard with its frequent intervals of one word less."""
+    for i in range(batch.num_rows):
+        row = {c: batch.column(c)[i] for c in batch.schema.names}
+        at, mirrored, n = (row[c].values.to_numpy().astype(np.int64) for c in ("at", "mirrored", "n"))
+        order = np.argsort(at)
+        forward, backward = (Transform(row[c].as_buffer()) for c in ("forward", "backward"))
+        at, mirrored, n = extend_both(forward, backward, at[order], mirrored[order], n[order])
+        known, symbols = Vocabulary(row), forward.words(at, length)
+        word, hashed = known.hashes(), np.zeros(len(at), np.uint64)
+        for s in symbols:
+            hashed = mixed(hashed * ODD[1] + word[s - 1])
+        yield Extended(row["shard"].as_py(), known, at, mirrored, n, symbols, hashed)
+
+
+def _with_alive(table: DataFrame, alive: DataFrame) -> DataFrame:
+    """The shards, which stay where they are, each with its frequent intervals."""
     listed = alive.groupBy("shard").agg(
         F.collect_list("at").alias("at"), F.collect_list("mirrored").alias("mirrored"), F.collect_list("n").alias("n")
     )
-    joined = table.select("shard", "langs", "words", "forward", "backward").join(listed, "shard")
+    return table.join(listed, "shard")
+
+
+def full_buckets(joined: DataFrame, length: int, least: int, bits: int) -> np.ndarray:
+    """One bit for each of 2^bits buckets: whether its phrases come ``least`` times in all shards."""
+    ranges = max(1, (1 << bits) // BUCKET_RANGE)
+    width = (1 << bits) // ranges
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for made in extended(batch, length):
+                bucket = (made.hashed >> np.uint64(64 - bits)).astype(np.int64)
+                held, place = np.unique(bucket, return_inverse=True)
+                n = np.bincount(place, made.n, len(held)).astype(np.int64)
+                edge = np.searchsorted(held, np.arange(ranges + 1) * width)
+                cut = [(r, slice(a, b)) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r for r, _ in cut], pa.int32()),
+                     pa.array([planes(np.diff(held[c] - r * width, prepend=0)) for r, c in cut], pa.binary()),
+                     pa.array([planes(np.minimum(n[c], least)) for _, c in cut], pa.binary())],
+                    names=["range", "steps", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for r, steps, n in zip(*(batch.column(c).to_pylist() for c in ("range", "steps", "n"))):
+                total = sums.setdefault(r, np.zeros(width, np.int32))
+                place = np.cumsum(unplanes(steps))
+                total[place] = np.minimum(total[place] + unplanes(n), least)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([np.packbits(t >= least).tobytes() for t in sums.values()], pa.binary())],
+            names=["range", "full"])
+
+    counted = joined.mapInArrow(count, "range int, steps binary, n binary")
+    told = settle(counted.repartition(min(ranges, 256), "range").mapInArrow(add, "range int, full binary"), "buckets")
+    full = np.zeros((ranges, width // 8), np.uint8)
+    for row in told.toLocalIterator():
+        full[row["range"]] = np.frombuffer(row["full"], np.uint8)
+    return full.ravel()
+
+
+def next_level(table: DataFrame, alive: DataFrame, length: int, least: int, bits: int) -> DataFrame:
+    """Rows of the phrases of ``length`` words in every shard, but for those in buckets that are not full."""
+    joined = _with_alive(table, alive)
+    shipped = table.sparkSession.sparkContext.broadcast(full_buckets(joined, length, least, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = shipped.value
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i] for c in batch.schema.names}
-                at, mirrored, n = (row[c].values.to_numpy().astype(np.int64) for c in ("at", "mirrored", "n"))
-                order = np.argsort(at)
-                forward, backward = (Transform(row[c].as_buffer()) for c in ("forward", "backward"))
-                at, mirrored, n = extend_both(forward, backward, at[order], mirrored[order], n[order])
-                symbols = forward.words(at, length)
-                word = [row["words"].values.take(pa.array(s - 1)) for s in symbols]
-                made = [
-                    pa.array(np.full(len(at), row["shard"].as_py())), pa.array(at.astype(np.int32)),
-                    pa.array(mirrored.astype(np.int32)), row["langs"].values.take(pa.array(symbols[0] - 1)),
-                    pc.binary_join_element_wise(*word, " "), pa.array(n.astype(np.int32)),
-                ]
-                yield pa.RecordBatch.from_arrays(made, names=["shard", "at", "mirrored", "lang", "phrase", "n"])
+            for made in extended(batch, length):
+                bucket = (made.hashed >> np.uint64(64 - bits)).astype(np.int64)
+                made = made.where((full[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0)
+                phrase = pc.binary_join_element_wise(*(made.known.words.take(pa.array(s - 1)) for s in made.symbols), " ")
+                yield _level(made.shard, made.at, made.mirrored, made.known.langs(made.symbols[0]), phrase, made.n)
 
     return joined.mapInArrow(run, LEVEL)
 
 
+def _level(shard: int, at: np.ndarray, mirrored: np.ndarray, lang: pa.Array, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    int32 = lambda a: pa.array(a.astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(at), shard, np.int64)), int32(at), int32(mirrored), lang, phrase, int32(n)],
+        names=["shard", "at", "mirrored", "lang", "phrase", "n"])
+
+
 def first_level(table: DataFrame) -> DataFrame:
     """Rows of the words of every shard."""
-    return table.select("shard", F.inline(F.arrays_zip("langs", "words", "counts", "starts"))).select(
-        "shard", F.col("starts").alias("at"), F.col("starts").alias("mirrored"), F.col("langs").alias("lang"),
-        F.col("words").alias("phrase"), F.col("counts").alias("n"),
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                known = Vocabulary(row)
+                at = known.starts(row["rows"].as_py())
+                yield _level(row["shard"].as_py(), at, at, known.langs(np.arange(1, len(at) + 1)), known.words, known.counts)
+
+    rows = (F.length("forward") / 4).cast("int").alias("rows")
+    return table.select("shard", "langs", "sizes", "words", "counts", rows).mapInArrow(run, LEVEL)
+
+
+def spoken_words(table: DataFrame) -> DataFrame:
+    """lang, n: the words of every language of every shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                known = Vocabulary({c: batch.column(c)[i] for c in batch.schema.names})
+                n = np.bincount(known.lang, known.counts, len(known.names)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(known.names, pa.string()), pa.array(n)], names=["lang", "n"])
+
+    return table.select("langs", "sizes", "words", "counts").mapInArrow(run, "lang string, n long")
 
 
 def frequent(level: DataFrame, least: int) -> DataFrame:
@@ -268,12 +399,16 @@ def frequent(level: DataFrame, least: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """lang, length, phrase, a of all phrases of up to ``longest`` words that come ``least`` times; and lang, n: its words."""
     name, table = written_shards(docs, size)
-    spoken = table.select(F.inline(F.arrays_zip("spoken", "totals"))).groupBy(F.col("spoken").alias("lang"))
-    words = settle(spoken.agg(F.sum("totals").alias("n")), "words")
+    words = settle(spoken_words(table).groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    spoken = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(MOST_BITS, max(3, (spoken // PER_BUCKET).bit_length()))
     alive = frequent(first_level(table), least)
     found = alive.where("first").select("lang", F.lit(1).alias("length"), "phrase", "a")
     for length in range(2, longest + 1):
-        alive = frequent(next_level(table, alive, length), least)
+        # What the last level shuffled is no longer needed; Spark's cleaner removes it when the driver collects garbage.
+        gc.collect()
+        docs.sparkSession._jvm.System.gc()
+        alive = frequent(next_level(table, alive, length, least, bits), least)
         found = found.unionByName(alive.where("first").select("lang", F.lit(length).alias("length"), "phrase", "a"))
     docs.sparkSession.sql(f"DROP TABLE {name}")
     return found, words

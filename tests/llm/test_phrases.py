@@ -66,7 +66,7 @@ def test_ranks_are_cut_by_score_count_and_phrase(spark):
 def test_intervals_of_both_transforms_belong_to_the_phrase():
     rng = np.random.default_rng(5)
     numbers = np.concatenate([[0], rng.integers(0, 5, 400), [0]])
-    forward, backward = (phrases.Transform(t.tobytes()) for t in phrases.transforms(numbers))
+    forward, backward = (phrases.Transform(phrases.planes(t)) for t in phrases.transforms(numbers))
     edge = np.concatenate([[0], np.cumsum(np.bincount(numbers))])
     at = mirrored = edge[1:-1]
     n = np.diff(edge)[1:]
