@@ -86,6 +86,40 @@ def test_all_lists_left_to_the_rounds(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("seed, short", [(6, 1), (7, 2), (8, 4)])
+def test_all_lists_left_to_the_shingles_outside_the_leaders(spark, monkeypatch, seed, short):
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "ROUNDS", 0 if seed % 2 else 1)
+    rows = list(enumerate(corpus(seed, 25, 60 if seed == 8 else 400)))
+    assert run(spark, rows) == brute(rows)
+
+
+def test_few_comparisons_among_copies_and_strangers(spark, monkeypatch):
+    """300 near copies, most of which don't link with each other, and 300 strangers with one passage in common."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, passage = [word() for _ in range(120)], [word() for _ in range(60)]
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 4, 5, 6])):
+            copy[rng.randrange(len(copy))] = word()
+        texts.append(" ".join(copy))
+        texts.append(" ".join([*passage, *(word() for _ in range(11))]))
+    compared = []
+    plain = jaccard.overlaps
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "overlaps", counted)
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows)
+    assert sum(compared) < 10 * len(rows)
+
+
 def test_ids_that_are_null_or_repeat(spark):
     rows = list(zip([5, None, 5, 9, None, 2, 2, 2], ["a b c d e f g", "a b c d e f g", "q r s t u v w", "q r s t u v w",
                                                      "l m n o p", "l m n o p", None, "one two three"]))

@@ -70,6 +70,21 @@ def test_matches_every_window(spark, seed):
     assert {k: v for k, v in got.items() if v != [want[k]]} == {}
 
 
+def test_passages_around_the_length(spark):
+    """A passage that two documents share goes if it has 400 bytes, and not with 399, however many words it has."""
+    rng = random.Random(9)
+    texts, kept = [], []
+    for size in (394, 399, 400, 401):
+        passage = "".join(rng.choice("abcdefgh ") for _ in range(size))
+        # Differing bytes on both sides, so that no more than the passage is shared.
+        texts += [f"<{size}{passage}>left", f"({size + 5}{passage})right"]
+        kept += [size < N] * 2
+    got = run(spark, texts)
+    want = brute(texts)
+    assert {k: v for k, v in got.items() if v != [want[k]]} == {}
+    assert [got[i][0][1] == 0 for i in range(len(texts))] == kept
+
+
 def test_small_batches_hot_cores_and_slabs(spark, monkeypatch):
     monkeypatch.setattr(repeats, "BATCH", 16)
     monkeypatch.setattr(repeats, "HOT", 3)
