@@ -50,7 +50,9 @@ def isotonic_calibrated(spark, sf):
     table, risk = fitted(spark, sf)
     encoded = modeling.encode(quality.labeled(table), risk.encoder)
     raw = modeling.raw_scores(risk, encoded).select(SPEC.key, "split", "breach", "raw_score")
-    calibrator, _ = modeling.fit_calibrator(raw.where(F.col("split") == "val"), trigger=0.0)
+    # Written: the fit reads the scores several times.
+    validation = settle(raw.where(F.col("split") == "val").select("breach", "raw_score"), "validation")
+    calibrator, _ = modeling.fit_calibrator(validation, trigger=0.0)
     return modeling.apply_calibrator(raw.where(F.col("split") == "test"), calibrator).select(SPEC.key, "raw_score", "risk")
 
 

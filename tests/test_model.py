@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselens import fixed
-from caselens.operators import boosting, features, metrics, quality
+from caselens.checks import model_cases
+from caselens.operators import boosting, features, metrics, quality, trees
 from caselens.plans import modeling
 from caselens.spec import FeatureConfig, LifecycleSpec
 from caselens.storage import settle
@@ -238,3 +239,53 @@ def test_bounded_sample_and_exact_choice(built):
     small = modeling.fit_risk_model(table, trials=3, max_rounds=6, fit_rows=100)
     scored = modeling.score_rows(quality.labeled(table.where("split = 'val'")), small, explain=False)
     assert small.val_pr_auc == pytest.approx(metrics.ranking_metrics(scored, "raw_score").first()["pr_auc"])
+
+
+def grown_tree(depth, draw, ends):
+    """A random tree over ``ends``, the thresholds of each column, as arrays."""
+    tree = {c: [] for c in ("left", "right", "feature", "threshold", "value")}
+
+    def add(level):
+        node = len(tree["value"])
+        for c, v in (("left", -1), ("right", -1), ("feature", -1), ("threshold", 0.0), ("value", draw.uniform(-1, 1))):
+            tree[c].append(v)
+        if level < depth and (level == 0 or draw.random() < 0.95):
+            column = draw.randrange(len(ends))
+            tree["feature"][node], tree["threshold"][node] = column, draw.choice(ends[column])
+            tree["left"][node], tree["right"][node] = add(level + 1), add(level + 1)
+        return node
+
+    add(0)
+    return {c: np.array(v, float if c in ("threshold", "value") else np.int64) for c, v in tree.items()}
+
+
+def test_tabled_trees_score_and_explain_as_walked_ones():
+    draw = random.Random(5)
+    ends = [sorted(draw.uniform(-1, 1) for _ in range(9)) for _ in range(4)]
+    grown = [grown_tree(depth, draw, ends) for depth in (0, 1, 3, 6, 6, 8)]
+    odd = [math.nan, math.inf, -math.inf]
+    x = np.array([[draw.choice(odd + e + [draw.uniform(-2, 2)]) for e in ends] for _ in range(trees.BLOCK + 900)])
+    known = trees.thresholds(grown)
+    made = [trees.tabled(t, known, 4) for t in grown]
+    assert [isinstance(t, trees.Tabled) for t in made] == [True] * 5 + [False]
+    margin, credit = np.full(len(x), 0.3), np.zeros((len(x), 4))
+    for i, row in enumerate(x):
+        for t in grown:
+            node = 0
+            while t["left"][node] >= 0:
+                child = t["left" if row[t["feature"][node]] <= t["threshold"][node] else "right"][node]
+                credit[i, t["feature"][node]] += t["value"][child] - t["value"][node]
+                node = child
+            margin[i] += t["value"][node]
+    assert np.array_equal(trees.risk_of(x, made, known, 0.3), 1 / (1 + np.exp(-margin)))
+    assert np.array_equal(trees.credit_of(x, made, known, 4), credit)
+    assert trees.risk_of(x[:2], [], trees.thresholds([]), 0.0).tolist() == [0.5, 0.5]
+
+
+def test_the_isotonic_query_scores_validation_rows_once(spark, built, monkeypatch):
+    read = []
+    fit = modeling.fit_calibrator
+    monkeypatch.setattr(model_cases, "fitted", lambda spark, sf: built)
+    monkeypatch.setattr(modeling, "fit_calibrator", lambda rows, trigger: read.append(rows) or fit(rows, trigger))
+    assert model_cases.isotonic_calibrated(spark, "").count() > 0
+    assert "ArrowEvalPython" not in read[0]._jdf.queryExecution().executedPlan().toString()
