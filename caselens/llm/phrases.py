@@ -53,6 +53,8 @@ SHARD_WORDS, LONGEST, LEAST, TOP = 1 << 19, 5, 100, 2000
 DEPTH = 8
 #: Phrases a bucket holds on average, at most 2 to that power of buckets, and buckets that a task adds up.
 PER_BUCKET, MOST_BITS, BUCKET_RANGE = 16, 28, 1 << 20
+#: Bytes of text whose shards share a bucket of files: a task takes a bucket's shards at once.
+BUCKET_BYTES, MOST_BUCKETS = 1 << 25, 1 << 16
 UNKNOWN = "und"
 
 
@@ -193,7 +195,8 @@ def written_shards(docs: DataFrame, size: int = SHARD_WORDS) -> tuple[str, DataF
     """Name and scan of the shards, bucketed by id in the shared folder."""
     spark = docs.sparkSession
     name = f"caselens_shards_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size_of_all = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BUCKETS, size_of_all // BUCKET_BYTES))
     shards(docs, size).repartition(buckets, "shard").write.bucketBy(buckets, "shard").option(
         "path", shared_path(spark, "shards")).saveAsTable(name)
     return name, spark.table(name)
@@ -283,11 +286,15 @@ def extended(batch: pa.RecordBatch, length: int) -> Iterator[Extended]:
 
 
 def _with_alive(table: DataFrame, alive: DataFrame) -> DataFrame:
-    """The shards, which stay where they are, each with its frequent intervals."""
+    """The shards, which stay where they are, each with its frequent intervals.
+
+    Merged, bucket by bucket: beside a broadcast the files would be read without regard to buckets, and a task would
+    hold all shards of a file split at once.
+    """
     listed = alive.groupBy("shard").agg(
         F.collect_list("at").alias("at"), F.collect_list("mirrored").alias("mirrored"), F.collect_list("n").alias("n")
     )
-    return table.join(listed, "shard")
+    return table.hint("merge").join(listed, "shard")
 
 
 def full_buckets(joined: DataFrame, length: int, least: int, bits: int) -> np.ndarray:

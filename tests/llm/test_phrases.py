@@ -85,3 +85,15 @@ def test_odd_rows(spark):
     assert got(spark, [], least=1) == set()
     docs = spark.createDataFrame([("a b", "en", 1, "z", 2.0)] * 3, "text string, lang string, rank int, phrase string, n double")
     assert {tuple(r)[:8] for r in phrases.collocations(docs, least=3).collect()} == {("en", 1, "a b", 3, 3, 3, 6, 2000)}
+
+
+def test_shards_meet_their_intervals_bucket_by_bucket(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 40)
+    rows = [(" ".join(random.Random(i).choices("abc", k=20)), "en") for i in range(40)]
+    name, table = phrases.written_shards(spark.createDataFrame(rows, "text string, lang string"), 32)
+    assert spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Num Buckets'").first()["data_type"] == "39"
+    joined = phrases._with_alive(table, phrases.frequent(phrases.first_level(table), 1))
+    assert joined.count() == table.count() > 1
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "39 out of 39" in plan
+    spark.sql(f"DROP TABLE {name}")
