@@ -54,7 +54,7 @@ DEPTH = 8
 #: Phrases a bucket holds on average, at most 2 to that power of buckets, and buckets that a task adds up.
 PER_BUCKET, MOST_BITS, BUCKET_RANGE = 16, 28, 1 << 20
 #: Bytes of text whose shards share a bucket of files: a task takes a bucket's shards at once.
-BUCKET_BYTES, MOST_BUCKETS = 1 << 25, 1 << 16
+BUCKET_BYTES, MOST_BUCKETS = 1 << 23, 1 << 16
 UNKNOWN = "und"
 
 
