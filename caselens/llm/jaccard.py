@@ -11,14 +11,16 @@ the rest.
   whole block: blocks are skipped against blocks, and only survivors are paired.
 * *Answers from answers.*  Lists of frequent shingles, and lists longer than ``SHORT``, are
   not paired.  In rounds, one set of each list, the leader, is compared with the others, and
-  sets that are known to be connected are not compared again.  In lists that are then still
-  of several parts, the smallest set leads, and its answers say how the others can link: with
-  o their overlaps with the leader, y and z share at most the lesser of o(y) and o(z) within
-  it, so they need a certain number of shingles outside of it, at least one if either doesn't
-  link with the leader.  They meet again in lists of the shingles outside, of which the first
-  few will do, as with any prefix; short ones are paired, and long ones get a leader of their
-  own, until none is left.  What counts as short quadruples from level to level.  A group of n near copies, or of n strangers with a passage in
-  common, costs some n comparisons, not n squared.
+  sets that are known to be connected are not compared again.
+* *Differences.*  Lists that are then still of several parts are gathered in teams.  A team's
+  reference is the shingles that most of its sets have, and each set is known by its difference
+  from the reference: what it has more and what it lacks.  Two sets differ by as much as their
+  differences do, so those that link must share a certain number of differing shingles, or both
+  link with the set nearest to the reference.  They meet again in lists of differing shingles,
+  of which the first few will do, as with any prefix; short ones are paired, and long ones make
+  teams of their own, until none is left.  What counts as short quadruples from level to level.
+  A group of n near copies, or of n strangers with a passage in common, costs some n
+  comparisons, not n squared.
 
 Compared pairs are compared by their whole sets.  The answer is each text's component.
 
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caselens.llm.common import carried, map_texts, packed, pieces
@@ -48,7 +50,7 @@ WIDTH, PERCENT = 5, 75
 FREQUENT, LEAST_TEXTS = 1 << 20, 3
 #: Entries of a list that is still paired in its task.
 SHORT = 64
-#: Rounds of leaders before the shingles outside the leaders are looked at.
+#: Rounds of leaders before the differences from references are looked at.
 ROUNDS = 3
 #: Shingles that a task of the map side packs together, and that a task of the reduce side takes.
 PACKED, PER_TASK = 1 << 20, 1 << 20
@@ -378,12 +380,12 @@ def _ordered() -> list[Column]:
     return [F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")]
 
 
-def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, frequent, percent: int = PERCENT) -> DataFrame:
+def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, percent: int = PERCENT) -> DataFrame:
     """node, label by all links, those given and those between entries of the long lists (token, a, n, place).
 
     Between rounds, a part that a leader links with takes over the leader's label.  That may leave connected
     parts with different labels, never the same label on parts that aren't connected; whole components are
-    computed before the lists are looked at outside their leaders, and at the end.
+    computed before what is open in the lists is settled by references, and at the end.
     """
     label = components(links)
     held = settle(_labelled(lists.select("a").distinct(), label), "list-labels")
@@ -408,7 +410,7 @@ def rounds_of_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, freq
         links = links.unionByName(found)
         tested = compared if tested is None else tested.unionByName(compared)
     tested = links.limit(0) if tested is None else tested
-    return outside_leaders(lists, texts, links, tested.select("a", "b"), frequent, percent)
+    return outside_references(lists, texts, links, tested.select("a", "b"), percent)
 
 
 def _labelled(sets: DataFrame, label: DataFrame) -> DataFrame:
@@ -428,132 +430,111 @@ def _unsettled(lists: DataFrame, held: DataFrame, round_: int) -> DataFrame:
     return settle(known.join(per, "token"), "leader-lists")
 
 
-# Outside the leaders.
+# Differences from references.
 
-#: A set of a group, the part of it that the leaders of the group have (``inside``), and the rest of its shingles in order.
-MEMBER = "team long, a long, n long, inside long, rest binary"
-#: An entry of a list of shingles outside the leaders; ``reach`` bounds the overlap with any set that it shares no earlier one with.
-ENTRY = "token long, team long, a long, n long, reach long"
+#: Sets of a team that its reference is made of, about; the reference decides how lists fall apart, never a result.
+DRAWN = 32
 
 
-def _led(lists: DataFrame, held: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Entries of lists of several parts: of those with up to ``most``, and of longer ones, with the list's smallest set (``lead``)."""
-    known = lists.join(held, "a")
-    per = known.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("sets"),
-        F.min(F.struct("n", F.xxhash64("a").alias("h"), "a")).alias("least"),
-    ).where("low <> high").select("token", "sets", F.col("least.a").alias("lead"))
-    known = settle(known.join(per, "token"), "led-lists")
-    return known.where(F.col("sets") <= most), known.where(F.col("sets") > most)
-
-
-def _in_order(tokens: np.ndarray, values: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The order of all shingles, restricted to ``tokens``: frequent ones last, then by hash."""
-    if not len(values):
-        return np.argsort(tokens)
-    found = np.minimum(np.searchsorted(values, _short(tokens)), len(values) - 1)
-    return np.lexsort((tokens, np.where(values[found] == _short(tokens), often[found], 0)))
-
-
-def first_members(led: DataFrame, texts: DataFrame, frequent) -> DataFrame:
-    """The members of the groups of one leader each (``team`` is the leader), from whole texts."""
-    pairs = led.select("a", "lead").distinct()
-    left = texts.select(F.col("sig").alias("a"), "text")
-    right = texts.select(F.col("sig").alias("lead"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "lead").join(left, "a").select("a", "lead", "text", "text_b")
+def whole_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """team (0), a, n, rest: the given sets as arrays, which are their differences from the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, often = frequent.value
         for batch in batches:
             for piece in pieces(batch):
-                (own_a, tok_a), (own_b, tok_b) = (shingles(*packed(piece.column(c))) for c in ("text", "text_b"))
-                edge_a, edge_b = (np.searchsorted(o, np.arange(piece.num_rows + 1)) for o in (own_a, own_b))
-                n, inside, rest = [], [], []
-                for i in range(piece.num_rows):
-                    mine, lead = tok_a[edge_a[i] : edge_a[i + 1]], tok_b[edge_b[i] : edge_b[i + 1]]
-                    out = mine[~np.isin(mine, lead)]
-                    n.append(len(mine))
-                    inside.append(len(mine) - len(out))
-                    rest.append(out[_in_order(out, values, often)].tobytes())
+                owner, tokens = shingles(*packed(piece.column("text")))
+                edge = np.searchsorted(owner, np.arange(piece.num_rows + 1))
+                rest = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("lead"), piece.column("a"), pa.array(n, pa.int64()), pa.array(inside, pa.int64()), pa.array(rest, pa.binary())],
-                    names=["team", "a", "n", "inside", "rest"])
+                    [pa.array(np.zeros(piece.num_rows, np.int64)), piece.column("sig"), pa.array(np.diff(edge)), rest],
+                    names=["team", "a", "n", "rest"])
 
-    return settle(both.mapInArrow(run, MEMBER), "members")
+    wanted = texts.join(sets.select(F.col("a").alias("sig")).distinct(), "sig").select("sig", "text")
+    return settle(wanted.mapInArrow(run, "team long, a long, n long, rest array<long>"), "members")
 
 
-def next_members(members: DataFrame, led: DataFrame) -> DataFrame:
-    """Members of the groups with one more leader each, from what their former leaders left."""
-    wanted = led.select("team", "a", "lead").distinct()
-    lead = members.select("team", F.col("a").alias("lead"), F.col("rest").alias("rest_b"))
-    both = wanted.join(members, ["team", "a"]).join(lead, ["team", "lead"]).select(
-        F.xxhash64("team", "lead").alias("team"), "a", "n", "inside", "rest", "rest_b")
+def _open_lists(lists: DataFrame, held: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Entries of lists of several parts, with their ``label``: of those with up to ``most``, and of longer ones."""
+    known = lists.join(held, "a")
+    per = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("sets"))
+    known = settle(known.join(per.where("low <> high").select("token", "sets"), "token"), "open-lists")
+    return known.where(F.col("sets") <= most), known.where(F.col("sets") > most)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            inside, rest = [], []
-            for was, mine, other in zip(*(batch.column(c).to_pylist() for c in ("inside", "rest", "rest_b"))):
-                mine, other = np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64)
-                out = mine[~np.isin(mine, other)]
-                inside.append(was + len(mine) - len(out))
-                rest.append(out.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("team", "a", "n")), pa.array(inside, pa.int64()), pa.array(rest, pa.binary())],
-                names=["team", "a", "n", "inside", "rest"])
 
-    return settle(both.mapInArrow(run, MEMBER), "members")
+def teams(long_: DataFrame) -> DataFrame:
+    """team, a, into: the sets of long lists.  Lists go together if they share the set that is in the most of their team's lists."""
+    often = long_.groupBy("team", "a").agg(F.count("*").alias("lists"))
+    named = long_.join(often, ["team", "a"]).groupBy("team", "token").agg(F.max(F.struct("lists", "a")).alias("top")).select(
+        "token", F.xxhash64("team", "top.a").alias("into"))
+    return settle(long_.join(named, "token").select("team", "a", "into").distinct(), "teams")
+
 
+def next_members(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Members of the new teams: what differs between the old difference and the shingles that most of the new team have."""
+    sizes = wanted.groupBy("into").agg(F.count("*").alias("sets"))
+    drawn = settle(wanted.join(sizes, "into").join(members, ["team", "a"]).select(F.col("into").alias("team"), "a", "n", "rest", "sets"), "drawn")
+    share = F.pmod(F.xxhash64("a", "team"), F.lit(1 << 20)) * F.col("sets") < DRAWN * (1 << 20)
+    some = drawn.where(share).select("team", F.explode("rest").alias("shingle"))
+    taken = drawn.where(share).groupBy("team").agg(F.count("*").alias("taken"))
+    most = some.groupBy("team", "shingle").agg(F.count("*").alias("have")).join(taken, "team").where("2 * have > taken")
+    reference = settle(most.groupBy("team").agg(F.collect_list("shingle").alias("most")), "references")
+    none = F.array().cast("array<long>")
+    both = drawn.join(reference, "team", "left").withColumn("most", F.coalesce("most", none))
+    return settle(both.select("team", "a", "n", F.concat(
+        F.array_except("rest", "most"), F.array_except("most", "rest")).alias("rest")).withColumn("size", F.size("rest").cast("long")), "members")
 
-def outer_lists(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Lists of the first shingles outside the leaders, so many that sets of a group that link share one of them.
 
-    A set needs ``percent`` of its own size in common with any that it links with.  What is missing to that from its
-    part inside the leaders must lie outside, and one shingle at least (but see ``_covered_pairs``).
+def _excess(size: Column, n: Column, percent: int) -> Column:
+    """Two sets link exactly if their differences share ``(excess + excess) / (2 (100 + percent))`` shingles."""
+    return (100 + percent) * size - (100 - percent) * n
+
+
+def nearest_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each set with the one of its team that is nearest to the reference, if the sizes let them link.
+
+    Sets whose excesses are together 0 or less link, and so they both do with the nearest one.
     """
+    excess = _excess(F.col("size"), F.col("n"), percent)
+    near = members.groupBy("team").agg(F.min(F.struct(excess.alias("excess"), "a", "size")).alias("near"))
+    can = 2 * (100 + percent) * F.least("size", "near.size") >= excess + F.col("near.excess")
+    return members.join(near, "team").where((F.col("a") != F.col("near.a")) & can).select(
+        F.least("a", "near.a").alias("a"), F.greatest("a", "near.a").alias("b")).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
-            for team, a, n, inside, rest in zip(*(batch.column(c).to_pylist() for c in ("team", "a", "n", "inside", "rest"))):
-                tokens = np.frombuffer(rest, np.uint64)
-                missing = -(-percent * n // 100) - inside
-                first = tokens[: max(0, len(tokens) - max(1, missing) + 1)]
-                keys = row_key(first, np.full(len(first), team, np.int64).view(np.uint64))
-                reach = inside + len(tokens) - np.arange(len(first))
-                for column, made in zip(out, (keys.view(np.int64), *([v] * len(keys) for v in (team, a, n)), reach)):
-                    column.extend(made)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["token", "team", "a", "n", "reach"])
 
-    return members.mapInArrow(run, ENTRY)
+def outer_lists(members: DataFrame, held: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Lists of the first shingles of the differences, so many that sets of a team that can link share one of them.
+
+    Only shingles that several parts of a team have count; those of the fewest sets come first.
+    """
+    known = members.join(held, "a").withColumn("excess", _excess(F.col("size"), F.col("n"), percent))
+    least = known.groupBy("team", "label").agg(F.min("excess").alias("excess"))
+    low = least.groupBy("team").agg(F.min(F.struct("excess", "label")).alias("low"), F.count("*").alias("parts")).where("parts > 1")
+    second = least.join(low, "team").where(F.col("label") != F.col("low.label")).groupBy("team", "low").agg(F.min("excess").alias("second"))
+    other = F.when(F.col("label") == F.col("low.label"), F.col("second")).otherwise(F.col("low.excess"))
+    known = known.join(second, "team").withColumn("share", F.greatest(F.lit(1).cast("long"), F.ceil((F.col("excess") + other) / (2 * (100 + percent)) - 1e-9)))
+    each = settle(known.where(F.col("share") <= F.col("size")).select(
+        "team", "a", "n", "label", "excess", "share", F.explode("rest").alias("shingle")), "differences")
+    parted = each.groupBy("team", "shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("sets")).where("low <> high")
+    common = each.join(parted.select("team", "shingle", "sets"), ["team", "shingle"])
+    own = Window.partitionBy("team", "a")
+    placed = common.withColumns({"total": F.count("*").over(own), "place": F.row_number().over(own.orderBy("sets", "shingle"))})
+    return settle(placed.where(F.col("place") <= F.col("total") - F.col("share") + 1).select(
+        F.xxhash64("team", "shingle").alias("token"), "team", "a", "n", "excess", (F.col("total") - F.col("place") + 1).alias("reach")), "outer-lists")
 
 
 def _short_pairs(short: DataFrame, percent: int) -> DataFrame:
     """Pairs of different parts in short lists that sizes and reaches allow."""
     x, y = short.alias("x"), short.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
-    fits = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least("x.reach", "y.reach") >= _needed(n, m, percent))
+    fits = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
+        2 * (100 + percent) * F.least("x.reach", "y.reach") >= F.col("x.excess") + F.col("y.excess"))
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.a") < F.col("y.a")) & (F.col("x.label") != F.col("y.label")) & fits).select(
         *_ordered()).distinct()
 
 
-def _covered_pairs(members: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different parts that can link by what several leaders together have of them.
-
-    With one leader, the smallest set of its list, there are none: one of the two doesn't link with it, and the other
-    is no smaller.  One set of a pair is outside the most usual part of the group.
-    """
-    covered = members.where(100 * F.col("inside") >= percent * F.col("n")).select("team", "a", "n", F.col("inside").alias("reach")).join(held, "a")
-    parts = covered.groupBy("team", "label").agg(F.count("*").alias("sets")).groupBy("team").agg(
-        F.max(F.struct("sets", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    known = settle(covered.join(parts.select("team", F.col("top.label").alias("usual")), "team"), "covered")
-    x, y = known.where("label <> usual").alias("x"), known.alias("y")
-    n, m = F.col("x.n"), F.col("y.n")
-    return x.join(y, (F.col("x.team") == F.col("y.team")) & (F.col("x.label") != F.col("y.label")) & (
-        F.least("x.reach", "y.reach") >= _needed(n, m, percent))).select(*_ordered()).distinct()
-
-
-def outside_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, tested: DataFrame, frequent, percent: int = PERCENT) -> DataFrame:
-    """node, label: what is open in long lists is settled by the shingles outside their leaders, level by level."""
+def outside_references(lists: DataFrame, texts: DataFrame, links: DataFrame, tested: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """node, label: what is open in long lists is settled by how their sets differ from a reference, level by level."""
 
     def test(pairs: DataFrame) -> None:
         nonlocal links, tested
@@ -565,27 +546,20 @@ def outside_leaders(lists: DataFrame, texts: DataFrame, links: DataFrame, tested
     def labels(sets: DataFrame) -> DataFrame:
         return settle(_labelled(sets.select("a").distinct(), components(links)), "list-labels")
 
-    def led_pairs(led: DataFrame) -> DataFrame:
-        return led.where(F.col("a") != F.col("lead")).select(F.least("a", "lead").alias("a"), F.greatest("a", "lead").alias("b")).distinct()
-
-    most = SHORT
-    level, members = lists.withColumn("team", F.lit(0).cast("long")).withColumn("reach", F.col("n") - F.col("place")), None
+    most, members = SHORT, None
+    level = lists.withColumns({"team": F.lit(0).cast("long"), "reach": F.col("n") - F.col("place"), "excess": 2 * percent * F.col("n")})
+    held = labels(level)
     while True:
-        short, long_ = _led(level, labels(level), most)
-        if short.isEmpty() and long_.isEmpty():
-            return components(links)
-        test(_short_pairs(short, percent).unionByName(led_pairs(long_)).distinct())
+        short, long_ = _open_lists(level, held, most)
+        if not short.isEmpty():
+            test(_short_pairs(short, percent))
         if long_.isEmpty():
             return components(links)
-        # Parts that their leaders joined need nothing more.
-        open_ = long_.drop("label", "sets", "lead")
-        _, led = _led(open_, labels(open_), most)
-        if members is None:
-            members = first_members(led, texts, frequent)
-        else:
-            members = next_members(members, led)
-            test(_covered_pairs(members, labels(members), percent))
-        level, most = settle(outer_lists(members, percent), "outer-lists"), 4 * most
+        wanted = teams(long_)
+        members = next_members(whole_sets(wanted, texts) if members is None else members, wanted)
+        test(nearest_pairs(members, percent))
+        held = labels(members)
+        level, most = outer_lists(members, held, percent), 4 * most
 
 
 def placed_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -608,7 +582,7 @@ def placed_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = first.join(members, "sig")
     texts = settle(docs.join(wanted, "row").select("sig", "text").dropDuplicates(["sig"]), "set-texts")
     links = settle(_links(overlaps(pairs, texts), percent), "set-links")
-    label = rounds_of_leaders(lists, texts, links, frequent, percent)
+    label = rounds_of_leaders(lists, texts, links, percent)
     return sets.join(label, sets["sig"] == label["node"], "left").select(
         "doc_id", "row", "n_shingles", "sig", F.coalesce("label", "sig").alias("label"))
 

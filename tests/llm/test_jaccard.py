@@ -120,6 +120,38 @@ def test_few_comparisons_among_copies_and_strangers(spark, monkeypatch):
     assert sum(compared) < 10 * len(rows)
 
 
+def test_near_copies_meet_once_by_their_differences(spark, monkeypatch):
+    """300 near copies with up to 9 changed words: a set has few entries outside what most of them have, in all levels together."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, texts = [word() for _ in range(120)], []
+    for _ in range(300):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 10)):
+            copy[rng.randrange(len(copy))] = word()
+        texts.append(" ".join(copy))
+    entries, pairs = [], []
+    plain, over = jaccard.settle, jaccard.overlaps
+
+    def settled(df, label):
+        made = plain(df, label)
+        if label == "outer-lists":
+            entries.append(made.count())
+        return made
+
+    def counted(some, sets):
+        pairs.append(some.count())
+        return over(some, sets)
+
+    monkeypatch.setattr(jaccard, "settle", settled)
+    monkeypatch.setattr(jaccard, "overlaps", counted)
+    monkeypatch.setattr(jaccard, "SHORT", 16)
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows)
+    assert entries and sum(entries) < 20 * len(rows)
+    assert sum(pairs) < 10 * len(rows)
+
+
 def test_ids_that_are_null_or_repeat(spark):
     rows = list(zip([5, None, 5, 9, None, 2, 2, 2], ["a b c d e f g", "a b c d e f g", "q r s t u v w", "q r s t u v w",
                                                      "l m n o p", "l m n o p", None, "one two three"]))
