@@ -97,3 +97,42 @@ def test_shards_meet_their_intervals_bucket_by_bucket(spark, monkeypatch):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "39 out of 39" in plan
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_task_fills_its_shards(spark):
+    rows = [(" ".join(random.Random(i).choices("abc", k=20)), "en") for i in range(50)]
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    # Batches of a few texts: what doesn't fill a shard waits for the next ones.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        made = phrases.shards(docs, 50).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held = [int(np.frombuffer(r["counts"], "<i4").sum()) for r in made]
+    assert sum(held) == 1000 and all(h == 40 for h in held)
+    assert [r["rows"] for r in made] == [len(phrases.unplanes(r["forward"])) for r in made]
+
+
+def test_suffixes_are_sorted_by_enough_numbers():
+    rng = np.random.default_rng(7)
+    for kinds in (3, 1 << 17, 1 << 30):
+        numbers = rng.integers(0, kinds, 300).astype(np.int64)
+        numbers[150:290] = numbers[5:145]
+        order = phrases.suffix_order(numbers)
+        keys = [tuple(np.roll(numbers, -int(i))[: phrases.DEPTH]) for i in order]
+        assert keys == sorted(keys) and sorted(order.tolist()) == list(range(300))
+        assert (phrases.stable_order(numbers.astype(np.int32)) == np.argsort(numbers, kind="stable")).all()
+
+
+def test_longer_phrases_take_one_pass_and_few_rows(spark):
+    rows = [("a b c d e f g h", "en")] * 30 + [("a b x y", "fr")] * 30
+    name, table = phrases.written_shards(spark.createDataFrame(rows, "text string, lang string"), 40)
+    joined = phrases._with_alive(table, phrases.frequent(phrases.first_level(table), 20))
+    full = phrases.full_buckets(joined, 5, 20, 10)
+    blocks = phrases.longer_phrases(joined, full, 10, 1)
+    # A shard may hold both languages.
+    assert full.shape == (4, 128) and blocks.count() <= 2 * joined.count()
+    found = {(r["lang"], r["phrase"], r["a"], r["length"]) for r in phrases.frequent_of(blocks, 20).collect()}
+    spark.sql(f"DROP TABLE {name}")
+    runs = [("en", "a b c d e f g h".split()), ("fr", "a b x y".split())]
+    assert found == {(lang, " ".join(w[i : i + n]), 30, n) for lang, w in runs for n in range(2, 6) for i in range(len(w) - n + 1)}
