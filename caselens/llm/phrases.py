@@ -53,8 +53,9 @@ from caselens.storage import settle, shared_path
 SHARD_WORDS, LONGEST, LEAST, TOP = 1 << 19, 5, 100, 2000
 #: Numbers by which suffixes are sorted at least: above the words of a phrase.
 DEPTH = 8
-#: Phrases a bucket holds on average, at most 2 to that power of buckets, and buckets that a task adds up.
-PER_BUCKET, MOST_BITS, BUCKET_RANGE = 16, 28, 1 << 20
+#: Phrases a bucket holds on average, at most 2 to that power of buckets, buckets added up at once, and at most that
+#: many tasks that add them up.
+PER_BUCKET, MOST_BITS, BUCKET_RANGE, MOST_ADDERS = 16, 28, 1 << 19, 1 << 11
 #: Bytes of text whose shards share a bucket of files: a task takes a bucket's shards at once.
 BUCKET_BYTES, MOST_BUCKETS = 1 << 22, 1 << 16
 #: Words of all texts for each part of the hashes that is added up at once, and at most that many parts.
@@ -98,12 +99,18 @@ def transforms(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """Numbers byte by byte, the low bytes of all first: the high ones compress away."""
-    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """How many numbers, and these byte by byte, the low bytes of all first, compressed: the high ones shrink to nothing.
+
+    Compressed here and not by the shuffle or the files alone, as a batch on its way to a task has its rows as they are.
+    """
+    raw = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unplanes(data) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int32)
+    held = pa.py_buffer(data)
+    raw = pa.decompress(held[8:], 4 * int.from_bytes(held[:8], "little"), codec="zstd")
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int32)
 
 
 #: Words are joined by spaces; ``sizes`` are the words of each language, ``counts`` how often each word comes.
@@ -370,7 +377,7 @@ def full_buckets(joined: DataFrame, longest: int, least: int, bits: int) -> np.n
 
     read = joined.select("shard", "rows", "langs", "sizes", "words", "counts", "forward", "at", "mirrored", "n")
     counted = read.mapInArrow(count, "range int, steps binary, n binary")
-    told = settle(counted.repartition(min(lengths * ranges, 1024), "range").mapInArrow(add, "range int, full binary"), "buckets")
+    told = settle(counted.repartition(min(lengths * ranges, MOST_ADDERS), "range").mapInArrow(add, "range int, full binary"), "buckets")
     full = np.zeros((lengths * ranges, width // 8), np.uint8)
     for row in told.toLocalIterator():
         full[row["range"]] = np.frombuffer(row["full"], np.uint8)

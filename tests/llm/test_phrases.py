@@ -136,3 +136,22 @@ def test_longer_phrases_take_one_pass_and_few_rows(spark):
     spark.sql(f"DROP TABLE {name}")
     runs = [("en", "a b c d e f g h".split()), ("fr", "a b x y".split())]
     assert found == {(lang, " ".join(w[i : i + n]), 30, n) for lang, w in runs for n in range(2, 6) for i in range(len(w) - n + 1)}
+
+
+def test_numbers_go_to_tasks_compressed():
+    rng = np.random.default_rng(9)
+    words = np.minimum(rng.zipf(1.5, 1 << 16), 1 << 16)
+    counts = np.minimum(rng.zipf(2.5, 1 << 16), 100)
+    for numbers, most in ((words, 1.5), (counts, 0.5)):
+        made = phrases.planes(numbers)
+        assert len(made) < most * len(numbers)
+        assert (phrases.unplanes(made) == numbers).all()
+    assert not len(phrases.unplanes(phrases.planes(words[:0])))
+
+
+def test_buckets_are_added_up_range_by_range(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "PER_BUCKET", 1)
+    monkeypatch.setattr(phrases, "BUCKET_RANGE", 64)
+    monkeypatch.setattr(phrases, "MOST_ADDERS", 5)
+    rows = texts(11, 150)
+    assert got(spark, rows, least=4, size=100) == plain(rows, 4)
