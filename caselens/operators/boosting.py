@@ -1,8 +1,9 @@
 """Boosted trees for many draws of parameters at once, one Spark task per draw.
 
-Every draw is fitted on the same rows, so the rows are binned once and shipped, and Spark deals the draws.  What is
-shipped is bounded (``FIT_ROWS`` rows, one byte a value).  ``pyspark.ml`` runs at least one job for every level of every
-tree of every draw; thousands of short jobs take minutes where the trees take seconds.
+Every draw is fitted on the same rows, so the rows are binned once and shipped, and Spark deals the draws.  This is for
+tables that one task can hold; ``boosting_blocks`` grows the same trees on all rows of a larger one.  ``pyspark.ml`` runs
+at least one job for every level of every tree of every draw; thousands of short jobs take minutes where the trees take
+seconds.
 
 Trees grow on the gradients of the log-loss, level by level, from histograms of bins.  After every tree the average
 precision of the validation rows is taken, tied scores together; growing goes on from the trees there are and stops
@@ -66,6 +67,12 @@ class Tree:
             column.append(start)
         return len(self.value) - 1
 
+    def split(self, node: int, column: int, cut: int, sides: Sequence[tuple[float, float]], rate: float) -> list[int]:
+        """Split a node; ``sides`` are the sums of the left and the right side.  The new nodes."""
+        self.feature[node], self.bin[node] = column, cut
+        self.left[node], self.right[node] = made = [self.add(leaf_value(*sums, rate)) for sums in sides]
+        return made
+
     def leaves(self, rows: np.ndarray) -> np.ndarray:
         left, right, feature, cut = (np.array(c) for c in (self.left, self.right, self.feature, self.bin))
         at = np.zeros(len(rows), np.int64)
@@ -75,39 +82,47 @@ class Tree:
         return at
 
 
+def leaf_value(slope: float, curve: float, rate: float) -> float:
+    return -rate * slope / (curve + SHRINK)
+
+
+def best_splits(total: Sequence[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, list, list]:
+    """Whether each node has a split that gains, the place of its column, its cut, and the sums of both sides of all cuts.
+
+    ``total``: the sums of slopes and of curves as (nodes, columns, BINS).
+    """
+    worth = lambda s, c: s * s / (c + SHRINK)
+    lower = [np.cumsum(t, axis=2) for t in total]
+    whole = [c[:, :, -1:] for c in lower]
+    upper = [w - c for w, c in zip(whole, lower)]
+    gain = worth(*lower) + worth(*upper) - worth(*whole)
+    gain[(lower[1] < least) | (upper[1] < least)] = 0
+    gain = gain.reshape(len(gain), -1)
+    best = gain.argmax(axis=1)
+    return gain[np.arange(len(gain)), best] > LEAST_GAIN, best // BINS, best % BINS, lower, upper
+
+
 def grow_tree(rows: np.ndarray, slope: np.ndarray, curve: np.ndarray, columns: np.ndarray, depth: int, rate: float, least: float) -> Tree:
     """A tree of ``depth`` levels from first and second derivatives; sides weigh ``least`` at least.  ``columns`` may be split."""
     tree = Tree()
     width = BINS * len(columns)
     cell = rows[:, columns].astype(np.int64) + BINS * np.arange(len(columns))
-    worth = lambda s, c: s * s / (c + SHRINK)
-    tree.add(-rate * slope.sum() / (curve.sum() + SHRINK))
+    tree.add(leaf_value(slope.sum(), curve.sum(), rate))
     nodes, place = np.array([0]), np.zeros(len(rows), np.int64)
     for _ in range(depth):
         live = np.flatnonzero(place >= 0)
         at = (cell[live] + width * place[live, None]).ravel()
         shape = (len(nodes), len(columns), BINS)
         total = [np.bincount(at, np.repeat(w[live], len(columns)), len(nodes) * width).reshape(shape) for w in (slope, curve)]
-        lower = [np.cumsum(t, axis=2) for t in total]
-        whole = [c[:, :, -1:] for c in lower]
-        upper = [w - c for w, c in zip(whole, lower)]
-        gain = worth(*lower) + worth(*upper) - worth(*whole)
-        gain[(lower[1] < least) | (upper[1] < least)] = 0
-        best = gain.reshape(len(nodes), -1).argmax(axis=1)
-        split = gain.reshape(len(nodes), -1)[np.arange(len(nodes)), best] > LEAST_GAIN
+        split, column, cut, lower, upper = best_splits(total, least)
         if not split.any():
             break
-        column, cut = best // BINS, best % BINS
         child = np.full((len(nodes), 2), -1)
         grown = []
         for i in np.flatnonzero(split):
-            n = nodes[i]
-            tree.feature[n], tree.bin[n] = int(columns[column[i]]), int(cut[i])
-            for side, sums in enumerate((lower, upper)):
-                s, c = (x[i, column[i], cut[i]] for x in sums)
-                child[i, side] = len(grown)
-                grown.append(tree.add(-rate * s / (c + SHRINK)))
-            tree.left[n], tree.right[n] = grown[-2], grown[-1]
+            sides = [tuple(x[i, column[i], cut[i]] for x in sums) for sums in (lower, upper)]
+            child[i] = len(grown), len(grown) + 1
+            grown += tree.split(nodes[i], int(columns[column[i]]), int(cut[i]), sides, rate)
         here = place[live]
         right = rows[live, columns[column[here]]] > cut[here]
         place[live] = child[here, right.astype(np.int64)]
@@ -140,6 +155,15 @@ def boost(train: Rows, validation: Rows, params: dict[str, float], base: float,
     return trees[: best + 1], scores
 
 
+def node_rows(draw: int, trees: Sequence[Tree], ends: Sequence[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """The nodes of each tree of a draw, with the bins' ends as thresholds."""
+    for i, tree in enumerate(trees):
+        threshold = [float(ends[f][b]) if f >= 0 else 0.0 for f, b in zip(tree.feature, tree.bin)]
+        yield pd.DataFrame({
+            "draw": draw, "tree": i, "node": range(len(tree.value)), "left": tree.left, "right": tree.right,
+            "feature": tree.feature, "threshold": threshold, "value": tree.value})
+
+
 def grow_draws(
     spark: SparkSession, train: Rows, validation: Rows, edges: list[np.ndarray], draws: Sequence[dict[str, float]], base: float,
     rounds: int, patience: int, seed: int,
@@ -152,10 +176,6 @@ def grow_draws(
         for batch in batches:
             for number in batch["id"]:
                 trees, _ = boost(rows, held_back, draws[number], base, rounds, patience, seed)
-                for i, tree in enumerate(trees):
-                    threshold = [float(ends[f][b]) if f >= 0 else 0.0 for f, b in zip(tree.feature, tree.bin)]
-                    yield pd.DataFrame({
-                        "draw": number, "tree": i, "node": range(len(tree.value)), "left": tree.left, "right": tree.right,
-                        "feature": tree.feature, "threshold": threshold, "value": tree.value})
+                yield from node_rows(number, trees, ends)
 
     return spark.range(len(draws), numPartitions=max(1, len(draws))).mapInPandas(run, NODES)

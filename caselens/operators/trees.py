@@ -113,6 +113,13 @@ def _reached(codes: dict[int, np.ndarray], tree: Tabled, rows: int) -> np.ndarra
     return np.bitwise_count((left & (~left + np.uint64(1))) - np.uint64(1))
 
 
+def value_of(codes: np.ndarray, tree: Tabled | dict) -> np.ndarray:
+    """The value of the leaf of each row, from a line of codes for each column."""
+    if isinstance(tree, Tabled):
+        return tree.values.take(_reached(codes, tree, codes.shape[1]))
+    return tree["value"][_leaves(codes.T, tree)]
+
+
 def risk_of(x: np.ndarray, trees: Sequence[Tabled | dict], ends: dict[int, np.ndarray], base: float) -> np.ndarray:
     margin = np.full(len(x), base)
     for start in range(0, len(x), BLOCK):

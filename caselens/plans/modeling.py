@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.functions.columns import blank, number_or_zero
-from caselens.operators import boosting, features, isotonic, metrics, quality, targets, trees
+from caselens.operators import boosting, boosting_blocks, features, isotonic, metrics, quality, targets, trees
 from caselens.operators.flow import open_during
 from caselens.spec import FeatureConfig, LifecycleSpec
 from caselens.storage import settle
 
 CODES = [f"{c}_code" for c in fixed.CATEGORICAL_FEATURES]
-#: Labelled rows, of training and of validation each, that trees are grown on and stopped by; all are scored.
-FIT_ROWS = 1 << 16
+#: Labelled rows, training and validation together, that one task holds; trees grow on blocks of so many of a larger table.
+FIT_ROWS = 1 << 17
 INPUTS = [*fixed.NUMERIC_FEATURES, *CODES]
 CONTEXT_VALUES = [c for c in fixed.NUMERIC_FEATURES if c not in ("hour_of_day_created", "day_of_week")]
 
@@ -96,20 +96,29 @@ def apply_calibrator(scored: DataFrame, calibrator: DataFrame | None) -> DataFra
     return isotonic.apply(scored, calibrator, "raw_score", "risk")
 
 
-def fit_sample(data: DataFrame, rows: int = FIT_ROWS) -> tuple[boosting.Rows, boosting.Rows, list[np.ndarray]]:
-    """Binned training and validation rows, ``rows`` of each by the least hash of their key, and the bins' ends."""
-    sides = {}
-    for val, n in data.groupBy("_is_val").count().collect():
-        side = data.where(F.col("_is_val") == val).withColumn("_place", F.xxhash64("_key"))
-        if n > 2 * rows:
-            # Places that are surely too large need not be sorted.
-            side = side.where(F.col("_place") < int(-(1 << 63) + (1 << 64) * 1.5 * rows / n))
-        taken = side.orderBy("_place", "_key").limit(rows).select("breach", "features").toPandas()
-        sides[val] = (np.vstack(taken["features"].to_numpy()), taken["breach"].to_numpy(float))
-    none = (np.zeros((0, len(INPUTS))), np.zeros(0))
-    (x, y), (vx, vy) = sides[False], sides.get(True, none)
-    edges = boosting.bin_edges(x)
-    return boosting.Rows(boosting.binned(x, edges), y), boosting.Rows(boosting.binned(vx, edges), vy), edges
+def fit_rows_of(data: DataFrame) -> tuple[boosting.Rows, boosting.Rows, list[np.ndarray]]:
+    """All training and validation rows, binned and in the order of a hash of their key, and the bins' ends."""
+    taken = data.withColumn("_place", F.xxhash64("_key")).orderBy("_place", "_key").select("_is_val", "breach", "features").toPandas()
+    val = taken["_is_val"].to_numpy(bool)
+    x, y = np.vstack(taken["features"].to_numpy()), taken["breach"].to_numpy(float)
+    edges = boosting.bin_edges(x[~val])
+    learning, held_back = (boosting.Rows(boosting.binned(x[side], edges), y[side]) for side in (~val, val))
+    return learning, held_back, edges
+
+
+def grow(
+    data: DataFrame, draws: Sequence[dict[str, float]], max_rounds: int, seed: int, fit_rows: int = FIT_ROWS
+) -> tuple[DataFrame, float]:
+    """The trees of every draw, grown and stopped on all rows (_key, _is_val, breach, features), and the log-odds they start from."""
+    sides = {r["_is_val"]: r for r in data.groupBy("_is_val").agg(F.count("*").alias("n"), F.avg("breach").alias("rate")).collect()}
+    rate = min(max(sides[False]["rate"], 1e-6), 1 - 1e-6)
+    base = math.log(rate / (1 - rate))
+    held_back = sides[True]["n"] if True in sides else 0
+    n, stop = sides[False]["n"] + held_back, (max_rounds, fixed.EARLY_STOP_ROUNDS, seed)
+    if n <= fit_rows:
+        return boosting.grow_draws(data.sparkSession, *fit_rows_of(data), draws, base, *stop), base
+    edges = boosting_blocks.bin_edges(data.where(~F.col("_is_val")))
+    return boosting_blocks.grow_draws(data, n, held_back, fit_rows, edges, draws, base, *stop), base
 
 
 def fit_risk_model(
@@ -124,11 +133,11 @@ def fit_risk_model(
     """Boosted trees over seeded draws; the draw with the best validation PR-AUC is kept.
 
     ``table`` is a feature table.  Encoders and medians come from labelled
-    training rows; the choice of the draw, calibration and the high-risk cut from
-    all validation rows.  Trees are grown on ``fit_rows`` training rows and their
-    number is chosen on as many validation rows.
+    training rows; trees are grown on all of them.  The number of trees, the choice
+    of the draw, calibration and the high-risk cut come from all validation rows.
+    Up to ``fit_rows`` rows, a task grows all trees of a draw; more are grown in
+    blocks of about ``fit_rows``.
     """
-    spark = table.sparkSession
     known = quality.labeled(table).where(F.col("split").isin("train", "val"))
     train = known.where(F.col("split") == "train")
     encoder = features.fit_ordinal(train, fixed.CATEGORICAL_FEATURES)
@@ -137,11 +146,9 @@ def fit_risk_model(
     )
     data = settle(encoded, "training")
     validation = data.where("_is_val")
-    learning, held_back, edges = fit_sample(data, fit_rows)
-    rate = min(max(float(learning.label.mean()), 1e-6), 1 - 1e-6)
-    base = math.log(rate / (1 - rate))
     draws = search_space(trials, seed)
-    grown = settle(boosting.grow_draws(spark, learning, held_back, edges, draws, base, max_rounds, fixed.EARLY_STOP_ROUNDS, seed), "trees")
+    grown, base = grow(data, draws, max_rounds, seed, fit_rows)
+    grown = settle(grown, "trees")
     judged = metrics.ranking_metrics(
         trees.draw_scores(validation.select(F.col("features").alias("x"), F.col("breach").alias("y")), grown, base), "score", "y", ["draw"]
     ).select("draw", "pr_auc")

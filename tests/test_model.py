@@ -8,12 +8,13 @@ from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from caselens import fixed
 from caselens.checks import model_cases
-from caselens.operators import boosting, features, metrics, quality, trees
+from caselens.operators import boosting, boosting_blocks, features, metrics, quality, trees
 from caselens.plans import modeling
 from caselens.spec import FeatureConfig, LifecycleSpec
 from caselens.storage import settle
@@ -289,3 +290,55 @@ def test_the_isotonic_query_scores_validation_rows_once(spark, built, monkeypatc
     monkeypatch.setattr(modeling, "fit_calibrator", lambda rows, trigger: read.append(rows) or fit(rows, trigger))
     assert model_cases.isotonic_calibrated(spark, "").count() > 0
     assert "ArrowEvalPython" not in read[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def training_rows(spark, x, y, vx, vy):
+    """Rows as the fit has them, in several partitions; a key comes twice and one is missing."""
+    rows = [(None if i == 5 else f"{i // 2 if i < 40 else i}", float(b), held, [float(v) for v in a])
+            for held, (xs, ys) in ((False, (x, y)), (True, (vx, vy))) for i, (a, b) in enumerate(zip(xs, ys))]
+    return settle(spark.createDataFrame(rows, "_key string, breach double, _is_val boolean, features array<double>").repartition(5), "rows")
+
+
+def test_bins_of_a_large_table_are_those_of_its_array(spark):
+    (x, y), none = noisy(3000, 4), (np.zeros((0, 4)), np.zeros(0))
+    rows = training_rows(spark, x, y, *none)
+    got, want = boosting_blocks.bin_edges(rows), boosting.bin_edges(x)
+    assert [len(e) for e in want] == [63, 4, 63, 0] and all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
+@pytest.mark.parametrize("ranked", [1 << 20, 90])
+def test_blocks_grow_the_trees_of_all_rows(spark, ranked):
+    """Without shares of rows and columns, blocks give the trees that one task grows on all rows, up to the same one."""
+    (x, y), (vx, vy) = noisy(1500, 1), noisy(700, 2)
+    edges, rounds = boosting.bin_edges(x), 7
+    train, val = boosting.Rows(boosting.binned(x, edges), y), boosting.Rows(boosting.binned(vx, edges), vy)
+    draws = [PARAMS | {"subsamplingRate": 1.0, "featureShare": 1.0, "maxDepth": d} for d in (2, 3)]
+    rows = training_rows(spark, x, y, vx, vy)
+    grown = boosting_blocks.grow_draws(rows, 2200, 700, 300, edges, draws, -0.5, rounds, 3, 7, ranked).toPandas()
+    for draw, params in enumerate(draws):
+        kept, _ = boosting.boost(train, val, params, -0.5, rounds, 3, 7)
+        mine = grown[grown["draw"] == draw].sort_values(["tree", "node"])
+        want = pd.concat(boosting.node_rows(draw, kept, edges))
+        for column in ("tree", "node", "left", "right", "feature", "threshold", "value"):
+            assert mine[column].tolist() == pytest.approx(want[column].tolist()), column
+
+
+def test_precision_by_ranges_of_counted_scores():
+    draw = np.random.default_rng(8)
+    score, label = np.round(draw.normal(size=500), 1), draw.integers(0, 2, 500)
+    high = score > 0.4
+    parts = [boosting.average_precision(label, score)] + [
+        boosting_blocks.ranked_precision(score[at], np.ones(at.sum(), int), label[at], *above) / label.sum()
+        for at, above in ((high, (0, 0)), (~high, (high.sum(), label[high].sum())))]
+    assert parts[0] == pytest.approx(parts[1] + parts[2])
+
+
+def test_trees_start_from_and_weigh_all_training_rows(built):
+    """Beyond the rows of one task nothing is left out: the first odds and the sums at the root are those of all rows."""
+    table, whole = built
+    rows = quality.labeled(table.where("split = 'train'"))
+    n, rate = rows.count(), rows.agg(F.avg("breach")).first()[0]
+    small = modeling.fit_risk_model(table, trials=1, max_rounds=2, fit_rows=n // 4)
+    assert small.base == pytest.approx(math.log(rate / (1 - rate))) and small.base == pytest.approx(whole.base)
+    again = modeling.fit_risk_model(table, trials=1, max_rounds=2, fit_rows=n // 4)
+    assert sorted(map(tuple, small.nodes.collect())) == sorted(map(tuple, again.nodes.collect()))
